@@ -52,8 +52,10 @@ def text_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     first = spark.range(1).select(chosen).select(F.col("pos").cast("bigint").alias("id"), F.col("col").alias("keyword"))
 
+    words = F.split(F.substring_index("text", " ", 3), " ")
+
     def part(n: int):
-        return F.split_part("text", F.lit(" "), F.lit(n))
+        return F.coalesce(F.get(words, F.lit(n - 1)), F.lit(""))
 
     pair = documents.select((F.col("doc_id") * 2 + 100).alias("id"), F.concat(part(1), F.lit(" "), part(2)).alias("keyword"))
     single = documents.select((F.col("doc_id") * 2 + 101).alias("id"), part(3).alias("keyword"))
@@ -78,7 +80,8 @@ def page_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages and the links they hold as one graph: a page leads to its links, a link to the pages that hold it."""
     from pageglean.operators.links import page_links
 
-    held = page_links(pages(spark, sf_dir)).select("src_url", F.concat(F.lit("link:"), "href").alias("dst_url")).distinct()
+    links = page_links(pages(spark, sf_dir)).select("src_url", F.explode("hrefs").alias("href"))
+    held = links.select("src_url", F.concat(F.lit("link:"), "href").alias("dst_url")).distinct()
     back = held.select(F.col("dst_url").alias("src_url"), F.col("src_url").alias("dst_url"))
     return held.unionByName(back)
 

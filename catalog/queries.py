@@ -111,8 +111,12 @@ def valid_urls(spark, sf):
     return I.hrefs(spark, sf).filter(U.is_valid(F.col("href"))).select("o_orderkey", "href")
 
 
+def _href_lists(spark, sf):
+    return I.hrefs(spark, sf).select("o_orderkey", "src_url", F.array("href").alias("hrefs"))
+
+
 def resolve_links(spark, sf):
-    return L.resolve_links(I.hrefs(spark, sf)).select("o_orderkey", "dst_url")
+    return L.resolve_links(_href_lists(spark, sf)).select("o_orderkey", "dst_url")
 
 
 def join_urls(spark, sf):
@@ -121,7 +125,7 @@ def join_urls(spark, sf):
 
 
 def skip_path_filter(spark, sf):
-    links = L.resolve_links(I.hrefs(spark, sf))
+    links = L.resolve_links(_href_lists(spark, sf))
     return L.skip_paths(links, extra="'a',p").select("o_orderkey", "dst_url")
 
 

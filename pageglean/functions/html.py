@@ -13,6 +13,8 @@ from html.entities import name2codepoint
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from pageglean.functions.bind import let
+
 # A tag, with quoted attribute values allowed to hold ">".
 _TAG_REST = r"""[^>=]*+(?:=\s*+(?:"[^"]*+"|'[^']*+')?+[^>=]*+)*+>"""
 _TAG = rf"<[/!?a-z]{_TAG_REST}"
@@ -58,19 +60,14 @@ def _code_point(number: Column) -> Column:
     return F.translate(F.decode(big_endian, "UTF-32"), _C1_FROM, _C1_TO)
 
 
-def _let(value: Column, use) -> Column:
-    """``use(value)`` with the value computed once per row."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def _character(reference: Column) -> Column:
     named = F.try_element_at(F.from_json(F.lit(_NAMED), "map<string,string>"), reference)
     return (
         F.when(reference == "", F.lit(None))
         .when(F.substr(reference, F.lit(1), F.lit(2)).isin("#x", "#X"),
-              _let(F.conv(F.substr(reference, F.lit(3)), 16, 10).cast("bigint"), _code_point))
+              let(F.conv(F.substr(reference, F.lit(3)), 16, 10).cast("bigint"), _code_point))
         .when(F.startswith(reference, F.lit("#")),
-              _let(F.substr(reference, F.lit(2)).cast("bigint"), _code_point))
+              let(F.substr(reference, F.lit(2)).cast("bigint"), _code_point))
         .otherwise(named)
     )
 
@@ -82,7 +79,7 @@ def _decode_after_ampersand(piece: Column) -> Column:
         rest = F.regexp_replace(F.substr(piece, F.length(r) + 1), r"\A;", "")
         return F.coalesce(F.concat(_character(r), rest), F.concat(F.lit("&"), piece))
 
-    return _let(reference, joined)
+    return let(reference, joined)
 
 
 def decode_entities(text: Column) -> Column:
@@ -137,7 +134,7 @@ def meta_text(tags: Column, name: str) -> Column:
     """
     named = rf"""(?is)<meta(?=[^>]*?\sname\s*+=\s*+["']?(?-i:{name})["'\s/>]){_TAG_REST}"""
     tag = F.regexp_extract(tags, named, 0)
-    text = _let(attribute(tag, "content"), lambda c: F.when(c != "", c).otherwise(attribute(tag, "value")))
+    text = let(attribute(tag, "content"), lambda c: F.when(c != "", c).otherwise(attribute(tag, "value")))
     return squeeze(decode_entities(text))
 
 

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from pageglean.functions.bind import let
+
 _SCHEME = r"[a-zA-Z][a-zA-Z0-9+.\-]*"
 
 # The URL schemes that name web pages, and the path segments never followed.
@@ -69,6 +71,12 @@ def rebuild(scheme_: Column, authority_: Column, path_: Column) -> Column:
     return strip_slashes(F.concat(scheme_, F.lit("://"), authority_, path_))
 
 
+def parts(url: Column) -> Column:
+    """All parts of a URL as one struct; ``path`` keeps its parameters."""
+    return F.struct(url.alias("url"), scheme(url).alias("scheme"), authority(url).alias("host"),
+                    full_path(url).alias("path"), query(url).alias("query"), fragment(url).alias("fragment"))
+
+
 def normalize(url: Column) -> Column:
     """``scheme://host/path`` without parameters, query, fragment and outer slashes."""
     return rebuild(scheme(url), authority(url), path(url))
@@ -85,41 +93,51 @@ def clean_href(href: Column) -> Column:
 
 
 def _without_dot_segments(path_: Column) -> Column:
-    segments = F.split(path_, "/")
-    kept = F.aggregate(
-        segments,
-        F.array().cast("array<string>"),
-        lambda done, s: F.when(s == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))))
-        .when(s == ".", done)
-        .otherwise(F.concat(done, F.array(s))),
+    def folded(segments: Column) -> Column:
+        kept = F.aggregate(
+            segments,
+            F.array().cast("array<string>"),
+            lambda done, s: F.when(s == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))))
+            .when(s == ".", done)
+            .otherwise(F.concat(done, F.array(s))),
+        )
+        ends_in_dots = F.element_at(segments, -1).isin(".", "..")
+        return F.concat(F.array_join(kept, "/"), F.when(ends_in_dots & (F.size(kept) > 0), "/").otherwise(""))
+
+    return F.when(path_.rlike(r"(?:\A|/)\.\.?(?:/|\z)"), let(F.split(path_, "/"), folded)).otherwise(path_)
+
+
+def _joined(base: Column, link: Column) -> Column:
+    """Link on a page as an absolute URL; both are given in parts."""
+    root = F.concat(base["scheme"], F.lit("://"), base["host"])
+    tail = F.concat(link["query"], link["fragment"])
+    folder = F.regexp_replace(base["path"], r"[^/]*\z", "")
+    beside = F.regexp_replace(F.concat(folder, link["path"]), "/{2,}", "/")
+    place = F.when(F.startswith(link["path"], F.lit("/")), link["path"]).otherwise(beside)
+    rooted = let(let(place, _without_dot_segments),
+                 lambda p: F.when(F.startswith(p, F.lit("/")), p).otherwise(F.concat(F.lit("/"), p)))
+    same_page = F.concat(root, base["path"], F.when(link["query"] != "", link["query"]).otherwise(base["query"]), link["fragment"])
+    return (
+        F.when(link["url"] == "", base["url"])
+        .when((link["scheme"] != "") & (link["scheme"] != base["scheme"]), link["url"])
+        .when(link["host"] != "", F.concat(base["scheme"], F.lit("://"), link["host"], link["path"], tail))
+        .when(link["path"] == "", same_page)
+        .otherwise(F.concat(root, rooted, tail))
     )
-    ends_in_dots = F.element_at(segments, -1).isin(".", "..")
-    joined = F.array_join(F.when(ends_in_dots, F.concat(kept, F.array(F.lit("")))).otherwise(kept), "/")
-    return F.when(path_.rlike(r"(?:\A|/)\.\.?(?:/|\z)"), joined).otherwise(path_)
 
 
-def resolve(base: Column, href: Column) -> Column:
-    """Link as an absolute URL, seen from the page ``base``.
+def resolve_all(base: Column, hrefs: Column) -> Column:
+    """Links of one page as absolute URLs, in the same order; the page's own URL is cut up once.
 
     A link with a host keeps its path as written. A path relative to the page loses doubled slashes and dot segments.
     """
-    link = clean_href(href)
-    own_scheme, own_host, own_path = scheme(link), authority(link), full_path(link)
-    tail = F.concat(query(link), fragment(link))
-    root = F.concat(scheme(base), F.lit("://"), authority(base))
-    folder = F.regexp_replace(full_path(base), r"[^/]*\z", "")
-    beside = F.regexp_replace(F.concat(folder, own_path), "/{2,}", "/")
-    merged = _without_dot_segments(F.when(F.startswith(own_path, F.lit("/")), own_path).otherwise(beside))
-    rooted = F.when(F.startswith(merged, F.lit("/")), merged).otherwise(F.concat(F.lit("/"), merged))
-    same_page = F.concat(root, full_path(base),
-                         F.when(query(link) != "", query(link)).otherwise(query(base)), fragment(link))
-    return (
-        F.when(link == "", base)
-        .when((own_scheme != "") & (own_scheme != scheme(base)), link)
-        .when(own_host != "", F.concat(scheme(base), F.lit("://"), own_host, own_path, tail))
-        .when(own_path == "", same_page)
-        .otherwise(F.concat(root, rooted, tail))
-    )
+    return let(parts(base), lambda b: F.transform(
+        hrefs, lambda href: let(clean_href(href), lambda h: let(parts(h), lambda link: _joined(b, link)))))
+
+
+def resolve(base: Column, href: Column) -> Column:
+    """One link of a page as an absolute URL."""
+    return F.get(resolve_all(base, F.array(href)), F.lit(0))
 
 
 def has_whitespace(url: Column) -> Column:

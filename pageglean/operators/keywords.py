@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from pageglean.functions import html as H
 from pageglean.functions import text as X
-from pageglean.operators.joins import BROADCAST_BYTES, fits_broadcast, join_sized
+from pageglean.operators.joins import BROADCAST_BYTES, join_sized
 
 FIELDS = ("title", "body", "keywords", "description")
 
@@ -84,8 +84,8 @@ def _windows(tokens: DataFrame, longest: int) -> DataFrame:
 def occurrences(tokens: DataFrame, vocab: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Every place where a keyword stands, overlapping ones included: ``pos``, ``n`` words, ``keyword``."""
     known = vocab.select("keyword", F.size(F.split("keyword", " ")).alias("n"))
-    longest = known.agg(F.max("n")).first()[0] or 1
-    small = fits_broadcast(known, max_bytes)
+    longest, size = known.agg(F.max("n"), F.sum(F.octet_length("keyword") + 32)).first()
+    longest, small = longest or 1, (size or 0) <= max_bytes
     starts = known.groupBy(F.substring_index("keyword", " ", 1).alias("w1")).agg(F.collect_set("n").alias("lengths"))
     others = [c for c in tokens.columns if c != "tokens"]
     following = F.array(*[f"w{n}" for n in range(1, longest + 1)])

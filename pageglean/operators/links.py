@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -22,25 +22,25 @@ _BUCKET_DIGITS = 3
 
 
 def page_links(pages: DataFrame) -> DataFrame:
-    """One row per anchor of a page that has a link: ``src_url``, ``href``."""
+    """Pages with the array of their links: ``src_url``, ``hrefs``."""
     return spread(pages.select("url", "html")).select(
-        F.col("url").alias("src_url"), F.explode(H.anchor_hrefs(F.col("html"))).alias("href"))
+        F.col("url").alias("src_url"), H.anchor_hrefs(F.col("html")).alias("hrefs"))
+
+
+def _followable(url: Column) -> Column:
+    return ~U.has_whitespace(url) & (U.authority(url) != "") & U.scheme(url).isin(*U.WEB_SCHEMES)
 
 
 def resolve_links(links: DataFrame) -> DataFrame:
-    """Adds ``dst_url``, the link as an absolute URL without query and fragment.
+    """The links in the array ``hrefs`` as rows with ``dst_url``, an absolute URL without query and fragment.
 
-    Left out: empty links, links with whitespace, and links that do not lead to a web page on some host.
+    Left out: empty links, links with whitespace, and links that do not lead to a web page on some host. All of it
+    happens inside the array, so a link is resolved once and only kept links become rows.
     """
-    present = links.filter(F.col("href").isNotNull() & (F.col("href") != ""))
-    target = U.resolve(F.col("src_url"), F.col("href"))
-    return (
-        present.withColumn("target", target)
-        .withColumn("dst_url", U.normalize(F.col("target")))
-        .filter(~U.has_whitespace(F.col("dst_url")) & U.is_valid(F.col("dst_url"))
-                & U.scheme(F.col("dst_url")).isin(*U.WEB_SCHEMES))
-        .drop("target")
-    )
+    present = F.filter("hrefs", lambda h: h.isNotNull() & (h != ""))
+    targets = F.transform(U.resolve_all(F.col("src_url"), present), U.normalize)
+    others = [c for c in links.columns if c != "hrefs"]
+    return links.select(*others, F.explode(F.filter(targets, _followable)).alias("dst_url"))
 
 
 def skip_paths(links: DataFrame, extra: str = "", column: str = "dst_url") -> DataFrame:
