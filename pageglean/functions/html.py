@@ -123,8 +123,8 @@ def attribute(tag: Column, name: str) -> Column:
 
 
 def meta_tags(html: Column) -> Column:
-    """All meta tags of a page as one string."""
-    return F.array_join(F.regexp_extract_all(html, F.lit(rf"(?is)<meta(?=[\s/>]){_TAG_REST}"), F.lit(0)), "")
+    """Array of all meta tags of a page."""
+    return F.regexp_extract_all(html, F.lit(rf"(?is)<meta(?=[\s/>]){_TAG_REST}"), F.lit(0))
 
 
 def meta_text(tags: Column, name: str) -> Column:
@@ -132,10 +132,9 @@ def meta_text(tags: Column, name: str) -> Column:
 
     The text is taken from ``content``, else from ``value``.
     """
-    named = rf"""(?is)<meta(?=[^>]*?\sname\s*+=\s*+["']?(?-i:{name})["'\s/>]){_TAG_REST}"""
-    tag = F.regexp_extract(tags, named, 0)
-    text = let(attribute(tag, "content"), lambda c: F.when(c != "", c).otherwise(attribute(tag, "value")))
-    return squeeze(decode_entities(text))
+    tag = F.get(F.filter(tags, lambda t: attribute(t, "name") == name), F.lit(0))
+    text = let(tag, lambda t: let(attribute(t, "content"), lambda c: F.when(c != "", c).otherwise(attribute(t, "value"))))
+    return F.coalesce(squeeze(decode_entities(text)), F.lit(""))
 
 
 def anchor_hrefs(html: Column) -> Column:

@@ -40,10 +40,14 @@ def keyword_ids(keywords: DataFrame) -> DataFrame:
     return keywords.groupBy(F.trim(F.lower("keyword")).alias("keyword")).agg(F.min("id").alias("keyword_id"))
 
 
-def build_contains(counts: DataFrame, keywords: DataFrame, site: DataFrame) -> DataFrame:
-    """Keyword counts (``page_url``, ``keyword``, ``points``) as facts; unknown keywords and pages give none."""
+def build_contains(counts: DataFrame, keywords: DataFrame, site: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
+    """Keyword counts (``page_url``, ``keyword``, ``points``) as facts; unknown keywords and pages give none.
+
+    ``carried`` names further columns of ``site`` to keep.
+    """
     known = lookup(counts.select("page_url", "keyword", "points"), keyword_ids(keywords), "keyword")
-    return known.join(site.select("page_url", "site_id"), "page_url").select("site_id", "keyword_id", "points")
+    return known.join(site.select("page_url", "site_id", *carried), "page_url").select(
+        "site_id", "keyword_id", "points", *carried)
 
 
 def keyword_segments(keywords: DataFrame, segment: DataFrame, custom_segments: DataFrame) -> DataFrame:
