@@ -13,6 +13,7 @@ from pageglean.operators import keywords as K
 from pageglean.operators import links as L
 from pageglean.operators import mart as M
 from pageglean.operators import segments as G
+from pageglean.session import materialize
 
 
 def _day(column: str):
@@ -88,7 +89,10 @@ def explode_keyword_map(spark, sf):
 
 
 def terms_not_in_vocabulary(spark, sf):
-    return K.terms_not_in_vocabulary(_tokens(spark, sf), _matches(spark, sf)).select("page_id", "term")
+    # Used twice, so the pages are parsed once and their tokens stored.
+    stored = materialize(_tokens(spark, sf))
+    matches = K.phrase_matches(stored, _vocabulary(spark, sf))
+    return K.terms_not_in_vocabulary(stored, matches).select("page_id", "term")
 
 
 # ---- URLs and links -------------------------------------------------------------------------------------------------
@@ -112,7 +116,7 @@ def valid_urls(spark, sf):
 
 
 def _href_lists(spark, sf):
-    return I.hrefs(spark, sf).select("o_orderkey", "src_url", F.array("href").alias("hrefs"))
+    return K.spread(I.hrefs(spark, sf)).select("o_orderkey", "src_url", F.array("href").alias("hrefs"))
 
 
 def resolve_links(spark, sf):

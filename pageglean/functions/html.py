@@ -93,27 +93,33 @@ def squeeze(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"[\s\x85\xa0]+", " "))
 
 
-def shown_text(html: Column) -> Column:
-    """Body text: the text nodes a reader sees, set apart by blanks.
+def shown_source(html: Column) -> Column:
+    """Text nodes a reader sees, set apart by blanks, with character references as they are.
 
     Text ahead of the first tag belongs to the document node, which is not shown.
     """
     page = F.when(F.contains(html, F.lit("<")), F.substr(html, F.instr(html, "<"))).otherwise("")
-    return decode_entities(F.regexp_replace(page, _NOT_SHOWN, " "))
+    return F.regexp_replace(page, _NOT_SHOWN, " ")
 
 
 def visible_text(html: Column) -> Column:
     """Body text with single blanks."""
-    return squeeze(shown_text(html))
+    return squeeze(decode_entities(shown_source(html)))
 
 
-def title_text(html: Column) -> Column:
-    """Text of the first title element, or the empty string.
+def title_source(html: Column) -> Column:
+    """Text of the first title element with character references as they are, or the empty string."""
+    return F.regexp_replace(F.regexp_extract(html, _TITLE, 1), rf"(?is){_TAG}", " ")
 
-    What looks like a tag only after decoding is removed as well.
-    """
-    inner = F.regexp_replace(F.regexp_extract(html, _TITLE, 1), rf"(?is){_TAG}", " ")
-    return squeeze(F.regexp_replace(decode_entities(inner), "<.*?>", ""))
+
+def without_decoded_tags(text: Column) -> Column:
+    """Text without what looks like a tag only after decoding."""
+    return F.regexp_replace(text, "<.*?>", "")
+
+
+def title_text(html: Column) -> Column:
+    """Text of the first title element, or the empty string."""
+    return squeeze(without_decoded_tags(decode_entities(title_source(html))))
 
 
 def attribute(tag: Column, name: str) -> Column:
@@ -127,14 +133,19 @@ def meta_tags(html: Column) -> Column:
     return F.regexp_extract_all(html, F.lit(rf"(?is)<meta(?=[\s/>]){_TAG_REST}"), F.lit(0))
 
 
-def meta_text(tags: Column, name: str) -> Column:
+def meta_source(tags: Column, name: str) -> Column:
     """Content of the first of these meta tags that has this name, or the empty string.
 
-    The text is taken from ``content``, else from ``value``.
+    It is taken from ``content``, else from ``value``, with character references as they are.
     """
     tag = F.get(F.filter(tags, lambda t: attribute(t, "name") == name), F.lit(0))
     text = let(tag, lambda t: let(attribute(t, "content"), lambda c: F.when(c != "", c).otherwise(attribute(t, "value"))))
-    return F.coalesce(squeeze(decode_entities(text)), F.lit(""))
+    return F.coalesce(text, F.lit(""))
+
+
+def meta_text(tags: Column, name: str) -> Column:
+    """Content of a meta tag as text with single blanks."""
+    return squeeze(decode_entities(meta_source(tags, name)))
 
 
 def anchor_hrefs(html: Column) -> Column:

@@ -15,6 +15,9 @@ from pageglean.functions.bind import let
 
 _SCHEME = r"[a-zA-Z][a-zA-Z0-9+.\-]*"
 
+# Blanks and control characters, which do not count at the start of a link.
+_BLANKS = "".join(map(chr, range(0x21)))
+
 # The URL schemes that name web pages, and the path segments never followed.
 WEB_SCHEMES = ("http", "https")
 SKIPPED_SEGMENTS = ("forums", "newsletter")
@@ -38,21 +41,6 @@ def full_path(url: Column) -> Column:
     return F.regexp_extract(url, rf"\A(?:{_SCHEME}:)?(?://[^/?#]*)?([^?#]*)", 1)
 
 
-def _marked(url: Column, pattern: str, mark: str) -> Column:
-    part = F.regexp_extract(url, pattern, 1)
-    return F.when(part != "", F.concat(F.lit(mark), part)).otherwise("")
-
-
-def query(url: Column) -> Column:
-    """Query with its question mark, or the empty string."""
-    return _marked(url, r"\A[^?#]*\?([^#]*)", "?")
-
-
-def fragment(url: Column) -> Column:
-    """Fragment with its hash, or the empty string."""
-    return _marked(url, r"\A[^#]*#(.*)\z", "#")
-
-
 def default_scheme(url: Column, wanted: str = "http") -> Column:
     """URL with a scheme put in front where it has none."""
     return F.when(scheme(url) == "", F.concat(F.lit(f"{wanted}://"), url)).otherwise(url)
@@ -63,18 +51,9 @@ def is_valid(url: Column) -> Column:
     return (scheme(url) != "") & (authority(url) != "")
 
 
-def strip_slashes(url: Column) -> Column:
-    return F.regexp_replace(url, r"\A/+|/+\z", "")
-
-
 def rebuild(scheme_: Column, authority_: Column, path_: Column) -> Column:
-    return strip_slashes(F.concat(scheme_, F.lit("://"), authority_, path_))
-
-
-def parts(url: Column) -> Column:
-    """All parts of a URL as one struct; ``path`` keeps its parameters."""
-    return F.struct(url.alias("url"), scheme(url).alias("scheme"), authority(url).alias("host"),
-                    full_path(url).alias("path"), query(url).alias("query"), fragment(url).alias("fragment"))
+    """URL of these parts without slashes at its ends."""
+    return F.btrim(F.concat(scheme_, F.lit("://"), authority_, path_), F.lit("/"))
 
 
 def normalize(url: Column) -> Column:
@@ -87,9 +66,17 @@ def unify_host(url: Column, seed_scheme: str, seed_host: str) -> Column:
     return rebuild(F.lit(seed_scheme), F.lit(seed_host), path(url))
 
 
-def clean_href(href: Column) -> Column:
-    """Link text without line breaks and tabs and without leading blanks and control characters."""
-    return F.regexp_replace(F.translate(href, "\t\r\n", ""), r"\A[\x00-\x20]+", "")
+# Scheme, host, path, query with its mark and fragment with its mark, cut by one match and put on lines of their own.
+_URL = rf"(?s)\A(?:({_SCHEME}):)?(?://([^/?#]*+))?([^?#]*+)(\?[^#]++)?\??(#.++)?#?\z"
+_LINES = "$1\n$2\n$3\n$4\n$5"
+
+
+def _with_parts(url: Column, use) -> Column:
+    """``use`` of a URL's parts: an array of scheme, host, path, query and fragment, the last two with their marks.
+
+    Line breaks and tabs inside a URL do not count.
+    """
+    return let(F.split(F.regexp_replace(F.translate(url, "\t\r\n", ""), _URL, _LINES), "\n"), use)
 
 
 def _without_dot_segments(path_: Column) -> Column:
@@ -104,40 +91,58 @@ def _without_dot_segments(path_: Column) -> Column:
         ends_in_dots = F.element_at(segments, -1).isin(".", "..")
         return F.concat(F.array_join(kept, "/"), F.when(ends_in_dots & (F.size(kept) > 0), "/").otherwise(""))
 
-    return F.when(path_.rlike(r"(?:\A|/)\.\.?(?:/|\z)"), let(F.split(path_, "/"), folded)).otherwise(path_)
+    dotted = F.contains(path_, F.lit("/.")) | F.startswith(path_, F.lit("."))
+    return F.when(dotted, let(F.split(path_, "/"), folded)).otherwise(path_)
 
 
-def _joined(base: Column, link: Column) -> Column:
-    """Link on a page as an absolute URL; both are given in parts."""
-    root = F.concat(base["scheme"], F.lit("://"), base["host"])
-    tail = F.concat(link["query"], link["fragment"])
-    folder = F.regexp_replace(base["path"], r"[^/]*\z", "")
-    beside = F.regexp_replace(F.concat(folder, link["path"]), "/{2,}", "/")
-    place = F.when(F.startswith(link["path"], F.lit("/")), link["path"]).otherwise(beside)
-    rooted = let(let(place, _without_dot_segments),
+def _target(base: Column, folder: Column, link: Column) -> Column:
+    """Where a link on a page leads, in parts; page and link are given in parts too."""
+    scheme_, host, path_, query, fragment = (link[i] for i in range(5))
+    elsewhere = (scheme_ != "") & (F.lower(scheme_) != F.lower(base[0]))
+    own_host = elsewhere | (host != "")
+    beside = F.regexp_replace(F.concat(folder, path_), "/{2,}", "/")
+    place = F.when(F.startswith(path_, F.lit("/")), path_).otherwise(beside)
+    merged = let(let(place, _without_dot_segments),
                  lambda p: F.when(F.startswith(p, F.lit("/")), p).otherwise(F.concat(F.lit("/"), p)))
-    same_page = F.concat(root, base["path"], F.when(link["query"] != "", link["query"]).otherwise(base["query"]), link["fragment"])
-    return (
-        F.when(link["url"] == "", base["url"])
-        .when((link["scheme"] != "") & (link["scheme"] != base["scheme"]), link["url"])
-        .when(link["host"] != "", F.concat(base["scheme"], F.lit("://"), link["host"], link["path"], tail))
-        .when(link["path"] == "", same_page)
-        .otherwise(F.concat(root, rooted, tail))
+    same_page = (path_ == "") & ~own_host
+    return F.struct(
+        F.lower(F.when(scheme_ != "", scheme_).otherwise(base[0])).alias("scheme"),
+        F.when(own_host, host).otherwise(base[1]).alias("host"),
+        F.when(own_host, path_).when(same_page, base[2]).otherwise(merged).alias("path"),
+        F.when(same_page & (query == ""), base[3]).otherwise(query).alias("query"),
+        fragment.alias("fragment"),
     )
 
 
-def resolve_all(base: Column, hrefs: Column) -> Column:
-    """Links of one page as absolute URLs, in the same order; the page's own URL is cut up once.
+def targets(base: Column, hrefs: Column) -> Column:
+    """Where the links of one page lead: an array of scheme, host, path, query and fragment, in the links' order.
 
-    A link with a host keeps its path as written. A path relative to the page loses doubled slashes and dot segments.
+    A link with a host keeps its path as written. A path relative to the page loses doubled slashes and dot segments. The
+    page's own URL is cut up once, and each link once.
     """
-    return let(parts(base), lambda b: F.transform(
-        hrefs, lambda href: let(clean_href(href), lambda h: let(parts(h), lambda link: _joined(b, link)))))
+    def on_page(page: Column) -> Column:
+        return let(F.regexp_replace(page[2], r"[^/]*+\z", ""), lambda folder: F.transform(
+            hrefs, lambda h: _with_parts(F.ltrim(h, F.lit(_BLANKS)), lambda link: _target(page, folder, link))))
+
+    return _with_parts(base, on_page)
+
+
+def target_text(target: Column) -> Column:
+    """A target as URL text."""
+    host = F.when(target["host"] != "", F.concat(F.lit("//"), target["host"])).otherwise("")
+    return F.concat(target["scheme"], F.lit(":"), host, target["path"], target["query"], target["fragment"])
+
+
+def target_page(target: Column) -> Column:
+    """A target without parameters, query, fragment and outer slashes."""
+    plain = F.when(F.contains(target["path"], F.lit(";")), F.regexp_replace(target["path"], r";[^/]*\z", ""))
+    return rebuild(target["scheme"], target["host"], F.coalesce(plain, target["path"]))
 
 
 def resolve(base: Column, href: Column) -> Column:
-    """One link of a page as an absolute URL."""
-    return F.get(resolve_all(base, F.array(href)), F.lit(0))
+    """One link of a page as an absolute URL; an empty link is the page itself."""
+    found = let(F.get(targets(base, F.array(href)), F.lit(0)), target_text)
+    return F.when(href == "", base).otherwise(found)
 
 
 def has_whitespace(url: Column) -> Column:

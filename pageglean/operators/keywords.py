@@ -1,29 +1,27 @@
 """Known keywords and phrases on pages: leftmost, longest, not overlapping.
 
 Pages are cut into tokens where they are read. Only positions whose word starts some keyword go on, and only real
-keyword occurrences are shuffled, once, by page. All later steps (overlaps, counts, the map of a page) keep to that
-partitioning. No step holds a whole page's occurrences in memory: only a run of occurrences that overlap each other
-is gathered.
+keyword occurrences are shuffled, by page and field. Each partition is then sorted and gone through once, so no page is
+ever held in memory as a whole, however many keywords it has.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pageglean.functions import html as H
 from pageglean.functions import text as X
 from pageglean.operators.joins import BROADCAST_BYTES, join_sized
+from pageglean.session import materialize
 
 FIELDS = ("title", "body", "keywords", "description")
 
-# Occurrences folded at a time, so that appending stays cheap in a long run of overlaps.
-_FOLD_STEP = 512
-
-
 def vocabulary(keywords: DataFrame, column: str = "keyword") -> DataFrame:
     """Distinct lower-case keywords; entries with a newline and empty entries are left out."""
     word = F.trim(F.lower(F.col(column)))
@@ -46,18 +44,20 @@ def page_fields(pages: DataFrame, html: str = "html") -> DataFrame:
     others = [c for c in pages.columns if c != html]
     cut = spread(pages).select(
         *others,
-        H.title_text(F.col(html)).alias("title"),
-        H.shown_text(F.col(html)).alias("body"),
+        H.title_source(F.col(html)).alias("title"),
+        H.shown_source(F.col(html)).alias("body"),
         H.meta_tags(F.col(html)).alias("metas"),
     )
-    # The tags are used twice, so they stay a column of their own and are cut once.
-    texts = cut.select(
+    # Values that are used twice stay columns of their own, so that they are computed once.
+    sources = cut.select(
         *others, "title", "body",
-        H.meta_text(F.col("metas"), "keywords").alias("keywords"),
-        H.meta_text(F.col("metas"), "description").alias("description"),
+        H.meta_source(F.col("metas"), "keywords").alias("keywords"),
+        H.meta_source(F.col("metas"), "description").alias("description"),
     )
-    rows = F.array(*[F.struct(F.lit(name).alias("field"), F.col(name).alias("text")) for name in FIELDS])
-    return texts.select(*others, F.inline(rows))
+    rows = F.array(*[F.struct(F.lit(name).alias("field"), F.col(name).alias("source")) for name in FIELDS])
+    decoded = sources.select(*others, F.inline(rows)).select(*others, "field", H.decode_entities(F.col("source")).alias("text"))
+    cleaned = F.when(F.col("field") == "title", H.without_decoded_tags(F.col("text"))).otherwise(F.col("text"))
+    return decoded.select(*others, "field", cleaned.alias("text"))
 
 
 def field_tokens(fields: DataFrame, stop_words: Sequence[str] = X.STOP_WORDS) -> DataFrame:
@@ -83,7 +83,8 @@ def _windows(tokens: DataFrame, longest: int) -> DataFrame:
 
 def occurrences(tokens: DataFrame, vocab: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Every place where a keyword stands, overlapping ones included: ``pos``, ``n`` words, ``keyword``."""
-    known = vocab.select("keyword", F.size(F.split("keyword", " ")).alias("n"))
+    # Read three times below, so stored once.
+    known = materialize(vocab.select("keyword", F.size(F.split("keyword", " ")).alias("n")))
     longest, size = known.agg(F.max("n"), F.sum(F.octet_length("keyword") + 32)).first()
     longest, small = longest or 1, (size or 0) <= max_bytes
     starts = known.groupBy(F.substring_index("keyword", " ", 1).alias("w1")).agg(F.collect_set("n").alias("lengths"))
@@ -99,27 +100,34 @@ def occurrences(tokens: DataFrame, vocab: DataFrame, max_bytes: int = BROADCAST_
     return join_sized(grams, known, ["keyword", "n"], "left_semi", small).select(*others, "pos", "n", "keyword")
 
 
-def _leftmost_longest(run: Column) -> Column:
-    """Occurrences kept of a run sorted by position, then longest first."""
-    chosen = "array<struct<pos:int,minus_n:int,keyword:string>>"
-    step = F.lit(_FOLD_STEP)
-
-    def take(state: Column, o: Column) -> Column:
-        return F.when(
-            o["pos"] >= state["until"],
-            F.struct((o["pos"] - o["minus_n"]).alias("until"), F.concat(state["kept"], F.array(o)).alias("kept")),
-        ).otherwise(state)
-
-    def take_part(state: Column, part: Column) -> Column:
-        start = F.struct(state["until"].alias("until"), F.array().cast(chosen).alias("kept"))
-        done = F.array(F.aggregate(part, start, take))
-        return F.get(F.transform(done, lambda d: F.struct(
-            d["until"].alias("until"), F.concat(state["kept"], F.array(d["kept"])).alias("kept"))), F.lit(0))
+def _leftmost_longest(place: Sequence[str]):
+    """A pass over occurrences that come by place, position and falling length, which keeps those a reader would take.
 
-    last_part = F.floor((F.size(run) - 1) / step).cast("int")
-    parts = F.transform(F.sequence(F.lit(0), last_part), lambda i: F.slice(run, i * step + 1, step))
-    nothing = F.struct(F.lit(0).alias("until"), F.array().cast(f"array<{chosen}>").alias("kept"))
-    return F.aggregate(parts, nothing, take_part, lambda state: F.flatten(state["kept"]))
+    The choice at a position depends on all choices before it, so no built-in operator makes it. Only numbers are looked
+    at; the text columns are passed through as they are. What is remembered between batches is one row.
+    """
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, until = None, 0
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            columns = [batch.column(name) for name in place]
+            opens = np.zeros(batch.num_rows, dtype=bool)
+            for column in columns:
+                opens[1:] |= pc.fill_null(pc.not_equal(column[1:], column[:-1]), True).to_numpy(zero_copy_only=False)
+            opens[0] = last != [column[0] for column in columns]
+            last = [column[-1] for column in columns]
+            begin = batch.column("pos").to_numpy()
+            end = begin + batch.column("n").to_numpy()
+            kept = []
+            for new, p, e in zip(opens.tolist(), begin.tolist(), end.tolist()):
+                taken = new or p >= until
+                kept.append(taken)
+                if taken:
+                    until = e
+            yield batch.filter(pa.array(kept))
+
+    return keep
 
 
 def phrase_matches(tokens: DataFrame, vocab: DataFrame, page: Sequence[str] = ("page_id", "url"),
@@ -128,20 +136,10 @@ def phrase_matches(tokens: DataFrame, vocab: DataFrame, page: Sequence[str] = ("
 
     ``tokens`` has the ``page`` columns (the first alone identifies a page), ``field`` and ``tokens``.
     """
-    key, place = page[0], [page[0], "field"]
-    found = occurrences(tokens, vocab, max_bytes).repartition(key)
-    order = W.partitionBy(*place).orderBy("pos", F.desc("n"))
-    before = order.rowsBetween(W.unboundedPreceding, -1)
-    so_far = order.rowsBetween(W.unboundedPreceding, W.currentRow)
-    reach = F.max(F.col("pos") + F.col("n")).over(before)
-    runs = found.withColumn("reach", reach).withColumn(
-        "run", F.max(F.when(F.col("reach").isNull() | (F.col("pos") >= F.col("reach")), F.col("pos"))).over(so_far))
-    one = F.struct("pos", (-F.col("n")).alias("minus_n"), "keyword")
-    kept = runs.groupBy(*page, "field", "run").agg(F.sort_array(F.collect_list(one)).alias("all"))
-    return (
-        kept.select(*page, "field", F.inline(_leftmost_longest(F.col("all"))))
-        .select(*page, "field", "pos", (-F.col("minus_n")).alias("n"), "keyword")
-    )
+    place = [page[0], "field"]
+    found = occurrences(tokens, vocab, max_bytes).select(*page, "field", "pos", "n", "keyword")
+    in_order = found.repartition(*place).sortWithinPartitions(*place, "pos", F.desc("n"))
+    return in_order.mapInArrow(_leftmost_longest(place), in_order.schema)
 
 
 def keyword_counts(matches: DataFrame, page: Sequence[str] = ("page_id", "url"), at_least: int = 1) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -27,10 +27,6 @@ def page_links(pages: DataFrame) -> DataFrame:
         F.col("url").alias("src_url"), H.anchor_hrefs(F.col("html")).alias("hrefs"))
 
 
-def _followable(url: Column) -> Column:
-    return ~U.has_whitespace(url) & (U.authority(url) != "") & U.scheme(url).isin(*U.WEB_SCHEMES)
-
-
 def resolve_links(links: DataFrame) -> DataFrame:
     """The links in the array ``hrefs`` as rows with ``dst_url``, an absolute URL without query and fragment.
 
@@ -38,9 +34,11 @@ def resolve_links(links: DataFrame) -> DataFrame:
     happens inside the array, so a link is resolved once and only kept links become rows.
     """
     present = F.filter("hrefs", lambda h: h.isNotNull() & (h != ""))
-    targets = F.transform(U.resolve_all(F.col("src_url"), present), U.normalize)
+    on_web = F.filter(U.targets(F.col("src_url"), present),
+                      lambda t: t["scheme"].isin(*U.WEB_SCHEMES) & (t["host"] != ""))
+    found = F.filter(F.transform(on_web, U.target_page), lambda u: ~U.has_whitespace(u))
     others = [c for c in links.columns if c != "hrefs"]
-    return links.select(*others, F.explode(F.filter(targets, _followable)).alias("dst_url"))
+    return links.select(*others, F.explode(found).alias("dst_url"))
 
 
 def skip_paths(links: DataFrame, extra: str = "", column: str = "dst_url") -> DataFrame:

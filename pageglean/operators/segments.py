@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pageglean.functions import segments as S
@@ -31,6 +32,19 @@ def only_ids(custom_segments: DataFrame, id_list: str) -> DataFrame:
     return custom_segments.filter((F.size(ids) == 0) | F.array_contains(ids, F.col("id").cast("bigint")))
 
 
+def _hits(contains: DataFrame, keywords: DataFrame, segment: DataFrame, custom_segments: DataFrame) -> DataFrame:
+    """Facts with the segments of their keyword, moved once, to the place of their page."""
+    names = custom_segments.select(F.col("id").alias("custom_segment_id"), "threshold", F.col("name").alias("category"))
+    words = lookup(segment.join(keywords.select(F.col("id").alias("keyword_id"), "keyword"), "keyword_id"),
+                   names.filter(F.col("category").isNotNull()), "custom_segment_id")
+    facts = contains.select("site_id", "keyword_id", F.col("points").cast("bigint").alias("points"))
+    return lookup(facts, words, "keyword_id").drop("keyword_id").repartition("site_id")
+
+
+def _flag(total):
+    return F.when(total >= F.col("threshold"), "1").otherwise("0").alias("flag")
+
+
 def segment_rows(contains: DataFrame, site: DataFrame, keywords: DataFrame, segment: DataFrame,
                  custom_segments: DataFrame) -> DataFrame:
     """Result of every segment at once, a row per page, segment and keyword.
@@ -39,37 +53,26 @@ def segment_rows(contains: DataFrame, site: DataFrame, keywords: DataFrame, segm
     they reach the segment's threshold. The facts are moved once, by page; summing, flagging and fetching the URL follow in
     place.
     """
-    words = (
-        lookup(segment.join(keywords.select(F.col("id").alias("keyword_id"), "keyword"), "keyword_id"),
-               custom_segments.select(F.col("id").alias("custom_segment_id"), "threshold", F.col("name").alias("category")),
-               "custom_segment_id")
-        .filter(F.col("category").isNotNull())
-    )
-    facts = contains.select("site_id", "keyword_id", F.col("points").cast("bigint").alias("points"))
-    hits = lookup(facts, words, "keyword_id").repartition("site_id")
-    entry = F.struct("keyword", "points")
-    scored = hits.groupBy("site_id", "custom_segment_id", "category", "threshold").agg(
-        F.sum("points").alias("total"), F.collect_list(entry).alias("entries"))
-    return (
-        scored.join(site.select("site_id", F.col("page_url").alias("url")), "site_id")
-        .select("url", "category", "custom_segment_id",
-                F.when(F.col("total") >= F.col("threshold"), "1").otherwise("0").alias("flag"),
-                F.col("total").cast("string").alias("sumofpoints"), F.inline("entries"))
-        .select("custom_segment_id", "url", "category", "keyword", "flag",
-                F.col("points").cast("string").alias("listpoints"), "sumofpoints")
-    )
+    whole = W.partitionBy("site_id", "custom_segment_id")
+    summed = _hits(contains, keywords, segment, custom_segments).withColumn("total", F.sum("points").over(whole))
+    return summed.join(site.select("site_id", F.col("page_url").alias("url")), "site_id").select(
+        "custom_segment_id", "url", "category", "keyword", _flag(F.col("total")),
+        F.col("points").cast("string").alias("listpoints"), F.col("total").cast("string").alias("sumofpoints"))
 
 
 def segment_scores(contains: DataFrame, site: DataFrame, keywords: DataFrame, segment: DataFrame,
                    custom_segments: DataFrame) -> DataFrame:
-    """One row per page and segment: keywords and points as lists, their sum, and whether it reaches the threshold."""
-    rows = segment_rows(contains, site, keywords, segment, custom_segments)
-    return rows.groupBy("custom_segment_id", "url", "category").agg(
-        F.sort_array(F.collect_list(F.struct("keyword", "listpoints"))).alias("entries"),
-        F.max("flag").alias("flag"), F.max("sumofpoints").alias("sumofpoints"),
-    ).select("custom_segment_id", "url", "category",
-             F.array_join("entries.keyword", _BAR).alias("keyword"), "flag",
-             F.array_join("entries.listpoints", _BAR).alias("listpoints"), "sumofpoints")
+    """One row per page and segment: keywords and points as lists, their sum, and whether it reaches the threshold.
+
+    A page has a keyword once, so a list is no longer than the vocabulary.
+    """
+    entries = F.sort_array(F.collect_list(F.struct("keyword", "points"))).alias("entries")
+    scored = _hits(contains, keywords, segment, custom_segments).groupBy(
+        "site_id", "custom_segment_id", "category", "threshold").agg(entries, F.sum("points").alias("total"))
+    return scored.join(site.select("site_id", F.col("page_url").alias("url")), "site_id").select(
+        "custom_segment_id", "url", "category", F.array_join("entries.keyword", _BAR).alias("keyword"),
+        _flag(F.col("total")), F.array_join(F.col("entries.points").cast("array<string>"), _BAR).alias("listpoints"),
+        F.col("total").cast("string").alias("sumofpoints"))
 
 
 def stack(results: Sequence[DataFrame]) -> DataFrame:
