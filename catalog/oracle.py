@@ -244,6 +244,8 @@ reach AS (
         "url_dedup": f"SELECT DISTINCT page_url FROM ({url_list})",
         "url_parts": f"""SELECT page_url, (row_number() OVER (ORDER BY substr(md5(page_url), 1, 3), page_url) - 1) // 2500 AS part
 FROM (SELECT DISTINCT page_url FROM ({url_list}))""",
+        "url_part_sizes": f"""SELECT (i - 1) // 2500 AS part, count(*) AS urls FROM (
+  SELECT row_number() OVER () AS i FROM (SELECT DISTINCT page_url FROM ({url_list}))) GROUP BY 1""",
         "domain_label": f"SELECT DISTINCT {HOST} AS host, replace({HOST}, '.', '_') AS label FROM pages",
         "keyword_segments": _with(SEGMENTS, "SELECT DISTINCT p_name AS keyword, name FROM part JOIN custom_segments USING (p_type)"),
         "keyword_first_segment": _with(SEGMENTS, "SELECT p_name AS keyword, min(name) AS name FROM part JOIN custom_segments USING (p_type) GROUP BY p_name"),

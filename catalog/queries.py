@@ -168,6 +168,10 @@ def url_parts(spark, sf):
     return L.url_parts(I.url_list(spark, sf)).select("page_url", F.col("part").cast("bigint").alias("part"))
 
 
+def url_part_sizes(spark, sf):
+    return L.part_sizes(url_parts(spark, sf))
+
+
 def domain_label(spark, sf):
     hosts = I.pages(spark, sf).select(U.authority(F.col("url")).alias("host")).distinct()
     return hosts.select("host", U.domain_label(F.col("host")).alias("label"))
@@ -361,7 +365,8 @@ ALL = {
         title_text, visible_text, meta_text, tokens, vocabulary, phrase_match, keyword_counts, keyword_counts_min,
         keyword_map, explode_keyword_map, terms_not_in_vocabulary,
         url_parts_of, normalize_url, default_scheme, valid_urls, resolve_links, join_urls, skip_path_filter, extract_links,
-        link_kind, unify_host, link_totals, fetchable_pages, site_closure, url_dedup, url_parts, domain_label,
+        link_kind, unify_host, link_totals, fetchable_pages, site_closure, url_dedup, url_parts,
+        url_part_sizes, domain_label,
         keyword_segments, keyword_first_segment, segment_clean_name, build_contains, page_keyword_map_lookup,
         unclassified_pages, channel_gate, insert_ignore_site, insert_ignore_contains, upsert_site_category,
         keyword_store_upsert, keyword_store_purge,

@@ -34,9 +34,9 @@ def vocabulary(keywords: DataFrame, column: str = "keyword") -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores where a scan gave fewer partitions than that; a scan of many files stays as it is."""
+    """Rows over all cores where a scan keeps most of them idle; a scan of many files stays as it is."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 4 <= cores else df
 
 
 def page_fields(pages: DataFrame, html: str = "html") -> DataFrame:
@@ -150,7 +150,7 @@ def keyword_counts(matches: DataFrame, page: Sequence[str] = ("page_id", "url"),
 
 def classify_pages(pages: DataFrame, vocab: DataFrame, stop_words: Sequence[str] = X.STOP_WORDS,
                    at_least: int = 1) -> DataFrame:
-    """Pages (``page_id``, ``url``, ``html``) to keyword counts."""
+    """Pages (``page_id``, ``url``, ``html``; one row per page) to keyword counts."""
     tokens = field_tokens(page_fields(pages.select("page_id", "url", "html")), stop_words)
     return keyword_counts(phrase_matches(tokens, vocab), at_least=at_least)
 

@@ -121,3 +121,8 @@ def url_parts(urls: DataFrame, rows: int = 2500, column: str = "page_url") -> Da
     # At most 16 ** 3 offsets: the bound on this broadcast does not depend on the data.
     return numbered.join(F.broadcast(offsets), "bucket").select(
         column, F.floor((F.col("before") + F.col("at") - 1) / rows).alias("part"))
+
+
+def part_sizes(parts: DataFrame) -> DataFrame:
+    """Number of URLs in each part."""
+    return parts.groupBy("part").agg(F.count(F.lit(1)).alias("urls"))
