@@ -154,6 +154,26 @@ def segment(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_partkey").alias("keyword_id"), "custom_segment_id")
 
 
+def text_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segments of the text keywords, two for every third keyword."""
+    words = text_keywords(spark, sf_dir).select(F.col("id").alias("keyword_id"))
+    ids = F.when(F.col("keyword_id") % 3 == 0, F.array(F.col("keyword_id") % 6 + 1, F.col("keyword_id") % 5 + 1)).otherwise(
+        F.array(F.col("keyword_id") % 6 + 1))
+    return words.select("keyword_id", F.explode(F.array_distinct(ids)).alias("custom_segment_id"))
+
+
+def page_site(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages(spark, sf_dir).select(F.col("page_id").alias("site_id"), F.col("url").alias("page_url"))
+
+
+def broken_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as bytes, with bytes around and inside them that are no text."""
+    bad = F.unhex(F.lit("FF"))
+    half = (F.length("text") / 2).cast("int")
+    raw = F.concat(bad, F.substr("text", F.lit(1), half).cast("binary"), bad, F.substr("text", half + 1).cast("binary"), bad)
+    return table(spark, sf_dir, "documents").select("doc_id", raw.alias("raw"))
+
+
 def site_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = segment(spark, sf_dir).join(
         F.broadcast(custom_segments(spark, sf_dir).select(F.col("id").alias("custom_segment_id"), F.col("name").alias("custom_segment_name"))),

@@ -184,6 +184,17 @@ passed AS (
   OR (contains(category, 'HCP') AND NOT contains(category, 'DTC') AND numberofkeywords >= 5)),
 final AS (SELECT url, string_agg(category, ' | ' ORDER BY category) AS category FROM passed GROUP BY url)"""
 
+TEXT_SEGMENT = """text_segment AS (
+  SELECT DISTINCT keyword_id, custom_segment_id FROM (
+    SELECT id AS keyword_id, id % 6 + 1 AS custom_segment_id FROM text_keywords
+    UNION ALL SELECT id, id % 5 + 1 FROM text_keywords WHERE id % 3 = 0))"""
+
+FLAGS = f"""{MATCHES}, {SEGMENTS}, {TEXT_SEGMENT},
+ids AS (SELECT trim(lower(keyword), ' ') AS keyword, min(id) AS keyword_id FROM text_keywords GROUP BY 1),
+per_category AS (
+  SELECT url, c.name AS category, count(*) AS n FROM counts JOIN ids USING (keyword) JOIN text_segment USING (keyword_id)
+  JOIN custom_segments c ON c.id = custom_segment_id GROUP BY ALL)"""
+
 SUBDOMAIN = f"contains(page_url, '{I.DOMAIN}')"
 EVEN_PAGE = "right(page_url, 1) IN ('0', '2', '4', '6', '8')"
 WANTED = f"site_id IN (SELECT site_id FROM site WHERE {SUBDOMAIN} AND current_dates = DATE '{I.RUN_DATE}')"
@@ -204,6 +215,7 @@ def statements() -> dict[str, str]:
         "visible_text": f"SELECT page_id, {_body('html')} AS body FROM pages",
         "meta_text": _with(FIELDS, "SELECT page_id, max(text) FILTER (field = 'keywords') AS keywords, "
                                    "max(text) FILTER (field = 'description') AS description FROM fields GROUP BY page_id"),
+        "valid_text": "SELECT doc_id, text FROM documents",
         "tokens": _with(TOKENS, "SELECT page_id, field, pos, token FROM tokens"),
         "vocabulary": _with(TEXT_KEYWORDS, "SELECT keyword FROM vocab"),
         "phrase_match": _with(MATCHES, "SELECT page_id, field, pos, keyword FROM matches"),
@@ -252,6 +264,13 @@ FROM (SELECT DISTINCT page_url FROM ({url_list}))""",
         "segment_clean_name": """SELECT p_partkey, CASE p_partkey % 6 WHEN 3 THEN 'DTC ' WHEN 4 THEN 'MF ' ELSE '' END || p_name || ' ' || p_type AS name FROM part""",
         "build_contains": _with(MATCHES, """, ids AS (SELECT trim(lower(keyword), ' ') AS keyword, min(id) AS keyword_id FROM text_keywords GROUP BY 1)
 SELECT page_id AS site_id, keyword_id, points FROM counts JOIN ids USING (keyword)"""),
+        "build_site_category": _with(f"{MATCHES}, {SEGMENTS}, {TEXT_SEGMENT}", f""", firsts AS (
+  SELECT trim(lower(keyword), ' ') AS keyword, min(name) AS name FROM text_keywords JOIN text_segment ON keyword_id = text_keywords.id
+  JOIN custom_segments c ON c.id = custom_segment_id GROUP BY 1)
+SELECT DISTINCT page_id AS site_id, {HOST} AS domain, name AS custom_segment_name, '{I.RUN_DATE}' AS current_dates
+FROM counts JOIN firsts USING (keyword)"""),
+        "page_flags": _with(FLAGS, """SELECT url, replace(string_agg(category, ' | ' ORDER BY category), '"', '') AS category FROM per_category
+WHERE n >= CASE WHEN contains(category, 'DTC') THEN 3 ELSE 5 END GROUP BY url"""),
         "page_keyword_map_lookup": _with(STORE, """, texts AS (SELECT page_url, string_agg(keyword || '=' || points, ',' ORDER BY keyword) AS keywords FROM store GROUP BY 1)
 SELECT s.page_url, CASE WHEN p.page_url IS NULL THEN 'missing' WHEN t.keywords IS NULL THEN 'empty' ELSE 'found' END AS state,
   coalesce(t.keywords, '') AS keywords

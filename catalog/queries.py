@@ -44,6 +44,10 @@ def meta_text(spark, sf):
                        H.meta_text(F.col("tags"), "description").alias("description"))
 
 
+def valid_text(spark, sf):
+    return I.broken_text(spark, sf).select("doc_id", H.valid_text(F.col("raw")).alias("text"))
+
+
 def _tokens(spark, sf):
     return K.field_tokens(K.page_fields(I.described_pages(spark, sf)))
 
@@ -188,17 +192,34 @@ def keyword_first_segment(spark, sf):
 
 
 def segment_clean_name(spark, sf):
-    prefixes = F.array(*[F.lit(p) for p in (
-        "PrimeAudience – DTC Interest In ", "PrimeAudience – HCP Interest In ", "PrimeAudience – ",
-        "PrimeAudience – DTC ", "PrimeAudience – MF ", "")])
+    kinds = [*S.NAME_PREFIXES, S.NAME_PREFIXES[-1] + "DTC ", S.NAME_PREFIXES[-1] + "MF ", ""]
+    prefixes = F.array(*[F.lit(p) for p in kinds])
     raw = F.concat(F.get(prefixes, (F.col("p_partkey") % 6).cast("int")), "p_name", F.lit(", "), "p_type")
     return I.table(spark, sf, "part").select("p_partkey", S.clean_name(raw).alias("name"))
 
 
+def _page_counts(spark, sf):
+    return _counts(spark, sf).select(F.col("url").alias("page_url"), "keyword", "points")
+
+
 def build_contains(spark, sf):
-    counts = _counts(spark, sf).select(F.col("url").alias("page_url"), "keyword", "points")
-    site = I.pages(spark, sf).select(F.col("page_id").alias("site_id"), F.col("url").alias("page_url"))
-    return M.build_contains(counts, I.text_keywords(spark, sf), site)
+    return M.build_contains(_page_counts(spark, sf), I.text_keywords(spark, sf), I.page_site(spark, sf))
+
+
+def build_site_category(spark, sf):
+    pairs = M.keyword_segments(I.text_keywords(spark, sf), I.text_segment(spark, sf), I.custom_segments(spark, sf))
+    lowered = pairs.select(F.trim(F.lower("keyword")).alias("keyword"), "name")
+    rows = M.build_site_category(_page_counts(spark, sf), M.first_segment(lowered), I.page_site(spark, sf), I.RUN_DATE)
+    return rows.select("site_id", "domain", "custom_segment_name", _day("current_dates"))
+
+
+def page_flags(spark, sf):
+    """From pages to the published categories of each page."""
+    keywords = M.keyword_ids(I.text_keywords(spark, sf)).select(F.col("keyword_id").alias("id"), "keyword")
+    site = I.page_site(spark, sf)
+    facts = M.build_contains(_page_counts(spark, sf), keywords, site)
+    rows = G.segment_rows(facts, site, keywords, I.text_segment(spark, sf), I.custom_segments(spark, sf))
+    return G.publishable(G.final_rollup(G.qa_filter(G.qa_rollup(rows))))
 
 
 def page_keyword_map_lookup(spark, sf):
@@ -362,13 +383,13 @@ def retention_filter(spark, sf):
 
 ALL = {
     f.__name__: f for f in (
-        title_text, visible_text, meta_text, tokens, vocabulary, phrase_match, keyword_counts, keyword_counts_min,
+        title_text, visible_text, meta_text, valid_text, tokens, vocabulary, phrase_match, keyword_counts, keyword_counts_min,
         keyword_map, explode_keyword_map, terms_not_in_vocabulary,
         url_parts_of, normalize_url, default_scheme, valid_urls, resolve_links, join_urls, skip_path_filter, extract_links,
         link_kind, unify_host, link_totals, fetchable_pages, site_closure, url_dedup, url_parts,
         url_part_sizes, domain_label,
-        keyword_segments, keyword_first_segment, segment_clean_name, build_contains, page_keyword_map_lookup,
-        unclassified_pages, channel_gate, insert_ignore_site, insert_ignore_contains, upsert_site_category,
+        keyword_segments, keyword_first_segment, segment_clean_name, build_contains, build_site_category,
+        page_flags, page_keyword_map_lookup, unclassified_pages, channel_gate, insert_ignore_site, insert_ignore_contains, upsert_site_category,
         keyword_store_upsert, keyword_store_purge,
         active_segments, segment_lookup, id_list_filter, segment_scores, segment_union, qa_rollup, qa_filter, final_rollup,
         publish_qa, publish_final,

@@ -1,10 +1,12 @@
 from pyspark.sql import functions as F
 
+from pageglean.functions.segments import NAME_PREFIXES
 from pageglean.plans import jobs
 from pageglean.sources import files
 from pageglean.sources.store import Store
 
 DAY = "2021-03-01"
+NAME = NAME_PREFIXES[1] + "Winter, Ills"
 
 
 def page(words, *links):
@@ -26,7 +28,7 @@ def site_pages(spark):
 def dimensions(spark):
     keywords = spark.createDataFrame([(i, k) for i, k in enumerate(["flu", "flu shot", "fever", "cold", "cough", "chill"])], "id long, keyword string")
     segment = spark.createDataFrame([(0, 1), (2, 1), (3, 1), (4, 1), (5, 1), (3, 2), (4, 2)], "keyword_id long, custom_segment_id long")
-    custom = spark.createDataFrame([(1, "PrimeAudience – HCP Interest In Winter, Ills", 3), (2, 'DTC "Cold"', 1)], "id long, name string, threshold int")
+    custom = spark.createDataFrame([(1, NAME, 3), (2, 'DTC "Cold"', 1)], "id long, name string, threshold int")
     return keywords, segment, custom
 
 
@@ -71,8 +73,8 @@ def test_all_jobs(spark, tmp_path):
     qa = spark.read.option("header", True).csv(str(tmp_path / "out" / "flag_cust_segment_shop_com_qa"))
     final = spark.read.option("header", True).csv(str(tmp_path / "out" / "flag_cust_segment_shop_com_final"))
     assert rows(qa.select("url", "category", "keyword", "numberofkeywords")) == [
-        ("http://shop.com/deep", "PrimeAudience – HCP Interest In Winter, Ills", "chill | cold | cough | fever | flu", "5")]
-    assert rows(final) == [("http://shop.com/deep", "PrimeAudience – HCP Interest In Winter, Ills")]
+        ("http://shop.com/deep", NAME, "chill | cold | cough | fever | flu", "5")]
+    assert rows(final) == [("http://shop.com/deep", NAME)]
 
     removed = jobs.purge(store, urls, "shop.com", "p1")
     assert removed["site"] == 4 and removed["contains"] == 10
