@@ -23,10 +23,14 @@ def _width(df: DataFrame) -> Column:
     return width
 
 
+def measure(df: DataFrame) -> tuple[int, int]:
+    """Rows and bytes of a table: counted, not estimated, by one distributed sum."""
+    rows, size = df.agg(F.count(F.lit(1)), F.sum(_width(df))).first()
+    return rows, size or 0
+
+
 def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Measured, not estimated: one distributed sum over the table."""
-    size = df.agg(F.sum(_width(df)).alias("bytes")).first()["bytes"]
-    return (size or 0) <= max_bytes
+    return measure(df)[1] <= max_bytes
 
 
 def join_sized(big: DataFrame, other: DataFrame, on, how: str = "inner", small: bool = False) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from pageglean.functions import html as H
 from pageglean.functions import urls as U
-from pageglean.operators.joins import BROADCAST_BYTES, fits_broadcast, join_sized
+from pageglean.operators.joins import BROADCAST_BYTES, join_sized, measure
 from pageglean.operators.keywords import spread
 from pageglean.session import materialize
 
@@ -20,6 +20,9 @@ FOLLOWED_STATUS = (200, 301, 302, 403)
 # Hex digits of the hash that spread rows over numbering buckets: 16 ** 3 buckets.
 _BUCKET_DIGITS = 3
 
+# Rounds of a closure after which its parts are put together.
+_ROUNDS_PER_TABLE = 20
+
 
 def page_links(pages: DataFrame) -> DataFrame:
     """Pages with the array of their links: ``src_url``, ``hrefs``."""
@@ -89,16 +92,19 @@ def site_closure(links: DataFrame, seeds: DataFrame, max_depth: int | None = Non
     edges = materialize(links.select("src_url", "dst_url").distinct())
     frontier = materialize(seeds.select("url", F.lit(0).alias("depth")).distinct())
     reached = frontier.filter(F.lit(False))
-    depth = 0
-    while (max_depth is None or depth < max_depth) and not frontier.isEmpty():
+    depth, (rows, size) = 0, measure(frontier)
+    while rows and (max_depth is None or depth < max_depth):
         depth += 1
         sources = frontier.select(F.col("url").alias("src_url"))
-        followed = join_sized(edges, sources, "src_url", "left_semi", fits_broadcast(sources, max_bytes))
+        followed = join_sized(edges, sources, "src_url", "left_semi", small=size <= max_bytes)
         found = followed.select(F.col("dst_url").alias("url")).distinct()
         new = found.join(reached.select("url"), "url", "left_anti")
         frontier = materialize(new.withColumn("depth", F.lit(depth)))
-        # A union of stored parts moves no row.
+        rows, size = measure(frontier)
+        # A union of stored parts moves no row; now and then the parts become one table again.
         reached = reached.unionByName(frontier)
+        if depth % _ROUNDS_PER_TABLE == 0:
+            reached = materialize(reached.repartition("url"))
     return reached
 
 

@@ -160,5 +160,5 @@ def publish_flags(warehouse: Store, keywords: DataFrame, segment: DataFrame, cus
     files.write_results(rows, results)
     qa = G.qa_filter(G.qa_rollup(files.read_results(spark, results)))
     files.publish(qa, f"{out}/flag_cust_segment_{label}_qa")
-    published = spark.read.option("header", True).csv(f"{out}/flag_cust_segment_{label}_qa")
-    files.publish(G.final_rollup(published.select("url", "category")), f"{out}/flag_cust_segment_{label}_final")
+    published = files.read_published(spark, f"{out}/flag_cust_segment_{label}_qa", files.QA_SCHEMA)
+    files.publish(G.final_rollup(published), f"{out}/flag_cust_segment_{label}_final")

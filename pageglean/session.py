@@ -15,8 +15,6 @@ def build_session(app_name: str = "pageglean", **extra: str) -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        # Purges and slice replacements rewrite only the partitions they touch.
-        .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
     )
     for key, value in extra.items():
         builder = builder.config(key.replace("__", "."), value)

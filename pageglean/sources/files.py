@@ -10,6 +10,8 @@ from pageglean.operators import links as L
 from pageglean.operators.segments import publishable
 
 PART_ROWS = 2500
+RESULT_SCHEMA = "url string, category string, keyword string, flag string, listpoints string, sumofpoints string"
+QA_SCHEMA = f"{RESULT_SCHEMA}, numberofkeywords int"
 
 
 def _csv(spark: SparkSession):
@@ -53,14 +55,14 @@ def read_export(spark: SparkSession, folder: str, schema: str) -> DataFrame:
 
 def write_results(rows: DataFrame, folder: str) -> None:
     """Segment results, a folder per segment; a segment without results gets none."""
-    (rows.hint("rebalance", "custom_segment_id").write.mode("overwrite").partitionBy("custom_segment_id")
-     .option("header", True).csv(folder))
+    # Static, so that a segment that had results in an earlier run of the day and has none now loses its folder.
+    (rows.hint("rebalance", "custom_segment_id").write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy("custom_segment_id").option("header", True).csv(folder))
 
 
 def read_results(spark: SparkSession, folder: str) -> DataFrame:
     """Results of all segments."""
-    schema = "url string, category string, keyword string, flag string, listpoints string, sumofpoints string, custom_segment_id bigint"
-    return spark.read.schema(schema).option("header", True).option("escape", "\\").csv(folder)
+    return spark.read.schema(f"{RESULT_SCHEMA}, custom_segment_id bigint").option("header", True).option("escape", "\\").csv(folder)
 
 
 def drop_expired(spark: SparkSession, folder: str, run_date: str, days: int = 7) -> None:
@@ -79,6 +81,10 @@ def publish(table: DataFrame, folder: str) -> None:
     publishable(table).write.mode("overwrite").option("header", True).csv(folder)
 
 
+def read_published(spark: SparkSession, folder: str, schema: str) -> DataFrame:
+    return spark.read.schema(schema).option("header", True).csv(folder)
+
+
 def label_of(domain: str) -> str:
     return domain.replace(".", "_")
 

@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from pageglean import __main__ as command_line
 from pageglean.functions.segments import NAME_PREFIXES
 from pageglean.plans import jobs
 from pageglean.sources import files
@@ -76,6 +77,9 @@ def test_all_jobs(spark, tmp_path):
         ("http://shop.com/deep", NAME, "chill | cold | cough | fever | flu", "5")]
     assert rows(final) == [("http://shop.com/deep", NAME)]
 
+    jobs.publish_flags(warehouse, keywords, segment, custom, str(tmp_path / "out"), "nobody.com", DAY)
+    assert files.read_published(spark, str(tmp_path / "out" / "flag_cust_segment_nobody_com_final"), "url string, category string").count() == 0
+
     removed = jobs.purge(store, urls, "shop.com", "p1")
     assert removed["site"] == 4 and removed["contains"] == 10
     assert [r.page_url for r in store.read("site").collect()] == ["other.org/x"]
@@ -91,3 +95,30 @@ def test_gate(spark, tmp_path):
     store = Store(spark, str(tmp_path / "mart"), buckets=2)
     jobs.classify(store, pages.select(F.col("url").alias("page_url")), pages, *dims, DAY, "g1", channels=channels)
     assert [r.page_url for r in store.read("keyword_store").collect()] == ["http://shop.com/flu"]
+
+
+def test_command_line(spark, tmp_path, monkeypatch):
+    tables = dict(zip(("keywords", "segment", "custom-segments"), dimensions(spark)), pages=site_pages(spark))
+    options = {}
+    for name, df in tables.items():
+        options[f"--{name}"] = str(tmp_path / name)
+        df.write.parquet(options[f"--{name}"])
+    places = {f"--{n}": str(tmp_path / n) for n in ("mart", "warehouse", "exports", "out")}
+    day = {"--date": DAY, "--domain": "shop.com"}
+
+    def run(job, *names, **extra):
+        known = {**options, **places, **day}
+        words = [w for n in names for w in (n, known[n])] + [w for k, v in extra.items() for w in (f"--{k}", v)]
+        monkeypatch.setattr("sys.argv", ["pageglean", job, *words])
+        command_line.main()
+
+    run("crawl", "--pages", "--date", seed="http://shop.com/", urls=str(tmp_path / "urls"))
+    urls = str(tmp_path / "urls" / DAY)
+    # Links are kept without the last slash, so the page behind "/" is listed as the bare host.
+    run("classify", "--mart", "--pages", "--keywords", "--segment", "--custom-segments", "--date", urls=urls)
+    run("refresh", "--mart", "--warehouse", "--exports", "--domain", "--date")
+    run("publish", "--warehouse", "--keywords", "--segment", "--custom-segments", "--out", "--domain", "--date", ids="[1]")
+    final = files.read_published(spark, str(tmp_path / "out" / "flag_cust_segment_shop_com_final"), "url string, category string")
+    assert [r.url for r in final.collect()] == ["http://shop.com/deep"]
+    run("purge", "--mart", "--domain", urls=urls)
+    assert Store(spark, places["--mart"]).read("site").count() == 0

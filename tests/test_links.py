@@ -30,6 +30,13 @@ def test_closure_equals_a_plain_walk(spark, max_bytes):
     assert got == walk(edges, ["n1", "n2"])
 
 
+def test_a_long_chain(spark, monkeypatch):
+    monkeypatch.setattr(L, "_ROUNDS_PER_TABLE", 3)
+    links = spark.createDataFrame([(f"n{i}", f"n{i + 1}") for i in range(8)], "src_url string, dst_url string")
+    seeds = spark.createDataFrame([("n0",)], "url string")
+    assert {r.url: r.depth for r in L.site_closure(links, seeds).collect()} == {f"n{i}": i for i in range(1, 9)}
+
+
 def test_seed_is_reached_only_by_a_link_back(spark):
     seeds = spark.createDataFrame([("a",)], "url string")
     there = spark.createDataFrame([("a", "b"), ("b", "c")], "src_url string, dst_url string")
