@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from pageglean.functions import html as H
 from pageglean.functions import text as X
-from pageglean.operators.joins import BROADCAST_BYTES, join_sized
+from pageglean.operators.joins import BROADCAST_BYTES, fits_broadcast, join_sized
 from pageglean.session import materialize
 
 FIELDS = ("title", "body", "keywords", "description")
@@ -88,10 +88,12 @@ def occurrences(tokens: DataFrame, vocab: DataFrame, max_bytes: int = BROADCAST_
     longest, size = known.agg(F.max("n"), F.sum(F.octet_length("keyword") + 32)).first()
     longest, small = longest or 1, (size or 0) <= max_bytes
     starts = known.groupBy(F.substring_index("keyword", " ", 1).alias("w1")).agg(F.collect_set("n").alias("lengths"))
+    # First words are far fewer than keywords; while they can be broadcast, only their places are ever shuffled.
+    small_starts = small or fits_broadcast(starts, max_bytes)
     others = [c for c in tokens.columns if c != "tokens"]
     following = F.array(*[f"w{n}" for n in range(1, longest + 1)])
     grams = (
-        join_sized(_windows(tokens, longest), starts, "w1", small=small)
+        join_sized(_windows(tokens, longest), starts, "w1", small=small_starts)
         .select(*others, "pos", following.alias("words"), F.explode("lengths").alias("n"))
         # Past the end of the field there is no word, so a gram cut short ends in null.
         .filter(F.get("words", F.col("n") - 1).isNotNull())

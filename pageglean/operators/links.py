@@ -119,7 +119,9 @@ def url_parts(urls: DataFrame, rows: int = 2500, column: str = "page_url") -> Da
     Rows are numbered inside hash buckets, and buckets are offset by the sizes of those before them, so that no task sees
     more than a bucket and only the fixed number of bucket sizes is ever in one place.
     """
-    placed = distinct_urls(urls, column).withColumn("bucket", F.substring(F.md5(column), 1, _BUCKET_DIGITS))
+    hashed = distinct_urls(urls, column).withColumn("bucket", F.substring(F.md5(column), 1, _BUCKET_DIGITS))
+    # Used twice, so stored once.
+    placed = materialize(hashed)
     sizes = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
     before = F.coalesce(F.sum("size").over(W.orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     offsets = sizes.select("bucket", before.alias("before"))
