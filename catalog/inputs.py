@@ -47,7 +47,10 @@ def described_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def text_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The chosen keywords, and from every document its first two words and its third."""
+    """The chosen keywords, and two that every document is named for: its first two words, and its third.
+
+    The texts that keywords are looked for in are always whole.
+    """
     chosen = F.posexplode(F.array(*[F.lit(k) for k in CHOSEN_KEYWORDS]))
     documents = table(spark, sf_dir, "documents")
     first = spark.range(1).select(chosen).select(F.col("pos").cast("bigint").alias("id"), F.col("col").alias("keyword"))

@@ -21,6 +21,7 @@ def _day(column: str):
 
 
 def _odd(df: DataFrame, column: str = "site_id") -> DataFrame:
+    """What a table held before a change, so that the change meets known keys and new ones."""
     return df.filter(F.col(column) % 2 == 1)
 
 
@@ -264,6 +265,7 @@ def _store_rows(spark, sf):
 
 
 def _even_page(column: str = "page_url"):
+    """Pages of a new run, told by the end of their URL."""
     return F.substring(F.col(column), -1, 1).isin("0", "2", "4", "6", "8")
 
 
