@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -15,25 +13,26 @@ def build_session(app_name: str = "pageglean", **extra: str) -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in extra.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """The same rows, stored in the shared checkpoint folder, so that a lost executor loses nothing.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for stored intermediate tables: the cluster's, or the one set on the session, or else one in the warehouse.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a local session without that setting
-    gets a folder of its own.
+    All three are shared by the driver and the executors; a machine-local temporary folder is never used.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            folder = tempfile.mkdtemp(prefix="pageglean-checkpoints-")
-        context.setCheckpointDir(folder)
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"{warehouse.rstrip('/')}/_checkpoints")
+    return context.getCheckpointDir()
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """The same rows, stored in the shared folder, so that a lost executor loses nothing."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)

@@ -13,7 +13,10 @@ def spark():
         SparkSession.builder.master("local[8]").appName("tests")
         .config("spark.sql.shuffle.partitions", "8").config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "6g").getOrCreate()
+        .config("spark.driver.memory", "6g")
+        .config("spark.checkpoint.dir", os.path.abspath("spark-warehouse/_checkpoints"))
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
