@@ -29,6 +29,11 @@ MISSED = 1e-5
 # A larger bucket is split again, this often at most; then its pairs are taken in blocks.
 BUCKET = 1024
 DEPTH = 4
+# In a large bucket, members this like its pivot are linked to it and done; members less like it than the second number
+# have no link to those. Both leave room for the sketches' deviations and for the triangle inequality.
+SAME, FAR = 0.8, 0.24
+# What lies between is compared with the whole bucket while it is no more than this.
+BETWEEN = 4096
 # Expected places drawn for a shared one while splitting again.
 AGAIN = 3.0
 # Sketches of pairs at the threshold fall this many standard deviations below it at most.
@@ -177,13 +182,25 @@ def candidate_links(sketched: DataFrame, threshold: float = THRESHOLD, missed: f
 
     held = sketched.select("node", "sketch").mapInArrow(root, "path long, node long")
     links, level = [], 0
+
+    def leaves(small: DataFrame) -> DataFrame:
+        rows = small.join(sketched, "node").select("path", "node", "sketch")
+        return rows.repartition("path").sortWithinPartitions("path").mapInArrow(_bucket_links(least), "a long, b long")
+
     while True:
-        sizes = materialize(held.groupBy("path").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1))
+        sizes = materialize(held.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("pivot")).filter(F.col("n") > 1))
         members = materialize(held.join(sizes, "path"))
-        small = members.filter(F.col("n") <= bucket).join(sketched, "node").select("path", "node", "sketch")
-        links.append(small.repartition("path").sortWithinPartitions("path").mapInArrow(_bucket_links(least), "a long, b long"))
+        links.append(leaves(members.filter(F.col("n") <= bucket)))
         large = members.filter(F.col("n") > bucket)
         level += 1
+        if large.isEmpty():
+            break
+        rest, more = _around_pivots(large, sketched, least, bucket)
+        links += more
+        left = rest.groupBy("path").agg(F.count(F.lit(1)).alias("n"))
+        rest = materialize(rest.join(left, "path"))
+        links.append(leaves(rest.filter((F.col("n") > 1) & (F.col("n") <= bucket))))
+        large = rest.filter(F.col("n") > bucket)
         if large.isEmpty():
             break
         if level > depth:
@@ -196,6 +213,57 @@ def candidate_links(sketched: DataFrame, threshold: float = THRESHOLD, missed: f
     return found
 
 
+def _around_pivots(large: DataFrame, sketched: DataFrame, least: int, bucket: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Takes what is like a large bucket's pivot out of it: the members that are left, and the links found.
+
+    Members like the pivot are linked to it and need no comparison with each other. Those between like and far are
+    compared with the whole bucket, so only the far ones are left. A bucket with too many between is left whole.
+    """
+    pivots = large.select("path", "pivot").distinct().join(sketched.withColumnsRenamed({"node": "pivot", "sketch": "mark"}), "pivot")
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in W.slices(batches, 2048):
+            marks = np.frombuffer(b"".join(batch.column("mark").to_pylist()), dtype=np.uint32).reshape(batch.num_rows, PLACES)
+            same = (_sketches(batch) == marks).sum(axis=1)
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("path", "node", "pivot")], pa.array(same, pa.int64())], ["path", "node", "pivot", "same"])
+
+    near = large.select("path", "node").join(sketched, "node").join(pivots, "path").select("path", "node", "pivot", "sketch", "mark")
+    told = materialize(near.mapInArrow(measure, "path long, node long, pivot long, same long"))
+    like, far = F.col("same") >= math.ceil(SAME * PLACES), F.col("same") < math.floor(FAR * PLACES)
+    counts = told.groupBy("path").agg(F.count_if(~like & ~far).alias("between"), F.count(F.lit(1)).alias("all"))
+    placed = told.join(counts, "path").withColumn("peeled", F.col("between") <= BETWEEN)
+    stars = told.filter((F.col("same") >= least) & (F.col("node") != F.col("pivot"))).select(F.col("node").alias("a"), F.col("pivot").alias("b"))
+    blocks = F.ceil(F.col("all") / bucket).cast("int")
+    own = F.pmod(F.xxhash64("node", F.lit(3)), blocks).cast("int")
+    middle = ~like & ~far
+    seats = placed.filter(F.col("peeled") & (F.col("between") > 0)).withColumn("middle", middle).withColumn(
+        "block", F.explode(F.when(middle, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(own))))
+    asked = seats.select(F.xxhash64("path", "block").alias("path"), "node", "middle").join(sketched, "node")
+    compared = asked.repartition("path").sortWithinPartitions("path", F.desc("middle")).mapInArrow(_middle_links(least), "a long, b long")
+    return placed.filter(~F.col("peeled") | far).select("path", "node"), [stars, compared]
+
+
+def _middle_links(least: int):
+    """In each block, compares the members marked as middle, which come first, with all."""
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in _groups(batches, ["path"]):
+            path = whole.column("path").to_numpy()
+            bounds = np.concatenate([[0], np.flatnonzero(path[1:] != path[:-1]) + 1, [len(path)]])
+            for low, high in zip(bounds[:-1], bounds[1:]):
+                batch = whole.slice(low, high - low)
+                marks, node = _sketches(batch), batch.column("node").to_numpy()
+                near_a, near_b = [], []
+                for i in range(int(batch.column("middle").to_numpy(zero_copy_only=False).sum())):
+                    hits = np.flatnonzero((marks == marks[i]).sum(axis=1) >= least)
+                    near_a.append(np.full(len(hits), i))
+                    near_b.append(hits)
+                label = _labels(len(node), np.concatenate(near_a), np.concatenate(near_b)) if near_a else np.arange(len(node))
+                gone = node[label] != node
+                yield pa.RecordBatch.from_arrays([pa.array(node[gone]), pa.array(node[label[gone]])], ["a", "b"])
+
+    return link
+
+
 def _large_links(members: DataFrame, sketched: DataFrame, least: int, bucket: int) -> DataFrame:
     """Links in buckets that no path makes smaller: their members in blocks, each two blocks in a task."""
     blocks = F.ceil(F.col("n") / (bucket / 2)).cast("int")
@@ -259,7 +327,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     kind = plain.schema["doc_id"].dataType.simpleString()
 
     def sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in W.slices(batches):
             marks = [sketch(s).tobytes() if len(s) else None for s in shingle_sets(batch.column("text").to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), pa.array(marks, pa.binary())], ["doc_id", "key", "sketch"])
 
@@ -273,7 +341,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     wanted = groups.join(sizes, "group").join(different.select("node", "key", "first_id", "copies"), "node")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in W.slices(batches):
             found = [s.tobytes() for s in shingle_sets(batch.column("text").to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("node", "group", "blocks", "copies")] + [pa.array(found, pa.binary())],
                                              ["node", "group", "blocks", "copies", "shingles"])

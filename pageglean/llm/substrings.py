@@ -42,12 +42,11 @@ def anchors(hashes: np.ndarray, window: int = WINDOW, prefix: int = PREFIX) -> t
 
 
 def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, bytes, np.ndarray]]:
-    """Row, bytes and word hashes of each text of a batch, some at a time."""
+    """Row, bytes and word hashes of each text of a batch."""
     texts = batch.column("text").to_pylist()
-    for at in range(0, len(texts), 512):
-        hashes, begins = W.word_hashes(texts[at:at + 512])
-        for i in range(len(begins) - 1):
-            yield at + i, W.encoded(texts[at + i]), hashes[begins[i]:begins[i + 1]]
+    hashes, begins = W.word_hashes(texts)
+    for i, text in enumerate(texts):
+        yield i, W.encoded(text), hashes[begins[i]:begins[i + 1]]
 
 
 def _kept_sha(words: list[bytes]) -> str:
@@ -91,7 +90,7 @@ _WHO = ["doc_id", "text_key"]
 def _base(plain: DataFrame, window: int) -> DataFrame:
     """Per document: number of words, hash of all words, and its different anchors."""
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in W.slices(batches):
             sizes, shas, found = [], [], []
             for _, blob, hashes in _texts(batch):
                 places, grams = anchors(hashes, window)
@@ -105,12 +104,12 @@ def _base(plain: DataFrame, window: int) -> DataFrame:
 
 
 def _segments(flagged: DataFrame, window: int, whole: bool) -> DataFrame:
-    """What the flagged anchors of each text reach: ``prefix``, the document, the first window, and the words.
+    """What the flagged anchors of each text reach: ``prefix``, the document, the first windows, and the words.
 
-    One row per anchor and place. With ``whole``, one row per window, and its prefix is the window.
+    One row per anchor and different words. With ``whole``, one row per window, and its prefix is the window.
     """
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in W.slices(batches, 128):
             rows: list[tuple] = []
             who = [batch.column(c).to_pylist() for c in _WHO]
             wanted = batch.column("wanted")
@@ -128,27 +127,29 @@ def _segments(flagged: DataFrame, window: int, whole: bool) -> DataFrame:
                 if not len(starts):
                     continue
                 parts, keys = blob.split(), grams.view(np.int64)[places[starts]]
+                # A text that repeats itself reaches the same words from many places; they are one suffix with many starts.
+                places_of: dict[tuple, list[int]] = {}
                 for a, b, key in zip(starts.tolist(), ends.tolist(), keys.tolist()):
-                    words = b" ".join(parts[a:b + window - 1])
-                    rows.append((hashlib.sha256(words).digest() if whole else key, who[0][i], who[1][i], a, words))
-            for at in range(0, len(rows), 20000):
-                columns = list(zip(*rows[at:at + 20000]))
+                    places_of.setdefault((key, b" ".join(parts[a:b + window - 1])), []).append(a)
+                rows += [(hashlib.sha256(words).digest() if whole else key, who[0][i], who[1][i], found, words) for (key, words), found in places_of.items()]
+            for at in range(0, len(rows), 5000):
+                columns = list(zip(*rows[at:at + 5000]))
                 if whole:
-                    kinds, names = (pa.binary(), pa.int64(), pa.int64(), pa.int32()), ["window", *_WHO, "start"]
+                    kinds, names = (pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.int32())), ["window", *_WHO, "starts"]
                 else:
-                    kinds, names = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()), ["prefix", *_WHO, "start", "words"]
+                    kinds, names = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.binary()), ["prefix", *_WHO, "starts", "words"]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
     if whole:
-        return flagged.mapInArrow(cut, "window binary, doc_id long, text_key long, start int")
-    return flagged.mapInArrow(cut, "prefix long, doc_id long, text_key long, start int, words binary")
+        return flagged.mapInArrow(cut, "window binary, doc_id long, text_key long, starts array<int>")
+    return flagged.mapInArrow(cut, "prefix long, doc_id long, text_key long, starts array<int>, words binary")
 
 
 def _tree_repeats(window: int):
     """Goes through groups of suffixes and gives the runs of windows that a smaller document has too."""
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _groups(batches, ["prefix"]):
-            doc, start = batch.column("doc_id").to_numpy(), batch.column("start").to_numpy()
+            doc = batch.column("doc_id").to_numpy()
             blobs = batch.column("words").to_pylist()
             data = b"\n".join(blobs)
             spans = W.spans(data)
@@ -166,8 +167,9 @@ def _tree_repeats(window: int):
             a, b = _runs(flags)
             first = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(blobs)))])
             at = row[a]
-            columns = [batch.column(c).take(pa.array(at)) for c in _WHO] + [pa.array((start[at] + a - first[at]).astype(np.int32)), pa.array((start[at] + b - first[at]).astype(np.int32))]
-            yield pa.RecordBatch.from_arrays(columns, [*_WHO, "begin", "end"])
+            columns = [batch.column(c).take(pa.array(at)) for c in (*_WHO, "starts")] + [
+                pa.array((a - first[at]).astype(np.int32)), pa.array((b - first[at]).astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(columns, [*_WHO, "starts", "begin", "end"])
 
     return find
 
@@ -197,23 +199,24 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return plain.join(some, _WHO).select(*_WHO, "text", "wanted").dropDuplicates(_WHO)
 
     suffixes = _segments(texts_with("short"), window, False).repartition("prefix").sortWithinPartitions("prefix")
-    repeats = suffixes.mapInArrow(_tree_repeats(window), "doc_id long, text_key long, begin int, end int")
+    found = suffixes.mapInArrow(_tree_repeats(window), "doc_id long, text_key long, starts array<int>, begin int, end int")
     if not shared.filter("long").isEmpty():
         windows = _segments(texts_with("long"), window, True)
         least = windows.groupBy("window").agg(F.min("doc_id").alias("least"))
         deep = windows.join(least, "window").filter(F.col("least") < F.col("doc_id"))
-        repeats = repeats.unionByName(deep.select(*_WHO, F.col("start").alias("begin"), (F.col("start") + 1).alias("end")))
-    lists = repeats.groupBy(*_WHO).agg(F.collect_list(F.struct("begin", "end")).alias("runs"))
+        found = found.unionByName(deep.select(*_WHO, "starts", F.lit(0).alias("begin"), F.lit(1).alias("end")))
+    lists = found.groupBy(*_WHO).agg(F.collect_list(F.struct("starts", "begin", "end")).alias("runs"))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in W.slices(batches):
             removed, shas = [], []
             for text, runs in zip(batch.column("text").to_pylist(), batch.column("runs").to_pylist()):
                 words = W.encoded(text).split()
                 turns = np.zeros(len(words) + 1, dtype=np.int64)
                 for r in runs:
-                    turns[r["begin"]] += 1
-                    turns[r["end"] + window - 1] -= 1
+                    starts = np.array(r["starts"])
+                    np.add.at(turns, starts + r["begin"], 1)
+                    np.add.at(turns, starts + r["end"] + window - 1, -1)
                 gone = np.cumsum(turns[:-1]) > 0
                 removed.append(int(gone.sum()))
                 shas.append(_kept_sha([w for w, g in zip(words, gone.tolist()) if not g]))

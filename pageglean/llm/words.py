@@ -46,6 +46,13 @@ def encoded(text: str | None) -> bytes:
     return b"" if text is None else text.encode("utf-8", "replace")
 
 
+def slices(batches, rows: int = 512):
+    """Arrow batches cut into short ones, so that what is made of a batch stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def spans(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Start and end of every word of a byte string."""
     flags = np.zeros(len(data) + 2, dtype=np.int8)
