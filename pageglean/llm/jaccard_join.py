@@ -55,7 +55,7 @@ _SEEDS = W.mixed(np.arange(PLACES), 23) | np.uint64(1)
 
 
 def sketch(shingles: np.ndarray) -> np.ndarray:
-    """Minimum of each of the hash functions over a set, cut to 32 bits."""
+    """Minimum of each of the hash functions over a set, as 32 bits."""
     least = np.full(PLACES, np.iinfo(np.uint64).max, dtype=np.uint64)
     with np.errstate(over="ignore"):
         for at in range(0, len(shingles), 4096):
@@ -129,7 +129,7 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.R
 
 
 def _sketches(batch: pa.RecordBatch) -> np.ndarray:
-    return np.frombuffer(b"".join(batch.column("sketch").to_pylist()), dtype=np.uint32).reshape(batch.num_rows, PLACES)
+    return np.frombuffer(b"".join(batch.column("sketch").to_pylist()), dtype=np.uint16).reshape(batch.num_rows, PLACES)
 
 
 def _alike(sketches: np.ndarray, a: np.ndarray, b: np.ndarray, least: int) -> np.ndarray:
@@ -163,84 +163,83 @@ def _bucket_links(least: int):
     return link
 
 
-def candidate_links(sketched: DataFrame, threshold: float = THRESHOLD, missed: float = MISSED, bucket: int = BUCKET, depth: int = DEPTH) -> DataFrame:
-    """Links ``a``, ``b`` that hold together all ``node``s whose ``sketch``es are near: at most one per node and bucket."""
-    least = math.floor(PLACES * (threshold - DEVIATIONS * math.sqrt(threshold * (1 - threshold) / PLACES)))
-    places = first_places(runs_needed(threshold, missed), threshold)
+def candidate_links(sketched: DataFrame, threshold: float = THRESHOLD, bucket: int = BUCKET, depth: int = DEPTH) -> DataFrame:
+    """Links ``a``, ``b`` that hold together all ``node``s whose ``sketch``es are near: at most one per node and bucket.
 
-    def root(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                paths = _paths(places, _sketches(batch))
-                yield pa.RecordBatch.from_arrays([pa.array(paths.ravel()), pa.array(np.repeat(batch.column("node").to_numpy(), len(places)))], ["path", "node"])
+    ``sketched`` has the nodes with their sketches and their ``paths`` from the root.
+    """
+    least = math.floor(PLACES * (threshold - DEVIATIONS * math.sqrt(threshold * (1 - threshold) / PLACES)))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                rows, paths = _next_paths(batch.column("path").to_numpy(), _sketches(batch), threshold)
-                yield pa.RecordBatch.from_arrays([pa.array(paths), pa.array(batch.column("node").to_numpy()[rows])], ["path", "node"])
-
-    held = sketched.select("node", "sketch").mapInArrow(root, "path long, node long")
-    links, level = [], 0
+        for batch in W.slices(batches, 2048):
+            rows, paths = _next_paths(batch.column("path").to_numpy(), _sketches(batch), threshold)
+            taken = pa.array(rows)
+            yield pa.RecordBatch.from_arrays([pa.array(paths), batch.column("node").take(taken), batch.column("sketch").take(taken)], ["path", "node", "sketch"])
 
     def leaves(small: DataFrame) -> DataFrame:
-        rows = small.join(sketched, "node").select("path", "node", "sketch")
-        return rows.repartition("path").sortWithinPartitions("path").mapInArrow(_bucket_links(least), "a long, b long")
-
-    while True:
-        sizes = materialize(held.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("pivot")).filter(F.col("n") > 1))
-        members = materialize(held.join(sizes, "path"))
-        links.append(leaves(members.filter(F.col("n") <= bucket)))
-        large = members.filter(F.col("n") > bucket)
-        level += 1
-        if large.isEmpty():
-            break
-        rest, more = _around_pivots(large, sketched, least, bucket)
-        links += more
-        left = rest.groupBy("path").agg(F.count(F.lit(1)).alias("n"))
-        rest = materialize(rest.join(left, "path"))
-        links.append(leaves(rest.filter((F.col("n") > 1) & (F.col("n") <= bucket))))
+        rows = small.select("path", "node", "sketch").repartition("path").sortWithinPartitions("path")
+        return rows.mapInArrow(_bucket_links(least), "a long, b long")
+
+    def sized(rows: DataFrame) -> DataFrame:
+        """Rows of buckets with more than one member, with the members' number and the least of them."""
+        sizes = materialize(rows.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("pivot")).filter(F.col("n") > 1))
+        return rows.join(sizes, "path")
+
+    # Most texts share no bucket, so sketches follow only the others, and of large buckets they are stored with the members.
+    members = materialize(sized(sketched.select(F.explode("paths").alias("path"), "node")))
+    marks = sketched.select("node", "sketch")
+    links, level = [leaves(members.filter(F.col("n") <= bucket).join(marks, "node"))], 1
+    large = members.filter(F.col("n") > bucket)
+    if not large.isEmpty():
+        large = materialize(large.join(marks, "node"))
+    while not large.isEmpty():
+        rest, more = _around_pivots(large, least, bucket)
+        rest = materialize(sized(rest))
+        links += [*more, leaves(rest.filter(F.col("n") <= bucket))]
         large = rest.filter(F.col("n") > bucket)
         if large.isEmpty():
             break
-        if level > depth:
-            links.append(_large_links(large, sketched, least, bucket))
+        if level >= depth:
+            links.append(_large_links(large, least, bucket))
             break
-        held = large.join(sketched, "node").select("path", "node", "sketch").mapInArrow(split, "path long, node long")
+        held = materialize(sized(large.select("path", "node", "sketch").mapInArrow(split, "path long, node long, sketch binary")))
+        links.append(leaves(held.filter(F.col("n") <= bucket)))
+        large, level = held.filter(F.col("n") > bucket), level + 1
     found = links[0]
     for more in links[1:]:
         found = found.unionByName(more)
     return found
 
 
-def _around_pivots(large: DataFrame, sketched: DataFrame, least: int, bucket: int) -> tuple[DataFrame, list[DataFrame]]:
+def _around_pivots(large: DataFrame, least: int, bucket: int) -> tuple[DataFrame, list[DataFrame]]:
     """Takes what is like a large bucket's pivot out of it: the members that are left, and the links found.
 
     Members like the pivot are linked to it and need no comparison with each other. Those between like and far are
     compared with the whole bucket, so only the far ones are left. A bucket with too many between is left whole.
     """
-    pivots = large.select("path", "pivot").distinct().join(sketched.withColumnsRenamed({"node": "pivot", "sketch": "mark"}), "pivot")
+    pivots = large.filter(F.col("node") == F.col("pivot")).select("path", F.col("sketch").alias("mark"))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in W.slices(batches, 2048):
-            marks = np.frombuffer(b"".join(batch.column("mark").to_pylist()), dtype=np.uint32).reshape(batch.num_rows, PLACES)
+            marks = np.frombuffer(b"".join(batch.column("mark").to_pylist()), dtype=np.uint16).reshape(batch.num_rows, PLACES)
             same = (_sketches(batch) == marks).sum(axis=1)
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("path", "node", "pivot")], pa.array(same, pa.int64())], ["path", "node", "pivot", "same"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("path", "node", "pivot", "sketch")], pa.array(same, pa.int64())],
+                                             ["path", "node", "pivot", "sketch", "same"])
 
-    near = large.select("path", "node").join(sketched, "node").join(pivots, "path").select("path", "node", "pivot", "sketch", "mark")
-    told = materialize(near.mapInArrow(measure, "path long, node long, pivot long, same long"))
+    near = large.join(pivots, "path").select("path", "node", "pivot", "sketch", "mark")
+    told = materialize(near.mapInArrow(measure, "path long, node long, pivot long, sketch binary, same long"))
     like, far = F.col("same") >= math.ceil(SAME * PLACES), F.col("same") < math.floor(FAR * PLACES)
-    counts = told.groupBy("path").agg(F.count_if(~like & ~far).alias("between"), F.count(F.lit(1)).alias("all"))
+    middle = ~like & ~far
+    counts = told.groupBy("path").agg(F.count_if(middle).alias("between"), F.count(F.lit(1)).alias("all"))
     placed = told.join(counts, "path").withColumn("peeled", F.col("between") <= BETWEEN)
     stars = told.filter((F.col("same") >= least) & (F.col("node") != F.col("pivot"))).select(F.col("node").alias("a"), F.col("pivot").alias("b"))
     blocks = F.ceil(F.col("all") / bucket).cast("int")
     own = F.pmod(F.xxhash64("node", F.lit(3)), blocks).cast("int")
-    middle = ~like & ~far
     seats = placed.filter(F.col("peeled") & (F.col("between") > 0)).withColumn("middle", middle).withColumn(
         "block", F.explode(F.when(middle, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(own))))
-    asked = seats.select(F.xxhash64("path", "block").alias("path"), "node", "middle").join(sketched, "node")
+    asked = seats.select(F.xxhash64("path", "block").alias("path"), "node", "middle", "sketch")
     compared = asked.repartition("path").sortWithinPartitions("path", F.desc("middle")).mapInArrow(_middle_links(least), "a long, b long")
-    return placed.filter(~F.col("peeled") | far).select("path", "node"), [stars, compared]
+    return placed.filter(~F.col("peeled") | far).select("path", "node", "sketch"), [stars, compared]
 
 
 def _middle_links(least: int):
@@ -264,13 +263,13 @@ def _middle_links(least: int):
     return link
 
 
-def _large_links(members: DataFrame, sketched: DataFrame, least: int, bucket: int) -> DataFrame:
+def _large_links(members: DataFrame, least: int, bucket: int) -> DataFrame:
     """Links in buckets that no path makes smaller: their members in blocks, each two blocks in a task."""
     blocks = F.ceil(F.col("n") / (bucket / 2)).cast("int")
     own = F.pmod(F.xxhash64("node", F.lit(3)), blocks).cast("int")
     other = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     pair = F.xxhash64("path", F.least("own", "other"), F.greatest("own", "other"))
-    return other.withColumn("path", pair).join(sketched, "node").select("path", "node", "sketch").repartition("path").sortWithinPartitions(
+    return other.withColumn("path", pair).select("path", "node", "sketch").repartition("path").sortWithinPartitions(
         "path").mapInArrow(_bucket_links(least), "a long, b long")
 
 
@@ -328,15 +327,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in W.slices(batches):
-            marks = [sketch(s).tobytes() if len(s) else None for s in shingle_sets(batch.column("text").to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), pa.array(marks, pa.binary())], ["doc_id", "key", "sketch"])
+            full = [sketch(s) if len(s) else None for s in shingle_sets(batch.column("text").to_pylist())]
+            # A path hangs on all 32 bits; to compare two sketches 16 are enough.
+            marks = [None if m is None else m.astype(np.uint16).tobytes() for m in full]
+            paths = [None if m is None else _paths(places, m[None, :])[0] for m in full]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), pa.array(marks, pa.binary()), pa.array(paths, pa.list_(pa.int64()))],
+                                             ["doc_id", "key", "sketch", "paths"])
 
+    places = first_places(runs_needed(threshold, missed), threshold)
     keyed = plain.filter(F.col("text").isNotNull()).select("doc_id", F.md5("text").alias("key"), "text")
-    rows = keyed.mapInArrow(sketches, f"doc_id {kind}, key string, sketch binary")
+    rows = keyed.mapInArrow(sketches, f"doc_id {kind}, key string, sketch binary, paths array<long>")
     different = materialize(rows.groupBy("key").agg(
-        F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.max("sketch").alias("sketch")).withColumn("node", F.monotonically_increasing_id()))
-    sketched = different.filter(F.col("sketch").isNotNull()).select("node", "sketch")
-    groups = components(candidate_links(sketched, threshold, missed, bucket, depth)).withColumnRenamed("label", "group")
+        F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.any_value("sketch").alias("sketch"), F.any_value("paths").alias("paths"),
+    ).withColumn("node", F.monotonically_increasing_id()))
+    sketched = different.filter(F.col("sketch").isNotNull()).select("node", "sketch", "paths")
+    groups = components(candidate_links(sketched, threshold, bucket, depth)).withColumnRenamed("label", "group")
     sizes = groups.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
     wanted = groups.join(sizes, "group").join(different.select("node", "key", "first_id", "copies"), "node")
 
@@ -346,9 +351,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("node", "group", "blocks", "copies")] + [pa.array(found, pa.binary())],
                                              ["node", "group", "blocks", "copies", "shingles"])
 
-    # One row of each candidate text: that of its least id (null ids join as such), once if the row itself is repeated.
-    texts = wanted.join(keyed, (wanted["key"] == keyed["key"]) & wanted["first_id"].eqNullSafe(keyed["doc_id"])).select(
-        "node", "group", "blocks", "copies", "text").dropDuplicates(["node"])
+    # One row of each candidate text: that of its least id, once if the row itself is repeated. Null ids join as -1, and
+    # the rows are dealt by what they are joined by, so taking one of each shuffles nothing more.
+    def joined_by(df: DataFrame, name: str) -> DataFrame:
+        return df.withColumn("joined_id", F.coalesce(name, F.lit(-1).cast(kind))).drop(name)
+
+    texts = joined_by(wanted, "first_id").join(joined_by(keyed, "doc_id"), ["key", "joined_id"]).dropDuplicates(["key", "joined_id"])
     members = texts.mapInArrow(sets, "node long, group long, blocks int, copies long, shingles binary")
     own = F.pmod(F.xxhash64("node", F.lit(5)), F.col("blocks")).cast("int")
     paired = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
