@@ -234,7 +234,7 @@ def unclassified_pages(spark, sf):
 
 def channel_gate(spark, sf):
     pages = I.pages(spark, sf).select("page_id", "url")
-    return M.restrict_pages(pages, M.gated_urls(I.channels(spark, sf)))[0]
+    return M.restrict_pages(pages, M.gated_urls(I.channels(spark, sf)))
 
 
 def _later(df: DataFrame, *columns: str) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from pageglean.functions import segments as S
 from pageglean.functions import urls as U
-from pageglean.operators.joins import BROADCAST_BYTES, fits_broadcast, join_sized, lookup
+from pageglean.operators.joins import BROADCAST_BYTES, lookup
 
 SITE_KEY = ("page_url",)
 CONTAINS_KEY = ("site_id", "keyword_id")
@@ -92,15 +92,15 @@ def gated_urls(channels: DataFrame, allowed: Sequence[str] = S.CLASSIFIED_CHANNE
     return channels.filter(S.channel_passes(F.col("response"), allowed)).select("url").distinct()
 
 
-def restrict_pages(pages: DataFrame, urls: DataFrame, max_bytes: int = BROADCAST_BYTES) -> tuple[DataFrame, bool]:
-    """Pages of these URLs, and whether that was done.
+def restrict_pages(pages: DataFrame, urls: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Pages of these URLs. Up to ``max_bytes`` the list is broadcast and no page moves; a longer one is joined by shuffling."""
+    return lookup(pages, urls.select("url").distinct(), "url", "left_semi", max_bytes)
 
-    A list too long to broadcast is not applied here, because every page's HTML would be shuffled for it: apply it to the
-    counts instead, which are far smaller.
-    """
-    if fits_broadcast(urls.select("url"), max_bytes):
-        return join_sized(pages, urls.select("url"), "url", "left_semi", small=True), True
-    return pages, False
+
+def newest_pages(pages: DataFrame, urls: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Of these URLs one page each, the one of largest ``page_id``; chosen on the keys, so no other page is parsed."""
+    newest = restrict_pages(pages.select("url", "page_id"), urls, max_bytes).groupBy("url").agg(F.max("page_id").alias("page_id"))
+    return lookup(pages, newest, ["url", "page_id"], "left_semi", max_bytes)
 
 
 # ---- changing -----------------------------------------------------------------------------------------------------

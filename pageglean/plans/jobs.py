@@ -74,18 +74,17 @@ def classify(store: Store, urls: DataFrame, pages: DataFrame, keywords: DataFram
              stop_words: Sequence[str] = X.STOP_WORDS) -> None:
     """Job 3: counts keywords on the listed pages, keeps them in the keyword store and enters them into the mart.
 
-    With ``channels`` only pages that pass the channel gate are classified.
+    With ``channels`` only pages that pass the channel gate are classified. Of pages that share a URL the one of largest
+    ``page_id`` counts.
     """
     listed = L.distinct_urls(urls)
     wanted = listed.select(U.default_scheme(F.col("page_url")).alias("url")).distinct()
     if channels is not None:
         wanted = wanted.join(M.gated_urls(channels), "url", "left_semi")
     wanted = materialize(wanted)
-    chosen, restricted = M.restrict_pages(pages, wanted)
+    chosen = M.newest_pages(pages, wanted)
     # The counts feed the store and the mart, so they are stored once instead of parsing the pages for each.
     counts = K.classify_pages(chosen, K.vocabulary(keywords), stop_words)
-    if not restricted:
-        counts = counts.join(wanted, "url", "left_semi")
     counts = materialize(counts.select(F.col("url").alias("page_url"), "keyword", "points"))
 
     scraped = pages.select("url").join(wanted, "url", "left_semi").distinct()
