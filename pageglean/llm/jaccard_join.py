@@ -145,20 +145,19 @@ def _bucket_links(least: int):
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _groups(batches, ["path"]):
             path, node, marks = batch.column("path").to_numpy(), batch.column("node").to_numpy(), _sketches(batch)
-            near_a, near_b, lag = [], [], 1
-            # Rows of a bucket stand together: pairs are rows at distance 1, 2, ... while any bucket is that long.
-            while lag < len(path):
+            label = np.arange(len(path))
+            # Rows of a bucket stand together: pairs are rows at distance 1, 2, ... while any bucket is that long. Pairs
+            # that hang together already need no look, and none are kept.
+            for lag in range(1, len(path)):
                 a = np.flatnonzero(path[:-lag] == path[lag:])
                 if not len(a):
                     break
-                good = a[_alike(marks, a, a + lag, least)]
-                near_a.append(good)
-                near_b.append(good + lag)
-                lag += 1
-            if near_a:
-                label = _labels(len(path), np.concatenate(near_a), np.concatenate(near_b))
-                far = node[label] != node
-                yield pa.RecordBatch.from_arrays([pa.array(node[far]), pa.array(node[label[far]])], ["a", "b"])
+                a = a[label[a] != label[a + lag]]
+                a = a[_alike(marks, a, a + lag, least)]
+                if len(a):
+                    label = _labels(len(path), label[a], label[a + lag])[label]
+            far = node[label] != node
+            yield pa.RecordBatch.from_arrays([pa.array(node[far]), pa.array(node[label[far]])], ["a", "b"])
 
     return link
 
@@ -251,12 +250,12 @@ def _middle_links(least: int):
             for low, high in zip(bounds[:-1], bounds[1:]):
                 batch = whole.slice(low, high - low)
                 marks, node = _sketches(batch), batch.column("node").to_numpy()
-                near_a, near_b = [], []
+                label = np.arange(len(node))
                 for i in range(int(batch.column("middle").to_numpy(zero_copy_only=False).sum())):
-                    hits = np.flatnonzero((marks == marks[i]).sum(axis=1) >= least)
-                    near_a.append(np.full(len(hits), i))
-                    near_b.append(hits)
-                label = _labels(len(node), np.concatenate(near_a), np.concatenate(near_b)) if near_a else np.arange(len(node))
+                    others = np.flatnonzero(label != label[i])
+                    near = others[(marks[others] == marks[i]).sum(axis=1) >= least]
+                    if len(near):
+                        label = _labels(len(node), np.full(len(near), label[i]), label[near])[label]
                 gone = node[label] != node
                 yield pa.RecordBatch.from_arrays([pa.array(node[gone]), pa.array(node[label[gone]])], ["a", "b"])
 
