@@ -99,8 +99,8 @@ def _year():
 
 def url_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """URL list with repeats and missing entries."""
-    page = F.concat(F.lit("http://s"), F.col("o_custkey") % 50, F.lit(".example.com/c/"), F.col("o_orderkey").cast("bigint") % 9973)
-    return table(spark, sf_dir, "orders").select(F.when(F.col("o_orderkey") % 97 != 0, page).alias("page_url"))
+    page = F.concat(F.lit("http://s"), F.col("l_orderkey") % 50, F.lit(".example.com/c/"), F.col("l_orderkey"))
+    return table(spark, sf_dir, "lineitem").select(F.when(F.col("l_orderkey") % 97 != 0, page).alias("page_url"))
 
 
 def hrefs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -151,7 +151,7 @@ SEGMENTS = """custom_segments AS (
 segment AS (SELECT p_partkey AS keyword_id, id AS custom_segment_id FROM part JOIN custom_segments USING (p_type))"""
 
 CATEGORY = f"""{SITE}, {SEGMENTS},
-site_category AS (
+site_category AS MATERIALIZED (
   SELECT DISTINCT s.site_id, s.host AS domain, c.name AS custom_segment_name, s.current_dates
   FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey JOIN custom_segments c USING (p_type)
   JOIN site s ON s.site_id = l.l_orderkey)"""
@@ -209,13 +209,15 @@ def _with(parts: str, select: str) -> str:
 def statements() -> dict[str, str]:
     pages_path = "regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1)"
     scheme = "regexp_extract(url, '^([a-z]+)://', 1)"
-    url_list = "SELECT 'http://s' || (o_custkey % 50) || '.example.com/c/' || (o_orderkey % 9973) AS page_url FROM orders WHERE o_orderkey % 97 <> 0"
+    url_list = "SELECT 'http://s' || (l_orderkey % 50) || '.example.com/c/' || l_orderkey AS page_url FROM lineitem WHERE l_orderkey % 97 <> 0"
     return {
         "title_text": f"SELECT page_id, {TITLE} AS title FROM pages",
         "visible_text": f"SELECT page_id, {_body('html')} AS body FROM pages",
         "meta_text": _with(FIELDS, "SELECT page_id, max(text) FILTER (field = 'keywords') AS keywords, "
                                    "max(text) FILTER (field = 'description') AS description FROM fields GROUP BY page_id"),
         "valid_text": "SELECT doc_id, text FROM documents",
+        "decode_references": """SELECT doc_id, chr((65 + doc_id % 26)::INT) || chr(39) || chr(10003) || chr((97 + doc_id % 26)::INT) || chr(65533)
+  || '&none;' || text AS text FROM documents WHERE text IS NOT NULL""",
         "tokens": _with(TOKENS, "SELECT page_id, field, pos, token FROM tokens"),
         "vocabulary": _with(TEXT_KEYWORDS, "SELECT keyword FROM vocab"),
         "phrase_match": _with(MATCHES, "SELECT page_id, field, pos, keyword FROM matches"),

@@ -49,6 +49,15 @@ def valid_text(spark, sf):
     return I.broken_text(spark, sf).select("doc_id", H.valid_text(F.col("raw")).alias("text"))
 
 
+def decode_references(spark, sf):
+    """Texts behind a decimal, two named, a hexadecimal, an impossible and an unknown reference."""
+    letter = F.col("doc_id") % 26
+    references = F.concat(F.lit("&#"), F.lpad((letter + 65).cast("string"), 13, "0"), F.lit(";&apos;&check;&#x"),
+                          F.lpad(F.hex(letter + 97), 12, "0"), F.lit(";&#99999999999999999999;&none;"))
+    known = I.table(spark, sf, "documents").filter("text IS NOT NULL")
+    return known.select("doc_id", F.concat(H.decode_entities(references), H.decode_entities(F.replace("text", F.lit("&"), F.lit("&amp;")))).alias("text"))
+
+
 def _tokens(spark, sf):
     return K.field_tokens(K.page_fields(I.described_pages(spark, sf)))
 
@@ -385,7 +394,7 @@ def retention_filter(spark, sf):
 
 ALL = {
     f.__name__: f for f in (
-        title_text, visible_text, meta_text, valid_text, tokens, vocabulary, phrase_match, keyword_counts, keyword_counts_min,
+        title_text, visible_text, meta_text, valid_text, decode_references, tokens, vocabulary, phrase_match, keyword_counts, keyword_counts_min,
         keyword_map, explode_keyword_map, terms_not_in_vocabulary,
         url_parts_of, normalize_url, default_scheme, valid_urls, resolve_links, join_urls, skip_path_filter, extract_links,
         link_kind, unify_host, link_totals, fetchable_pages, site_closure, url_dedup, url_parts,

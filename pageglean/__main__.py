@@ -23,6 +23,9 @@ def arguments() -> argparse.ArgumentParser:
             sub.add_argument(f"--{option.replace('_', '-')}", default=default)
 
     command("crawl", "pages", "seed", "urls", "date", skip="", fetch_log=None)
+    crawl = job.choices["crawl"]
+    crawl.add_argument("--strict", action="store_true")
+    crawl.add_argument("--max-depth", type=int)
     command("purge", "mart", "domain", urls=None)
     command("classify", "mart", "urls", "pages", "keywords", "segment", "custom-segments", "date", channels=None)
     command("refresh", "mart", "warehouse", "exports", "domain", "date")
@@ -39,7 +42,8 @@ def main() -> None:
         return None if path is None else files.read_table(spark, path)
 
     if args.job == "crawl":
-        jobs.crawl(table(args.pages), args.seed, args.urls, args.date, skipped=args.skip, fetch_log=table(args.fetch_log))
+        jobs.crawl(table(args.pages), args.seed, args.urls, args.date, skipped=args.skip, fetch_log=table(args.fetch_log),
+                   strict=args.strict, max_depth=args.max_depth)
     elif args.job == "purge":
         urls = None if args.urls is None else files.read_urls(spark, args.urls)
         print(jobs.purge(Store(spark, args.mart), urls, args.domain, run))

@@ -8,7 +8,7 @@ length of the page and does not recurse, whatever the page holds.
 from __future__ import annotations
 
 import json
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -46,7 +46,9 @@ _C1 = [b for b in range(0x80, 0xA0) if bytes([b]).decode("cp1252", "ignore")]
 _C1_FROM = "".join(chr(b) for b in _C1)
 _C1_TO = "".join(bytes([b]).decode("cp1252") for b in _C1)
 
-_NAMED = json.dumps({name: chr(cp) for name, cp in name2codepoint.items()})
+_NAMED = json.dumps({name.rstrip(";"): text for name, text in html5.items()})
+# A number of more digits than this, leading zeros aside, is no code point.
+_MOST_DIGITS = 9
 
 
 def valid_text(raw: Column) -> Column:
@@ -60,20 +62,25 @@ def _code_point(number: Column) -> Column:
     return F.translate(F.decode(big_endian, "UTF-32"), _C1_FROM, _C1_TO)
 
 
+def _number(digits: Column, base: int) -> Column:
+    """Digits as a number, 0 (which is no character) if there are too many of them."""
+    return let(F.ltrim(digits, F.lit("0")), lambda d: F.when(F.length(d) <= _MOST_DIGITS, F.conv(F.concat(F.lit("0"), d), base, 10).cast("bigint")).otherwise(0))
+
+
 def _character(reference: Column) -> Column:
     named = F.try_element_at(F.from_json(F.lit(_NAMED), "map<string,string>"), reference)
     return (
         F.when(reference == "", F.lit(None))
         .when(F.substr(reference, F.lit(1), F.lit(2)).isin("#x", "#X"),
-              let(F.conv(F.substr(reference, F.lit(3)), 16, 10).cast("bigint"), _code_point))
+              let(_number(F.substr(reference, F.lit(3)), 16), _code_point))
         .when(F.startswith(reference, F.lit("#")),
-              let(F.substr(reference, F.lit(2)).cast("bigint"), _code_point))
+              let(_number(F.substr(reference, F.lit(2)), 10), _code_point))
         .otherwise(named)
     )
 
 
 def _decode_after_ampersand(piece: Column) -> Column:
-    reference = F.regexp_extract(piece, r"\A(?:#[0-9]{1,9}|#[xX][0-9a-fA-F]{1,8}|[a-zA-Z][a-zA-Z0-9]*)", 0)
+    reference = F.regexp_extract(piece, r"\A(?:#[0-9]++|#[xX][0-9a-fA-F]++|[a-zA-Z][a-zA-Z0-9]*)", 0)
 
     def joined(r: Column) -> Column:
         rest = F.regexp_replace(F.substr(piece, F.length(r) + 1), r"\A;", "")

@@ -6,6 +6,7 @@ that a validating parser refuses, and a refused link would be lost.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -46,6 +47,12 @@ def default_scheme(url: Column, wanted: str = "http") -> Column:
     return F.when(scheme(url) == "", F.concat(F.lit(f"{wanted}://"), url)).otherwise(url)
 
 
+def seed_parts(seed: str) -> tuple[str, str]:
+    """Scheme and host of a seed URL; the scheme is http where it has none."""
+    found = re.match(rf"(?:({_SCHEME})://|//)?([^/?#]*)", seed)
+    return (found[1] or "http").lower(), found[2]
+
+
 def is_valid(url: Column) -> Column:
     """Has both a scheme and a host."""
     return (scheme(url) != "") & (authority(url) != "")

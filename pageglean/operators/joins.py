@@ -41,6 +41,9 @@ def join_sized(big: DataFrame, other: DataFrame, on, how: str = "inner", small:
     return big.join(F.broadcast(other) if small else other, on, how)
 
 
-def lookup(big: DataFrame, other: DataFrame, on, how: str = "inner", max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Join with a dimension, after measuring it."""
-    return join_sized(big, other, on, how, fits_broadcast(other, max_bytes))
+def lookup(big: DataFrame, other: DataFrame, on, how: str = "inner", max_bytes: int | None = None) -> DataFrame:
+    """Join with a dimension. Its size as shuffled decides at run time if it is broadcast, so that it is computed once.
+
+    With ``max_bytes`` it is measured beforehand: worth its price where the big rows are too wide to be shuffled.
+    """
+    return join_sized(big, other, on, how, max_bytes is not None and fits_broadcast(other, max_bytes))

@@ -60,7 +60,7 @@ def extract_links(pages: DataFrame, seed_url: str, extra_skipped: str = "", stri
 
     Internal links are put under the scheme and host of the seed, and so are the pages they stand on.
     """
-    seed_scheme, seed_host = seed_url.split("://")[0], seed_url.split("://")[1].split("/")[0]
+    seed_scheme, seed_host = U.seed_parts(seed_url)
     links = add_kind(skip_paths(resolve_links(page_links(pages)), extra_skipped), seed_host, strict)
     unified = F.when(F.col("kind") == "internal", U.unify_host(F.col("dst_url"), seed_scheme, seed_host))
     source = U.normalize(F.col("src_url"))

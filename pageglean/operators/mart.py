@@ -1,7 +1,7 @@
 """The mart: sites, the facts of which page contains which keyword, and the segments of a page.
 
-Tables are immutable snapshots. A change is a table computed from the old one, narrow enough that the old rows which stay
-are not shuffled: only keys are compared.
+Tables are immutable snapshots. A change is a table computed from the old one by joining the old rows with the keys of the
+change; while these are few they are broadcast, and the old rows are not shuffled.
 """
 
 from __future__ import annotations
@@ -123,14 +123,14 @@ def insert_ignore(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFra
 def upsert_date(old: DataFrame, new: DataFrame, key: Sequence[str], date: str = "current_dates") -> DataFrame:
     """Table after an insert that gives known keys the new date and leaves the rest of their row.
 
-    Both sides go through one aggregation, so repeats of a key are combined before the shuffle.
+    Of new rows with one key the smallest counts, with the latest date. They are combined before they meet the old rows.
     """
-    key, rest = list(key), [c for c in old.columns if c not in (*key, date)]
-    both = old.withColumn("is_new", F.lit(0)).unionByName(new.withColumn("is_new", F.lit(1)), allowMissingColumns=True)
-    kept = F.min(F.struct("is_new", *rest)).alias("kept")
-    latest = F.max(F.struct("is_new", date)).alias("latest")
-    merged = both.groupBy(*key).agg(kept, latest)
-    return merged.select(*key, "kept.*", F.col(f"latest.{date}").alias(date)).drop("is_new").select(*old.columns)
+    key, rest = list(key), [c for c in new.columns if c not in (*key, date)]
+    row = [F.min(F.struct(*rest)).alias("row")] if rest else []
+    fresh = new.groupBy(*key).agg(F.max(date).alias("fresh_date"), *row)
+    known = old.join(fresh.select(*key, "fresh_date"), key, "left").withColumn(date, F.coalesce("fresh_date", date))
+    added = fresh.join(old.select(*key), key, "left_anti").select(*key, *(["row.*"] if rest else []), F.col("fresh_date").alias(date))
+    return known.select(*old.columns).unionByName(added.select(*[c for c in old.columns if c in added.columns]), allowMissingColumns=True)
 
 
 def store_upsert(old: DataFrame, new: DataFrame, key: Sequence[str] = ("page_url",)) -> DataFrame:
@@ -154,6 +154,11 @@ def sites_of(site: DataFrame, domain: str) -> DataFrame:
     return site.filter(in_domain("page_url", domain))
 
 
+def contains_of(contains: DataFrame, sites: DataFrame) -> DataFrame:
+    """Facts of these sites, told before anything else is done with them."""
+    return lookup(contains, sites.select("site_id").distinct(), "site_id", "left_semi")
+
+
 def purge_contains(contains: DataFrame, site: DataFrame, domain: str) -> DataFrame:
     """Facts of pages outside the domain. ``site`` is the table before its own purge."""
     gone = sites_of(site, domain).select("site_id").distinct()

@@ -21,13 +21,13 @@ from pageglean.session import materialize
 def site_urls(pages: DataFrame, seed_url: str, skipped: str = "", fetch_log: DataFrame | None = None,
               strict: bool = False, max_depth: int | None = None) -> DataFrame:
     """Internal URLs that can be reached from the seed, with the number of steps: ``page_url``, ``depth``."""
-    seed_scheme, seed_host = seed_url.split("://")[0], seed_url.split("://")[1].split("/")[0]
+    seed_scheme, seed_host = U.seed_parts(seed_url)
     links = L.extract_links(pages, seed_url, skipped, strict).filter("kind = 'internal'")
     if fetch_log is not None:
         answered = L.fetchable(fetch_log).select(
             U.unify_host(F.col("url"), seed_scheme, seed_host).alias("dst_url")).distinct()
         links = links.join(answered, "dst_url", "left_semi")
-    seed = pages.sparkSession.range(1).select(U.unify_host(F.lit(seed_url), seed_scheme, seed_host).alias("url"))
+    seed = pages.sparkSession.range(1).select(U.unify_host(U.default_scheme(F.lit(seed_url)), seed_scheme, seed_host).alias("url"))
     return L.site_closure(links, seed, max_depth).select(F.col("url").alias("page_url"), "depth")
 
 
@@ -45,16 +45,22 @@ def purge(store: Store, urls: DataFrame | None, domain: str, run: str) -> dict[s
         buckets = store.touched(keys)
         kept = M.store_purge(store.read("keyword_store", buckets), keys)
         store.replace(run, {"keyword_store": kept}, buckets)
-    site, contains, category = (store.read(t) for t in ("site", "contains", "site_category"))
+    buckets = _domain_buckets(store, domain)
+    site, contains, category = (store.read(t, buckets) for t in ("site", "contains", "site_category"))
     counts = {r["table_name"]: r["removed"] for r in M.purge_counts(site, contains, category, domain).collect()}
     _replace_domain(store, domain, run)
     return counts
 
 
+def _domain_buckets(store: Store, domain: str) -> list[int]:
+    """Partitions that hold rows of the domain. The facts of a page are in the partition of its site."""
+    named = store.read("site_category").filter(F.col("domain") == domain)
+    return sorted({*store.touched(M.sites_of(store.read("site"), domain)), *store.touched(named)})
+
+
 def _replace_domain(store: Store, domain: str, run: str, new: dict[str, DataFrame] | None = None) -> None:
     """The three mart tables without the domain's rows and with the new ones, changed together."""
-    named = store.read("site_category").filter(F.col("domain") == domain)
-    buckets = set(store.touched(M.sites_of(store.read("site"), domain))) | set(store.touched(named))
+    buckets = set(_domain_buckets(store, domain))
     for rows in (new or {}).values():
         buckets |= set(store.touched(rows))
     buckets = sorted(buckets)
@@ -118,7 +124,8 @@ def refresh_warehouse(store: Store, warehouse: Store, exports: str, domain: str,
     Nothing is replaced when the day has no pages of the domain.
     """
     spark = store.spark
-    site, contains, category = (store.read(t) for t in ("site", "contains", "site_category"))
+    buckets = store.touched(M.sites_of(store.read("site"), domain))
+    site, contains, category = store.read("site", buckets), store.read("contains", buckets), store.read("site_category")
     tables = {
         "site": M.export_site(site, domain, run_date),
         "contains": M.export_contains(contains, site, domain, run_date),
@@ -152,8 +159,10 @@ def publish_flags(warehouse: Store, keywords: DataFrame, segment: DataFrame, cus
     spark = warehouse.spark
     label = files.label_of(domain)
     wanted = G.only_ids(custom_segments, id_list)
-    site = M.sites_of(warehouse.read("site"), domain)
-    rows = G.segment_rows(warehouse.read("contains").drop("bucket", "current_dates"), site.drop("bucket"), keywords, segment, wanted)
+    buckets = warehouse.touched(M.sites_of(warehouse.read("site"), domain))
+    site = M.sites_of(warehouse.read("site", buckets), domain)
+    facts = M.contains_of(warehouse.read("contains", buckets), site)
+    rows = G.segment_rows(facts.drop("bucket", "current_dates"), site.drop("bucket"), keywords, segment, wanted)
     files.drop_expired(spark, f"{out}/results", run_date)
     results = f"{out}/results/run_date={run_date}/{label}"
     files.write_results(rows, results)

@@ -12,6 +12,7 @@ def build_session(app_name: str = "pageglean", **extra: str) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "64m")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )

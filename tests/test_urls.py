@@ -57,3 +57,9 @@ def test_extract_links_puts_internal_pages_under_the_seed(spark):
     ], "url string, html string")
     got = {tuple(r) for r in L.extract_links(pages, "http://seed.com/", "'skip'").collect()}
     assert got == {("http://seed.com/a", "http://seed.com/a/b", "internal"), ("http://seed.com/a", "http://o.org/a.seed.com", "external")}
+
+
+def test_seed_parts():
+    assert U.seed_parts("http://shop.com?x=1") == ("http", "shop.com")
+    assert U.seed_parts("shop.com/a") == ("http", "shop.com")
+    assert U.seed_parts("HTTPS://www.shop.com/#a") == ("https", "www.shop.com")
