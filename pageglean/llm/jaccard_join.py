@@ -38,7 +38,10 @@ BETWEEN = 4096
 AGAIN = 3.0
 # Sketches of pairs at the threshold fall this many standard deviations below it at most.
 DEVIATIONS = 4.5
-BLOCK = 256
+# A block of a group has about so many members, and so many bytes of their sets; a longer set is a block of its own.
+# Each set goes to as many tasks as its group has blocks, so blocks are as large as a worker bears.
+BLOCK = 1024
+BLOCK_BYTES = 8 << 20
 
 
 def shingle_sets(texts: list[str | None], size: int = SHINGLE) -> list[np.ndarray]:
@@ -280,7 +283,8 @@ def _intersections(sets: list[np.ndarray]) -> np.ndarray:
     column = (np.cumsum(count > 1) - 1)[place[shared]]
     owner, order = owner[shared], np.argsort(column, kind="stable")
     owner, column = owner[order], column[order]
-    total, step = np.zeros((len(sets), len(sets)), dtype=np.float64), max(256, (1 << 21) // len(sets))
+    # Sums of ones are exact in single precision far beyond the size of any set.
+    total, step = np.zeros((len(sets), len(sets)), dtype=np.float32), max(256, (1 << 21) // len(sets))
     for at in range(0, int(column[-1]) + 1 if len(column) else 0, step):
         low, high = np.searchsorted(column, [at, at + step])
         held = np.zeros((len(sets), step), dtype=np.float32)
@@ -302,11 +306,13 @@ def _exact(threshold: float):
                 sets = [np.frombuffer(s, dtype=np.uint64) for s in batch.column("shingles").to_pylist()]
                 both = _intersections(sets)
                 sizes = np.array([len(s) for s in sets])
-                near = both >= threshold * (sizes[:, None] + sizes[None, :] - both) - 1e-9
+                # both >= threshold * union, row by row, so that no second table of this size is held.
+                near = np.stack([b >= (threshold * (sizes + sizes[i]) - 1e-9) / (1 + threshold) for i, b in enumerate(both)])
+                del both
                 near &= (own[:, None] != own[None, :]) if (own != other).any() else ~np.eye(len(node), dtype=bool)
                 a, b = np.nonzero(near)
                 nodes.append(node)
-                counts.append((near * copies[None, :]).sum(axis=1))
+                counts.append(np.bincount(a, weights=copies[b], minlength=len(node)))
                 labels.append(node[_labels(len(node), a, b)])
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in (nodes, counts, labels)], ["node", "links", "label"])
 
@@ -326,23 +332,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in W.slices(batches):
-            full = [sketch(s) if len(s) else None for s in shingle_sets(batch.column("text").to_pylist())]
+            sets = shingle_sets(batch.column("text").to_pylist())
+            full = [sketch(s) if len(s) else None for s in sets]
             # A path hangs on all 32 bits; to compare two sketches 16 are enough.
             marks = [None if m is None else m.astype(np.uint16).tobytes() for m in full]
             paths = [None if m is None else _paths(places, m[None, :])[0] for m in full]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), pa.array(marks, pa.binary()), pa.array(paths, pa.list_(pa.int64()))],
-                                             ["doc_id", "key", "sketch", "paths"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), pa.array(marks, pa.binary()), pa.array(paths, pa.list_(pa.int64())),
+                                              pa.array([s.nbytes for s in sets], pa.int64())], ["doc_id", "key", "sketch", "paths", "bytes"])
 
     places = first_places(runs_needed(threshold, missed), threshold)
     keyed = plain.filter(F.col("text").isNotNull()).select("doc_id", F.md5("text").alias("key"), "text")
-    rows = keyed.mapInArrow(sketches, f"doc_id {kind}, key string, sketch binary, paths array<long>")
+    rows = keyed.mapInArrow(sketches, f"doc_id {kind}, key string, sketch binary, paths array<long>, bytes long")
     different = materialize(rows.groupBy("key").agg(
-        F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.any_value("sketch").alias("sketch"), F.any_value("paths").alias("paths"),
+        F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.any_value("sketch").alias("sketch"), F.any_value("paths").alias("paths"), F.max("bytes").alias("bytes"),
     ).withColumn("node", F.monotonically_increasing_id()))
     sketched = different.filter(F.col("sketch").isNotNull()).select("node", "sketch", "paths")
     groups = components(candidate_links(sketched, threshold, bucket, depth)).withColumnRenamed("label", "group")
-    sizes = groups.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
-    wanted = groups.join(sizes, "group").join(different.select("node", "key", "first_id", "copies"), "node")
+    found = groups.join(different.select("node", "key", "first_id", "copies", "bytes"), "node")
+    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / block, F.sum("bytes") / BLOCK_BYTES)).cast("int")
+    wanted = found.drop("bytes").join(found.groupBy("group").agg(blocks.alias("blocks")), "group")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in W.slices(batches):
