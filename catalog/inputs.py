@@ -47,21 +47,18 @@ def described_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def text_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The chosen keywords, and two that every document is named for: its first two words, and its third.
-
-    The texts that keywords are looked for in are always whole.
-    """
+    """The chosen keywords, and two of each document: of all its words, and of all its pairs of words, the one of least MD5."""
     chosen = F.posexplode(F.array(*[F.lit(k) for k in CHOSEN_KEYWORDS]))
-    documents = table(spark, sf_dir, "documents")
     first = spark.range(1).select(chosen).select(F.col("pos").cast("bigint").alias("id"), F.col("col").alias("keyword"))
+    documents = table(spark, sf_dir, "documents").select("doc_id", F.filter(F.split("text", " "), lambda w: w != "").alias("words"))
 
-    words = F.split(F.substring_index("text", " ", 3), " ")
-
-    def part(n: int):
-        return F.coalesce(F.get(words, F.lit(n - 1)), F.lit(""))
+    def least(found):
+        return F.coalesce(F.substr(F.array_min(F.transform(found, lambda w: F.concat(F.md5(w), w))), F.lit(33)), F.lit(""))
 
-    pair = documents.select((F.col("doc_id") * 2 + 100).alias("id"), F.concat(part(1), F.lit(" "), part(2)).alias("keyword"))
-    single = documents.select((F.col("doc_id") * 2 + 101).alias("id"), part(3).alias("keyword"))
+    words = F.col("words")
+    pairs = F.zip_with(words, F.slice(words, F.lit(2), F.size(words)), lambda a, b: F.concat(a, F.lit(" "), b))
+    pair = documents.select((F.col("doc_id") * 2 + 100).alias("id"), least(pairs).alias("keyword"))
+    single = documents.select((F.col("doc_id") * 2 + 101).alias("id"), least(words).alias("keyword"))
     return first.unionByName(pair).unionByName(single).select("id", F.translate("keyword", ".,", "").alias("keyword"))
 
 

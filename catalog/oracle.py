@@ -23,11 +23,14 @@ DESCRIBED = """described AS (
     WHEN 2 THEN '<meta name="description" content="' || title || '">' ELSE '' END) AS html
   FROM (SELECT *, regexp_extract(html, '(?s)<title>(.*?)</title>', 1) AS title FROM pages))"""
 
-TEXT_KEYWORDS = f"""text_keywords AS (
+TEXT_KEYWORDS = f"""whole_words AS (
+  SELECT doc_id, list_filter(string_split(text, ' '), lambda w: w <> '') AS words FROM documents),
+text_keywords AS (
   SELECT id, translate(keyword, '.,', '') AS keyword FROM (
     SELECT i - 1 AS id, ({_list(I.CHOSEN_KEYWORDS)})[i] AS keyword FROM range(1, {len(I.CHOSEN_KEYWORDS) + 1}) t(i)
-    UNION ALL SELECT doc_id * 2 + 100, split_part(text, ' ', 1) || ' ' || split_part(text, ' ', 2) FROM documents
-    UNION ALL SELECT doc_id * 2 + 101, split_part(text, ' ', 3) FROM documents)),
+    UNION ALL SELECT doc_id * 2 + 100, substr(list_min(list_transform(
+        list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]), lambda w: md5(w) || w)), 33) FROM whole_words
+    UNION ALL SELECT doc_id * 2 + 101, substr(list_min(list_transform(words, lambda w: md5(w) || w)), 33) FROM whole_words)),
 vocab AS (
   SELECT DISTINCT trim(lower(keyword), ' ') AS keyword FROM text_keywords
   WHERE NOT contains(keyword, chr(10)) AND trim(keyword, ' ') <> '')"""

@@ -68,6 +68,19 @@ def normalize(url: Column) -> Column:
     return rebuild(scheme(url), authority(url), path(url))
 
 
+def query(url: Column) -> Column:
+    """Query without its mark, empty where there is none."""
+    return F.regexp_extract(url, r"\A[^?#]*\?([^#]*)", 1)
+
+
+def page_key(url: Column) -> Column:
+    """What pages are told apart by: host without ``www.``, and path without parameters and outer slashes."""
+    def key(full: Column) -> Column:
+        return F.btrim(F.concat(F.regexp_replace(F.lower(authority(full)), r"\Awww\.", ""), path(full)), F.lit("/"))
+
+    return let(default_scheme(F.trim(url)), key)
+
+
 def unify_host(url: Column, seed_scheme: str, seed_host: str) -> Column:
     """The same page under the scheme and host of the seed."""
     return rebuild(F.lit(seed_scheme), F.lit(seed_host), path(url))

@@ -97,10 +97,19 @@ def restrict_pages(pages: DataFrame, urls: DataFrame, max_bytes: int = BROADCAST
     return lookup(pages, urls.select("url").distinct(), "url", "left_semi", max_bytes)
 
 
-def newest_pages(pages: DataFrame, urls: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Of these URLs one page each, the one of largest ``page_id``; chosen on the keys, so no other page is parsed."""
-    newest = restrict_pages(pages.select("url", "page_id"), urls, max_bytes).groupBy("url").agg(F.max("page_id").alias("page_id"))
-    return lookup(pages, newest, ["url", "page_id"], "left_semi", max_bytes)
+def listed_pages(pages: DataFrame, urls: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """The page of each listed URL: ``listed`` as listed, ``url`` as stored, ``page_id``.
+
+    Scheme, ``www.``, outer slashes and parameters do not tell pages apart. A listed query must be the page's own; a URL
+    without one, as a crawl lists them, means any. Of several pages counts the one stored under the very URL, then one
+    without a query, then the one of largest ``page_id``. Only keys are looked at, so no page is parsed for it.
+    """
+    wanted = urls.select(F.col("url").alias("listed")).distinct().withColumn("page_key", U.page_key(F.col("listed")))
+    stored = pages.select("url", "page_id", U.page_key(F.col("url")).alias("page_key"))
+    asked, own = U.query(F.col("listed")), U.query(F.col("url"))
+    order = F.struct((F.col("url") == F.col("listed")).alias("same"), (own == "").alias("plain"), "page_id", "url")
+    met = lookup(stored, wanted, "page_key", max_bytes=max_bytes).filter((asked == "") | (asked == own))
+    return met.groupBy("listed").agg(F.max(order).alias("page")).select("listed", "page.url", "page.page_id")
 
 
 # ---- changing -----------------------------------------------------------------------------------------------------

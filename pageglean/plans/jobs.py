@@ -13,6 +13,7 @@ from pageglean.operators import keywords as K
 from pageglean.operators import links as L
 from pageglean.operators import mart as M
 from pageglean.operators import segments as G
+from pageglean.operators.joins import BROADCAST_BYTES, lookup
 from pageglean.sources import files
 from pageglean.sources.store import Store
 from pageglean.session import materialize
@@ -80,21 +81,23 @@ def classify(store: Store, urls: DataFrame, pages: DataFrame, keywords: DataFram
              stop_words: Sequence[str] = X.STOP_WORDS) -> None:
     """Job 3: counts keywords on the listed pages, keeps them in the keyword store and enters them into the mart.
 
-    With ``channels`` only pages that pass the channel gate are classified. Of pages that share a URL the one of largest
-    ``page_id`` counts.
+    With ``channels`` only pages that pass the channel gate are classified. A listed URL means the page of ``M.listed_pages``,
+    whose counts are kept under the URL as listed.
     """
     listed = L.distinct_urls(urls)
     wanted = listed.select(U.default_scheme(F.col("page_url")).alias("url")).distinct()
     if channels is not None:
-        wanted = wanted.join(M.gated_urls(channels), "url", "left_semi")
-    wanted = materialize(wanted)
-    chosen = M.newest_pages(pages, wanted)
+        gate = M.gated_urls(channels).select(U.page_key(F.col("url")).alias("page_key"))
+        wanted = wanted.withColumn("page_key", U.page_key(F.col("url"))).join(gate, "page_key", "left_semi").select("url")
+    # One page may be meant by several listed URLs; it is parsed once. Used three times, so stored once.
+    chosen = materialize(M.listed_pages(pages, wanted))
+    shown = lookup(pages, chosen.select("url", "page_id").distinct(), ["url", "page_id"], "left_semi", BROADCAST_BYTES)
+    counted = K.classify_pages(shown, K.vocabulary(keywords), stop_words)
     # The counts feed the store and the mart, so they are stored once instead of parsing the pages for each.
-    counts = K.classify_pages(chosen, K.vocabulary(keywords), stop_words)
-    counts = materialize(counts.select(F.col("url").alias("page_url"), "keyword", "points"))
+    counts = materialize(counted.join(chosen, ["url", "page_id"]).select(F.col("listed").alias("page_url"), "keyword", "points"))
 
-    scraped = pages.select("url").join(wanted, "url", "left_semi").distinct()
-    maps = scraped.select(F.col("url").alias("page_url")).join(K.keyword_map(counts, ("page_url",)), "page_url", "left")
+    scraped = chosen.select(F.col("listed").alias("page_url"))
+    maps = scraped.join(K.keyword_map(counts, ("page_url",)), "page_url", "left")
     fresh = maps.select(
         "page_url", F.coalesce("keywords", F.create_map().cast("map<string,bigint>")).alias("keywords"),
         store.bucket_of_url(F.col("page_url")).alias("bucket"))
