@@ -1,78 +1,118 @@
 """Document fingerprints by consistent weighted sampling, in DataFrame functions only.
 
-A text is a bag of words; a word is one of ``TERMS`` hash terms and its weight is how often it stands there. For term x,
-sample k and weight w there are r and c from Gamma(2, 1) and b from U(0, 1), the same wherever x stands. With
-t = floor(ln w / r + b) the sample's term is the one of least ln c - r (t - b) - r, and the sample is this term with
-its t. Two texts agree in a sample with a probability equal to the generalised Jaccard similarity of their bags.
-
-r, b and c hang on term and sample only, so they are a table of fixed size that is broadcast. Texts are shuffled once,
-by ranges of their id, which brings each document together with the next one; all grouping after that happens inside
-these ranges.
+A text is a bag of words and the weight of a word is how often it stands there. For word x, sample k and weight w there
+are r and c from Gamma(2, 1) and b from U(0, 1), the same wherever x stands. With t = floor(ln w / r + b) the sample's
+word is the one of least ln c - r (t - b) - r, and the sample is this word with its t. Two texts agree in a sample with a
+probability equal to the generalised Jaccard similarity of their bags.
+
+Of a Gamma(2, 1), a share from U(0, 1) and the rest are two independent exponentials. So c u and c (1 - u) are drawn as
+exponentials, where -ln u = r (1 - b) and -ln v = r b are the two of r, and weight 1 needs one draw: ln c - r (1 - b) is
+ln (c u), and the value for weight w is this minus r t.
+
+They are drawn from all 64 bits of a word's hash and the number of the sample, for every word of every text. The
+draws of common words are a broadcast table, so that they are not made for each text anew; which words are in it changes
+no result. Texts are shuffled once, by ranges of their id, which brings each document together with the next one; all
+grouping after that happens inside these ranges.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 SAMPLES = 64
+# Words whose draws are in the broadcast table, and the documents, about, in which common words are looked for.
 TERMS = 1 << 15
+COMMON_ROWS = 5000
+# A sample is known by the low 24 bits of word and t.
+MARK = (1 << 24) - 1
 ROWS_PER_RANGE = 500
 CELLS = 1 << 16
 _SPACES = "[ \\t\\n\\x0B\\f\\r]+"
 
 
-def _uniform(*what: Column) -> Column:
-    return (F.pmod(F.xxhash64(*what), F.lit(1 << 52)) + 0.5) / float(1 << 52)
+def _hashed(word: Column, seed: int = 1) -> Column:
+    return F.xxhash64(word, F.lit(seed))
 
 
-def samples_table(spark: SparkSession, samples: int = SAMPLES, terms: int = TERMS, seed: int = 1) -> DataFrame:
-    """``term`` with arrays over the samples: ``r``, ``b`` and ``once``, the packed value for weight 1.
+def _uniform(word: Column, k: Column, n: int) -> Column:
+    return (F.shiftrightunsigned(F.xxhash64(word.bitwiseXOR(k * 8 + n)), 12) + 0.5) * 2.0 ** -52
 
-    ``terms`` rows, whatever the data.
-    """
-    def draw(n: int):
-        return lambda k: _uniform(F.col("term"), k, F.lit(n), F.lit(seed))
 
-    def gamma(k: Column, n: int) -> Column:
-        return -F.ln(draw(n)(k) * draw(n + 1)(k))
+def _exponential(word: Column, k: Column, n: int) -> Column:
+    return -F.ln(_uniform(word, k, n))
+
+
+def _u(word: Column, k: Column) -> Column:
+    a = _exponential(word, k, 0)
+    return a / (a + _exponential(word, k, 1))
+
+
+def _r(word: Column, k: Column) -> Column:
+    return (-F.ln(_u(word, k) * _uniform(word, k, 2))).cast("float")
+
+
+def _b(word: Column, k: Column) -> Column:
+    v = _uniform(word, k, 2)
+    return (F.ln(v) / F.ln(_u(word, k) * v)).cast("float")
+
 
-    every = F.sequence(F.lit(0), F.lit(samples - 1))
-    drawn = spark.range(terms).select(F.col("id").cast("int").alias("term")).select(
-        "term", F.transform(every, lambda k: gamma(k, 0)).alias("r"), F.transform(every, lambda k: gamma(k, 2)).alias("c"),
-        F.transform(every, draw(4)).alias("b"))
-    value = F.transform(every, lambda k: _packed(F.ln(F.get("c", k)) + F.get("r", k) * (F.get("b", k) - 1), F.col("term"), F.lit(0)))
-    return drawn.select("term", F.col("r").cast("array<float>").alias("r"), F.col("b").cast("array<float>").alias("b"), value.alias("once"))
+def _once(word: Column, k: Column) -> Column:
+    """The packed value for weight 1: ln c - r (1 - b) = ln (c u)."""
+    return _packed(F.ln(_exponential(word, k, 0)), word)
 
 
-def _packed(value: Column, term: Column, t: Column) -> Column:
-    """A value with term and t in the low 24 bits. Values lie between -192 and 64: logarithms of doubles and word counts."""
-    return F.shiftleft(F.floor((value + 192) * float(1 << 31)), 24) + F.shiftleft(term.cast("bigint"), 8) + t.cast("bigint").bitwiseAND(F.lit(255))
+def common_words(texts: DataFrame, rows: int, terms: int = TERMS) -> DataFrame:
+    """Hashes ``word`` of about the ``terms`` most common words of ``text``, as a sample of the ``rows`` texts shows them."""
+    some = texts.sample(min(1.0, COMMON_ROWS / max(1, rows)), 1)
+    word = some.select(F.explode(F.array_distinct(F.split("text", _SPACES))).alias("word")).select(_hashed(F.col("word")).alias("word"))
+    return word.groupBy("word").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n")).limit(terms).select("word")
+
+
+def _drawn(f, samples: int) -> Column:
+    return F.transform(F.sequence(F.lit(0), F.lit(samples - 1)), lambda k: f(F.col("word"), k))
+
+
+def samples_table(words: DataFrame, samples: int = SAMPLES) -> DataFrame:
+    """``word`` with arrays over the samples: ``r``, ``b`` and ``once``, the packed value for weight 1."""
+    return words.repartition(8).select("word", _drawn(_r, samples).alias("r"), _drawn(_b, samples).alias("b"), _drawn(_once, samples).alias("once"))
+
+
+def _packed(value: Column, word: Column) -> Column:
+    """A value over the low 24 bits of a word's hash. Values lie between -192 and 64: logarithms of doubles and word counts."""
+    return F.shiftleft(F.floor((value + 192) * float(1 << 31)), 24) + word.bitwiseAND(F.lit(MARK))
 
 
 def _sample(k: int) -> Column:
-    """Least packed value of a bag in sample k. Most words stand once in a text, and their value is in the table."""
-    r, once = F.get("r", F.lit(k)), F.get("once", F.lit(k))
+    """Least packed value of a bag in sample k. Most words stand once in a text; their value is in the table or drawn here.
+
+    The value of a repeated word is less by r t and its mark is another. ``once`` is mentioned once, as the code made of
+    it would not be compiled otherwise.
+    """
+    word, r, repeated = F.col("word"), F.get("r", F.lit(k)), F.col("log_weight") > 0
+    once = F.coalesce(F.get("once", F.lit(k)), _once(word, F.lit(k)))
     t = F.floor(F.col("log_weight") / r + F.get("b", F.lit(k)))
-    value = F.shiftright(once, 24) / float(1 << 31) - 192 - r * t
-    return F.min(F.when(F.col("log_weight") == 0, once).otherwise(_packed(value, F.col("term"), t))).alias(f"s{k}")
+    less = F.when(repeated, F.shiftleft(F.floor(r * t * float(1 << 31)), 24)).otherwise(0)
+    return F.min(F.when(word.isNotNull(), (once - less).bitwiseXOR(F.when(repeated, t.bitwiseAND(F.lit(MARK))).otherwise(0)))).alias(f"s{k}")
 
 
-def signatures(texts: DataFrame, keys: list[str], samples: int = SAMPLES, terms: int = TERMS) -> DataFrame:
+def signatures(texts: DataFrame, keys: list[str], table: DataFrame, samples: int = SAMPLES) -> DataFrame:
     """``keys`` with ``signature``, one number of 24 bits per sample, or null for a text without words.
 
     ``texts`` has the keys, which tell texts apart, and ``content``. If it is partitioned by one of the keys, nothing is
-    shuffled here.
+    shuffled here. ``table`` has the draws of common words. Different words share a number with a probability of 2^-24.
     """
     word = texts.select(*keys, F.explode(F.split("content", _SPACES)).alias("word"))
-    term = F.when(F.col("word") != "", F.pmod(F.xxhash64("word"), F.lit(terms)).cast("int"))
-    bags = word.select(*keys, term.alias("term")).groupBy(*keys, "term").agg(F.ln(F.count(F.lit(1)).cast("double")).alias("log_weight"))
-    table = F.broadcast(samples_table(texts.sparkSession, samples, terms))
-    least = bags.join(table, "term", "left").groupBy(*keys).agg(*[_sample(k) for k in range(samples)])
-    marks = F.array(*[F.col(f"s{k}").bitwiseAND(F.lit((1 << 24) - 1)).cast("int") for k in range(samples)])
+    hashed = F.when(F.col("word") != "", _hashed(F.col("word")))
+    bags = word.select(*keys, hashed.alias("word")).groupBy(*keys, "word").agg(F.ln(F.count(F.lit(1)).cast("double")).alias("log_weight"))
+    # A word that repeats and is not in the table is rare enough to be drawn in arrays.
+    r, b = (F.coalesce(name, F.when(F.col("log_weight") > 0, _drawn(f, samples))).alias(name) for name, f in (("r", _r), ("b", _b)))
+    drawn = bags.join(F.broadcast(table), "word", "left").select(*keys, "word", "log_weight", r, b, "once")
+    least = drawn.groupBy(*keys).agg(*[_sample(k) for k in range(samples)])
+    marks = F.array(*[F.col(f"s{k}").bitwiseAND(F.lit(MARK)).cast("int") for k in range(samples)])
     return least.select(*keys, F.when(F.col("s0").isNotNull(), marks).alias("signature"))
 
 
@@ -87,8 +127,8 @@ def written(signature: Column) -> Column:
     return F.coalesce(F.array_join(F.transform(signature, lambda x: F.lpad(F.lower(F.hex(x)), 6, "0")), ""), F.lit(""))
 
 
-def _ranges(docs: DataFrame, rows_per_range: int) -> tuple[DataFrame, Column, int]:
-    """Ranges of ids of about so many rows: cell -> ``range`` and its first id, the cell of an id, and how many ranges.
+def _ranges(docs: DataFrame, rows_per_range: int) -> tuple[DataFrame, Column, int, int]:
+    """Ranges of ids of about so many rows: cell -> ``range`` and its first id, the cell of an id, and how many ranges and rows.
 
     Ids are counted in at most ``CELLS`` cells of equal width, and neighbouring cells are put together.
     """
@@ -103,7 +143,7 @@ def _ranges(docs: DataFrame, rows_per_range: int) -> tuple[DataFrame, Column, in
     kept = numbered.select("cell", "range", F.min("first").over(W.partitionBy("range")).alias("first"),
                            F.min("cell").over(W.partitionBy("range")).alias("first_cell"))
     count = numbered.agg(F.max("range")).first()[0]
-    return kept, cell, (count if count is not None else -1) + 1
+    return kept, cell, (count if count is not None else -1) + 1, ends["n"]
 
 
 def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", samples: int = SAMPLES, terms: int = TERMS,
@@ -113,9 +153,10 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     Columns: ``doc_id``, ``n_chars``, ``edited_sha256``, ``fingerprint``, ``edited_fingerprint``, ``near_edited``,
     ``near_next``. Null texts count as empty; an empty text has the empty fingerprint. Documents follow each other by
     id, null ids first, and repeated ids by text; after the last comes the first. Other columns are not looked at.
+    ``terms`` is how many words have their draws in the broadcast table; it changes no result.
     """
     plain = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    ranges, cell, count = _ranges(plain, rows_per_range)
+    ranges, cell, count, rows = _ranges(plain, rows_per_range)
     # The first documents of a range are also sent to the range before, as guests: there they are the next document.
     own = ranges.select("cell", "range").withColumnRenamed("cell", "own_cell")
     heads = ranges.select(F.col("first"), "first_cell", ((F.col("range") - 1 + count) % max(1, count)).alias("guest_of"),
@@ -140,7 +181,7 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
                     F.when(F.col("guest") == 0, F.struct(F.lit(1).alias("kind"), F.col("edited").alias("content"))))
     contents = paired.select("range", "place", "guest", "text", edited.alias("edited")).select(
         "range", "place", F.inline(F.filter(kinds, lambda s: s.isNotNull())))
-    signed = signatures(contents, ["range", "place", "kind"], samples, terms)
+    signed = signatures(contents, ["range", "place", "kind"], samples_table(common_words(plain, rows, terms), samples), samples)
     marks = signed.groupBy("range", "place").agg(*[
         F.max(F.when(F.col("kind") == k, F.struct("kind", "signature"))).alias(name) for k, name in enumerate(("plain", "changed"))])
     follow = marks.withColumn("next", F.lead("plain").over(W.partitionBy("range").orderBy("place"))).join(small, ["range", "place"])

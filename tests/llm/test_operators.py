@@ -301,6 +301,15 @@ def test_fingerprints_estimate_generalised_jaccard(given):
     assert np.abs(np.mean(misses, axis=0)).max() < 0.02 and np.std(misses, axis=0).max() < 0.08
 
 
+def test_fingerprints_of_texts_of_very_many_words(spark):
+    texts = [" ".join(f"{name}{i}" for i in part) for name, part in (("a", range(20000)), ("b", range(20000)), ("b", range(10000, 30000)))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {terms: sorted(map(tuple, fingerprints.fingerprint_documents(df, terms=terms).collect())) for terms in (fingerprints.TERMS, 100)}
+    assert found[fingerprints.TERMS] == found[100]  # the table of common words is for speed only
+    near = [r[-1] for r in found[100]]
+    assert near[0] == near[2] == 0.0 and abs(near[1] - 1 / 3) < 0.2
+
+
 # ---- BPE ------------------------------------------------------------------------------------------------------------
 
 def plain_digest(tok, text):
