@@ -23,7 +23,7 @@ _DATE_FORMATS = ("yyyy-MM-dd", "yyyy/MM/dd", "dd.MM.yyyy", "MM/dd/yyyy", "dd/MM/
 _DIGITS, _LOWER, _UPPER, _LEADING = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "23456789"
 
 _EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}+\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])"
-_SECRET = r"(?<![A-Za-z0-9])(?i:password|passwd|pwd|secret|token|api[_-]?key)[ ]?[=:][ ]?[\"']?[A-Za-z0-9_+/-]{12,256}"
+_SECRET = r"(?<![A-Za-z0-9])(?i:password|passwd|pwd|secret|token|api[_-]?key)[ ]?[=:][ ]?[\"']?[A-Za-z0-9_+/-]{12,}+"
 _SECRET_NAME = r"^[^=:]*[=:][ ]?[\"']?"
 _IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 _DATE = r"(?<![0-9A-Za-z/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9A-Za-z/-])"
@@ -32,6 +32,17 @@ _SSN = r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])"
 _PHONE = r"(?<![0-9A-Za-z])(?:\+?[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)[ ]?|[0-9]{3}[.-])[0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z])"
 _CARD = r"(?<![0-9A-Za-z])(?:[0-9][ -]?){12,18}[0-9](?![0-9A-Za-z])"
 PATTERN = "|".join((_EMAIL, _SECRET, _IBAN, _DATE, _IP, _SSN, _PHONE, _CARD))
+# Digits with blanks and hyphens of any length, in which card numbers are looked for.
+_RUN = r"(?<![0-9A-Za-z])[0-9][0-9 -]{11,}[0-9](?![0-9A-Za-z])"
+_RUNS = PATTERN.removesuffix(_CARD) + _RUN
+# Stands at the ends of a value while it is looked for: characters that no text may interchange.
+_END = "\uffff\ufffe\uffff"
+# What is replaced: of digits only card numbers with these marks, so that others hide no value behind them.
+_MARKED = PATTERN.removesuffix(_CARD) + rf"(?<={_END})(?:[0-9][ -]?){{12,18}}[0-9](?={_END})"
+_IBAN_LENGTHS = (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DK18 DO28 EE20 EG29 ES24 FI18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 "
+    "GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 MC27 MD24 ME22 MK19 MR27 MT31 MU30 NL18 NO15 PK24 PL28 PS29 "
+    "PT25 QA29 RO24 RS22 SA24 SC31 SE24 SI19 SK24 SM27 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20")
 KINDS = ("email", "secret", "iban", "date", "ip", "ssn", "phone", "card")
 
 
@@ -45,7 +56,8 @@ def feistel(values: Column, radixes: Column, key: str, kind: Column) -> Column:
             return F.transform(v, lambda x, i: F.when(i % 2 != r % 2, x).otherwise(
                 F.pmod(x + F.conv(F.substring(F.sha2(F.concat_ws("|", t, i), 256), 1, 12), 16, 10).cast("bigint"), F.get(radixes, i))))
 
-        return let(text, added)
+        # Of a long list the digest is hashed, so that the work grows with the list and not with its square.
+        return let(F.when(F.size(v) > 256, F.sha2(text, 256)).otherwise(text), added)
 
     return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), values, one_round)
 
@@ -195,6 +207,68 @@ def pseudonym(value: Column, key: str = KEY) -> Column:
     return let(kind_of(value), of)
 
 
+def _iban_ends(value: Column) -> Column:
+    """A found IBAN with a mark where it ends, if it does before the last blank: at its country's length, else as late as it is valid."""
+    def ends(groups: Column) -> Column:
+        def head(j: Column) -> Column:
+            return F.array_join(F.slice(groups, F.lit(1), j), "")
+
+        def wanted(j: Column) -> Column:
+            return F.contains(F.lit(_IBAN_LENGTHS), F.concat(F.substr(value, F.lit(1), F.lit(2)), F.length(head(j)).cast("string")))
+
+        valid = F.filter(F.sequence(F.lit(1), F.size(groups)), lambda j: F.length(head(j)).between(12, 34) & (_mod97(head(j)) == 1))
+        best = let(valid, lambda v: F.coalesce(F.array_max(F.filter(v, wanted)), F.array_max(v)))
+        rest = F.size(groups)
+        return let(best, lambda j: F.when(j < rest, F.concat(
+            F.array_join(F.slice(groups, F.lit(1), j), " "), F.lit(_END + " "), F.array_join(F.slice(groups, j + 1, rest), " "))).otherwise(value))
+
+    return F.when(F.rlike(value, F.lit(rf"\A(?:{_IBAN})\z")), let(F.split(value, " "), ends)).otherwise(value)
+
+
+def _card_ends(value: Column) -> Column:
+    """A found run of digits with marks around its card numbers: leftmost first, then the longest that is valid.
+
+    One that ends at a blank goes before one that ends at a hyphen, inside what may be another number.
+    """
+    between = F.regexp_extract_all(value, F.lit("[ -]"), F.lit(0))
+
+    def cards(groups: Column) -> Column:
+        def card(i: Column, j: Column) -> Column:
+            part = F.slice(groups, i + 1, j - i + 1)
+            digits = F.array_join(part, "")
+            return F.length(digits).between(13, 19) & ~F.array_contains(part, "") & F.call_function("luhn_check", digits)
+
+        def step(known: Column, i: Column) -> Column:
+            valid = F.filter(F.sequence(i, F.least(i + 18, F.size(groups) - 1)), lambda j: card(i, j))
+            best = let(valid, lambda v: F.coalesce(F.array_max(F.filter(v, lambda j: F.coalesce(F.get(between, j), F.lit(" ")) == " ")), F.array_max(v)))
+            last = F.when(i >= known["free"], best)
+            return let(last, lambda j: F.when(j.isNull(), known).otherwise(F.struct(
+                (j + 1).alias("free"), F.concat(known["first"], F.array(i)).alias("first"), F.concat(known["last"], F.array(j)).alias("last"))))
+
+        none = F.array().cast("array<int>")
+        found = F.aggregate(F.sequence(F.lit(0), F.size(groups) - 1), F.struct(F.lit(0).alias("free"), none.alias("first"), none.alias("last")), step)
+
+        def marked(f: Column) -> Column:
+            def mark(places: Column, i: Column) -> Column:
+                return F.when(F.array_contains(places, i), _END).otherwise("")
+
+            parts = F.transform(groups, lambda g, i: F.concat(mark(f["first"], i), g, mark(f["last"], i)))
+            return F.array_join(F.zip_with(parts, between, lambda g, b: F.concat(g, F.coalesce(b, F.lit("")))), "")
+
+        return let(found, marked)
+
+    return F.when(F.rlike(value, F.lit(rf"\A(?:{_RUN})\z")) & ~F.rlike(value, F.lit(rf"\A(?:{_DATE}|{_SSN}|{_PHONE})\z")),
+                  let(F.split(value, "[ -]"), cards)).otherwise(value)
+
+
+def _ends(text: Column, holds: str, pattern: str, ends) -> Column:
+    """The text with marks where the values of a kind begin or end inside what its pattern finds."""
+    def put(found: Column) -> Column:
+        return F.array_join(F.zip_with(F.split(text, pattern, -1), F.transform(found, ends), lambda p, v: F.concat(p, F.coalesce(v, F.lit("")))), "")
+
+    return F.when(F.rlike(text, F.lit(holds)), let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), put)).otherwise(text)
+
+
 def pseudonymize(docs: DataFrame, text_col: str = "text", key: str = KEY, count_col: str | None = None) -> DataFrame:
     """The documents with pseudonyms in their whole texts, all other columns as they are.
 
@@ -203,13 +277,16 @@ def pseudonymize(docs: DataFrame, text_col: str = "text", key: str = KEY, count_
     """
     text = F.col(f"`{text_col}`")
     others = [F.col(f"`{c}`") for c in docs.columns if c != count_col]
+    # A blank or hyphen may be followed by what is no part of the value.
+    marked = docs.select(F.struct(*others).alias("_row"), _ends(text, _IBAN, PATTERN, _iban_ends).alias("_text"))
+    marked = marked.select("_row", _ends(F.col("_text"), _RUN, _RUNS, _card_ends).alias("_text"))
     # A text without a digit and without an at sign or a sign of assignment holds none of the formats.
-    found = F.when(F.rlike(text, F.lit("[0-9@=:]")), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)))
-    stepped = docs.select(F.struct(*others).alias("_row"), found.alias("_found"))
-    fresh = stepped.select("_row", "_found", F.when(F.size("_found") > 0, F.transform("_found", lambda v: pseudonym(v, key))).alias("_fresh"))
+    found = F.when(F.rlike("_text", F.lit("[0-9@=:]")), F.regexp_extract_all("_text", F.lit(_MARKED), F.lit(0)))
+    stepped = marked.select("_row", "_text", found.alias("_found"))
+    fresh = stepped.select("_row", "_text", "_found", F.when(F.size("_found") > 0, F.transform("_found", lambda v: pseudonym(v, key))).alias("_fresh"))
     text = F.col(f"_row.`{text_col}`")
-    pieces = F.zip_with(F.split(text, PATTERN, -1), "_fresh", lambda p, v: F.concat(p, F.coalesce(v, F.lit(""))))
-    whole = F.when(F.col("_fresh").isNull(), text).otherwise(F.array_join(pieces, ""))
+    pieces = F.zip_with(F.split("_text", _MARKED, -1), "_fresh", lambda p, v: F.concat(p, F.coalesce(v, F.lit(""))))
+    whole = F.when(F.col("_fresh").isNull(), text).otherwise(F.replace(F.array_join(pieces, ""), F.lit(_END), F.lit("")))
     changed = F.coalesce(F.size(F.filter(F.zip_with("_found", "_fresh", lambda a, b: a != b), lambda x: x)), F.lit(0))
     columns = [whole.alias(c) if c == text_col else F.col(f"_row.`{c}`").alias(c) for c in docs.columns if c != count_col]
     return fresh.select(*columns, *([F.when(F.col("_fresh").isNull(), 0).otherwise(changed).cast("int").alias(count_col)] if count_col else []))

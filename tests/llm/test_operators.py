@@ -383,6 +383,20 @@ def test_values_that_are_not_valid_and_clean_text_stay(docs, spark):
     assert pii.pseudonymize(docs.limit(0)).count() == 0
 
 
+def test_values_with_numbers_and_words_beside_them(spark):
+    card, iban, long = "4111 1111 1111 1111", "BE68 5390 0754 7034", "password=" + "a1B2" * 100
+    kept = [(f"{card}", "", " 12/26"), ("4111111111111111", "", " 123"), (card, "12 ", " 99 1"), (card, "in 2024 ", "."), (iban, "", " USD"), (iban, "", " 1234"),
+            (iban, "of ", " PAID NOW"), ("DE89 3704 0044 0532 0130 00", "", " EUR"), (long, "", " end"), ("078-05-1120", "4111111111111112 ", "")]
+    both = [("4111111111111111", " ", "078-05-1120"), ("4111111111111111", " ", "212-555-0187"), (iban, " ", card), (card, " 123 ", card)]
+    rows = list(enumerate([a + v + b for v, a, b in kept] + ["".join(p) + " 12/26" for p in both]))
+    found = [r["text"] for r in pii.pseudonymize(spark.createDataFrame(rows, "doc_id long, text string")).orderBy("doc_id").collect()]
+    alone = {v: r["text"] for v, r in zip(sorted({v for v, _, _ in kept} | {x for p in both for x in p[::2]}), pii.pseudonymize(spark.createDataFrame(
+        list(enumerate(sorted({v for v, _, _ in kept} | {x for p in both for x in p[::2]}))), "doc_id long, text string")).orderBy("doc_id").collect())}
+    assert all(v != w and len(v) == len(w) for v, w in alone.items())
+    assert alone[long][300:] != long[300:]
+    assert found == [a + alone[v] + b for v, a, b in kept] + [alone[a] + sep + alone[b] + " 12/26" for a, sep, b in both]
+
+
 def test_feistel_is_a_permutation(spark):
     pairs = spark.range(10000).select(F.array((F.col("id") / 100).cast("bigint"), F.col("id") % 100).alias("v"))
     out = pairs.select(pii.feistel(F.col("v"), F.array(F.lit(100).cast("bigint"), F.lit(100).cast("bigint")), "k", F.lit("t")).alias("w"))
