@@ -134,13 +134,15 @@ def _ranges(docs: DataFrame, rows_per_range: int) -> tuple[DataFrame, Column, in
     """
     ends = docs.agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.count(F.lit(1)).alias("n")).first()
     low, width = float(ends["a"] or 0), float((ends["b"] or 0) - (ends["a"] or 0) + 1)
-    cell = F.coalesce(F.least(F.floor((F.col("doc_id").cast("double") - low) / width * CELLS), F.lit(CELLS - 1)), F.lit(-1)).cast("int")
+    # least() would skip a null id.
+    place = F.least(F.floor((F.col("doc_id").cast("double") - low) / width * CELLS), F.lit(CELLS - 1))
+    cell = F.when(F.col("doc_id").isNull(), -1).otherwise(place).cast("int")
     cells = docs.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first"))
     # At most CELLS + 1 rows, so a window over all of them is small.
     before = F.sum("n").over(W.orderBy("cell").rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("n")
     target = max(1, min(rows_per_range, math.ceil(ends["n"] / 2)))
     numbered = cells.withColumn("bin", F.floor(before / target)).withColumn("range", F.dense_rank().over(W.orderBy("bin")) - 1)
-    kept = numbered.select("cell", "range", F.min("first").over(W.partitionBy("range")).alias("first"),
+    kept = numbered.select("cell", "range", F.min(F.struct("cell", "first")).over(W.partitionBy("range"))["first"].alias("first"),
                            F.min("cell").over(W.partitionBy("range")).alias("first_cell"))
     count = numbered.agg(F.max("range")).first()[0]
     return kept, cell, (count if count is not None else -1) + 1, ends["n"]

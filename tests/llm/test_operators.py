@@ -301,6 +301,17 @@ def test_fingerprints_estimate_generalised_jaccard(given):
     assert np.abs(np.mean(misses, axis=0)).max() < 0.02 and np.std(misses, axis=0).max() < 0.08
 
 
+def test_fingerprints_follow_null_ids_first(spark):
+    rows = [(i, f"text {i} of some words") for i in range(10)] + [(None, "one without id"), (None, "two without any id")]
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    want = Counter()
+    for (doc_id, text), (_, after) in zip(order, order[1:] + order[:1]):
+        half = len(text) // 2
+        want[doc_id, hashlib.sha256((text[:len(text) - half] + after[:half]).encode()).hexdigest()] += 1
+    found = fingerprints.fingerprint_documents(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "edited_sha256").collect()
+    assert Counter(map(tuple, found)) == want
+
+
 def test_fingerprints_of_texts_of_very_many_words(spark):
     texts = [" ".join(f"{name}{i}" for i in part) for name, part in (("a", range(20000)), ("b", range(20000)), ("b", range(10000, 30000)))]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
