@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable
+from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pageglean.llm import bpe, fingerprints, jaccard_join, language, mixing, pii, quality, shards, substrings, topk
+from pageglean.llm import bpe, fingerprints, jaccard_join, language, mixing, pii, quality, resampling, shards, substrings, topk
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -63,6 +64,10 @@ def op10_pii(spark, sf):
     return pii.pseudonymize(table(spark, sf, "documents").select("doc_id", "text"), count_col="n_values")
 
 
+def op13_resampling(spark, sf):
+    return resampling.resample(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 _TOP_K_SQL = """
 WITH v AS (
     SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 1024) AS BIGINT)) AS v
@@ -100,11 +105,65 @@ FROM w LEFT JOIN lists USING (doc_id)
 """
 
 
+# crc32 of a text's UTF-8: the usual table, made by rule, folded over the bytes.
+_CRC_TABLE = """crc AS MATERIALIZED (
+    SELECT list(v ORDER BY i) AS t FROM (
+        SELECT i, list_reduce(list_prepend(CAST(i AS BIGINT), [1, 2, 3, 4, 5, 6, 7, 8]),
+            lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, CAST(3988292384 AS BIGINT)) ELSE c >> 1 END) AS v
+        FROM range(256) r(i))
+)"""
+
+
+def _crc32(text: str) -> str:
+    digits = f"hex(encode({text}))"
+    return f"""xor(CAST(4294967295 AS BIGINT), list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+        list_transform(range(0, octet_length(encode({text}))), lambda i: CAST('0x' || substr({digits}, CAST(2 * i + 1 AS INTEGER), 2) AS BIGINT))),
+        lambda c, b: xor(c >> 8, t[CAST(xor(c, b) & 255 AS INTEGER) + 1])))"""
+
+
+_RESAMPLING_SQL = rf"""
+WITH {_CRC_TABLE}, d AS (
+    SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{ascii_uppercase}', '{ascii_lowercase}'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM documents
+), b AS (
+    SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), '{ascii_uppercase}', '{ascii_lowercase}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word
+    FROM benchmark
+), dc AS (
+    SELECT row, word, count(*) AS n FROM (SELECT row, unnest(words) AS word FROM d) GROUP BY ALL
+), every AS (
+    SELECT DISTINCT word FROM (SELECT word FROM dc UNION ALL SELECT word FROM b)
+), h AS MATERIALIZED (
+    SELECT word, {_crc32("word")} % 10000 AS bucket FROM every, crc
+), s AS (
+    SELECT bucket, sum(n) AS s FROM dc JOIN h USING (word) GROUP BY bucket
+), t AS (
+    SELECT bucket, count(*) AS t FROM b JOIN h USING (word) GROUP BY bucket
+), sizes AS (
+    SELECT (SELECT coalesce(sum(s), 0) FROM s) AS all_s, (SELECT coalesce(sum(t), 0) FROM t) AS all_t
+), g AS (
+    SELECT bucket, floor(1000 * ln((CAST(coalesce(t, 0) AS DOUBLE) + 1) * (CAST(all_s AS DOUBLE) + 10000)
+        / ((CAST(s AS DOUBLE) + 1) * (CAST(all_t AS DOUBLE) + 10000)))) AS gain
+    FROM s LEFT JOIN t USING (bucket), sizes
+), w AS (
+    SELECT row, CAST(floor(sum(n * gain) / sum(n)) AS BIGINT) AS weight FROM dc JOIN h USING (word) JOIN g USING (bucket) GROUP BY row
+), scored AS (
+    SELECT row, doc_id, CAST(len(words) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+        (CAST(CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS DOUBLE) + 0.5) / 4294967296))) AS BIGINT) AS score
+    FROM d LEFT JOIN w USING (row)
+), ranked AS (
+    SELECT row, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, n_features, row) AS rank, count(*) OVER () AS total
+    FROM scored WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 10 * total // 100 THEN rank END AS rank FROM scored LEFT JOIN ranked USING (row)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_mixing, op2_substrings, op3_topk, op4_language, op5_shards, op6_quality, op7_jaccard_join, op8_fingerprints, op9_bpe, op10_pii)
+    found = (op1_mixing, op2_substrings, op3_topk, op4_language, op5_shards, op6_quality, op7_jaccard_join, op8_fingerprints, op9_bpe, op10_pii, op13_resampling)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL of the queries that SQL can express; the tests hold the others against plain versions."""
-    return {"op2_substrings": _SUBSTRINGS_SQL, "op3_topk": _TOP_K_SQL}
+    return {"op2_substrings": _SUBSTRINGS_SQL, "op3_topk": _TOP_K_SQL, "op13_resampling": _RESAMPLING_SQL}
