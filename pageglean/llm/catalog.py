@@ -8,7 +8,7 @@ from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pageglean.llm import bpe, fingerprints, jaccard_join, language, mixing, pii, prefix_trie, quality, resampling, shards, substrings, topk
+from pageglean.llm import bpe, fingerprints, jaccard_join, language, mixing, pii, prefix_trie, quality, resampling, shards, simhash, substrings, topk
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -64,6 +64,10 @@ def op10_pii(spark, sf):
     return pii.pseudonymize(table(spark, sf, "documents").select("doc_id", "text"), count_col="n_values")
 
 
+def op11_simhash(spark, sf):
+    return simhash.near_duplicates(table(spark, sf, "documents"))
+
+
 def op12_prefix_trie(spark, sf):
     return prefix_trie.conversation_trie(table(spark, sf, "conversations"))
 
@@ -201,7 +205,7 @@ FROM n LEFT JOIN n u ON u.key = n.up LEFT JOIN children k ON k.key = n.key JOIN
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_mixing, op2_substrings, op3_topk, op4_language, op5_shards, op6_quality, op7_jaccard_join, op8_fingerprints, op9_bpe, op10_pii, op12_prefix_trie, op13_resampling)
+    found = (op1_mixing, op2_substrings, op3_topk, op4_language, op5_shards, op6_quality, op7_jaccard_join, op8_fingerprints, op9_bpe, op10_pii, op11_simhash, op12_prefix_trie, op13_resampling)
     return {f.__name__: f for f in found}
 
 

@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as Wd
 from pyspark.sql import functions as F
 
+from pageglean.llm.runs import changes, whole_groups
 from pageglean.operators.numbering import numbered
 from pageglean.session import materialize
 
@@ -139,7 +140,7 @@ def _signed(values: np.ndarray) -> pa.Array:
 def _expanded(rows: dict[str, np.ndarray], weights: list[str]) -> pa.RecordBatch:
     """The nodes of the trie of whole strings, which lie one after another in ``rows``, an edge expanded to a row per depth."""
     conv, seg, depth = rows["conv"], rows["seg"], rows["depth"]
-    starts = np.flatnonzero(np.concatenate([[True], (conv[1:] != conv[:-1]) | (seg[1:] != seg[:-1])]))
+    starts = changes((conv, seg))
     sizes = np.diff(np.append(starts, len(conv)))
 
     def running(column: str, offset: str) -> np.ndarray:
@@ -200,25 +201,8 @@ def fold_tries(turns: DataFrame, weights: list[str]) -> DataFrame:
     names = ["conv", "seg", "depth", "m1", "m2", "words", "o1", "o2", "words_before", *weights]
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[dict[str, np.ndarray]] = []
-        n = 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            rows = {name: batch.column(name).to_numpy(zero_copy_only=False) for name in names}
-            held.append(rows)
-            n += batch.num_rows
-            if n < BATCH_TURNS:
-                continue
-            # The last string may go on in the next batch.
-            every = {name: np.concatenate([h[name] for h in held]) for name in names}
-            fresh = np.flatnonzero((every["conv"] != every["conv"][-1]) | (every["seg"] != every["seg"][-1]))
-            whole = int(fresh[-1]) + 1 if len(fresh) else 0
-            if whole:
-                yield _expanded({name: v[:whole] for name, v in every.items()}, weights)
-            held, n = [{name: v[whole:] for name, v in every.items()}], len(every["conv"]) - whole
-        if n:
-            yield _expanded({name: np.concatenate([h[name] for h in held]) for name in names}, weights)
+        for rows in whole_groups(batches, names, ("conv", "seg"), BATCH_TURNS):
+            yield _expanded(rows, weights)
 
     schema = ", ".join(f"{name} long" for name in (*NODE, "least", *weights))
     strings = turns.select(*names).repartition("conv", "seg").sortWithinPartitions("conv", "seg", "depth")
