@@ -1,8 +1,12 @@
 """Column expressions that read HTML source text.
 
-All of them are built-in Spark functions, one regular-expression pass per field, so a page is parsed inside
-the scan stage and its HTML never crosses a shuffle. Quantifiers over tags are possessive: matching is linear in the
-length of the page and does not recurse, whatever the page holds.
+All of them are built-in Spark functions, so a page is parsed inside the scan stage and its HTML never crosses a shuffle.
+
+A page is read in two steps, both linear in its length whatever it holds. ``marked`` goes over the source once: every tag,
+comment and script becomes a short mark, and the marks of title, noscript and head keep their name. No alternative of its
+pattern can look far ahead and then fail, as what is never closed reaches to the end of the page. An opening mark that no
+closing mark of its name follows is then turned into a plain one, so that each search from an opening to a closing mark ends
+at one, and what was passed over is not looked at again.
 """
 
 from __future__ import annotations
@@ -15,31 +19,33 @@ from pyspark.sql import functions as F
 
 from pageglean.functions.bind import let
 
-# A tag, with quoted attribute values allowed to hold ">".
+# The rest of a tag, with quoted attribute values allowed to hold ">". One that is never closed reaches to the end.
 _TAG_REST = r"""[^>=]*+(?:=\s*+(?:"[^"]*+"|'[^']*+')?+[^>=]*+)*+>"""
-_TAG = rf"<[/!?a-z]{_TAG_REST}"
-
-# Everything of a page that is not shown: comments, elements whose own text is hidden, text after the root element, then
-# every other tag. Raw-text elements and comments run to the end of the page when they are never closed. The common
-# first character stands outside the alternatives, so that plain text is passed over quickly.
-_NOT_SHOWN = (
-    r"(?is)<(?:!--.*?(?:-->|\z)"
-    r"|(script|style)(?:\s[^>]*+)?+>.*?(?:</\1\s*+>|\z)"
-    r"|(title|noscript|head)(?:\s[^>]*+)?+>.*?</\2\s*+>"
+_COMMENT_OR_SCRIPT = r"!--.*?(?:-->|\z)|(script|style)(?:\s[^>]*+)?+>.*?(?:</\1\s*+>|\z)"
+
+# Elements whose text is not part of the body where they are closed.
+_KEPT = ("title", "noscript", "head")
+_NAMES = "|".join(_KEPT)
+
+# Comments and raw-text elements come first, then the tags of kept elements, text after the root element, and other tags.
+# The common first character stands outside the alternatives, so that plain text is passed over quickly.
+_MARKUP = (
+    rf"(?is)<(?:{_COMMENT_OR_SCRIPT}"
+    rf"|({_NAMES})(?:\s[^>]*+)?+>"
+    rf"|(/(?:{_NAMES}))\s*+>"
     r"|/html\s*+>[^<]*+\z"
     rf"|[/!?a-z]{_TAG_REST}"
-    r"|[/!?a-z][^>]*+\z)"
+    r"|[/!?a-z].*+\z)"
 )
+# "<!" always opens markup, so no text holds a mark.
+_MARK = " <!$2$3>"
+_UPPER_MARK = rf"<!/?+(?=[a-z]*+[A-Z])(?i:{_NAMES})>"
+_HIDDEN = rf"(?s)<!(?:({_NAMES})>.*?<!/\1>|/?+[a-z]*+>)"
 
-_TITLE = r"(?is)<title(?:\s[^>]*+)?+>(.*?)</title\s*+>"
-
-# Comments and scripts are consumed first so that anchors inside them do not count; only the last alternative
-# fills the group.
-_ANCHOR_HREF = (
-    r"(?is)<!--.*?(?:-->|\z)"
-    r"|<(?:script|style)(?:\s[^>]*+)?+>.*?(?:</(?:script|style)\s*+>|\z)"
-    r"""|<a(?=\s)[^>]*?\shref\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++)"""
-)
+# Only the group is of interest; comments and scripts are consumed so that what they hold does not count.
+_ANCHORS = rf"(?is)<(?:{_COMMENT_OR_SCRIPT}|(a\s{_TAG_REST})|a\s.*+\z)"
+_METAS = rf"(?is)<(?:{_COMMENT_OR_SCRIPT}|(meta(?=[\s/>]){_TAG_REST})|meta[\s/].*+\z)"
+_HREF = r"""(?is)\shref\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++)"""
 
 # Code points 128-159 written as numeric references mean the Windows-1252 characters.
 _C1 = [b for b in range(0x80, 0xA0) if bytes([b]).decode("cp1252", "ignore")]
@@ -100,13 +106,40 @@ def squeeze(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"[\s\x85\xa0]+", " "))
 
 
-def shown_source(html: Column) -> Column:
-    """Text nodes a reader sees, set apart by blanks, with character references as they are.
+def _lower_marks(text: Column) -> Column:
+    for name in _KEPT:
+        text = F.regexp_replace(text, f"<!(/?+)(?i:{name})>", f"<!$1{name}>")
+    return text
+
+
+def _without_unclosed(text: Column, name: str) -> Column:
+    """Opening marks behind the last closing mark of their name become plain ones."""
+    def joined(whole: Column) -> Column:
+        tail = F.substring_index(whole, f"<!/{name}>", -1)
+        return F.concat(F.left(whole, F.length(whole) - F.length(tail)), F.replace(tail, F.lit(f"<!{name}>"), F.lit("<!>")))
+
+    return let(text, lambda t: F.when(F.contains(t, F.lit(f"<!{name}>")), joined(t)).otherwise(t))
+
+
+def marked(html: Column) -> Column:
+    """The page's text with a mark for each piece of markup.
 
     Text ahead of the first tag belongs to the document node, which is not shown.
     """
     page = F.when(F.contains(html, F.lit("<")), F.substr(html, F.instr(html, "<"))).otherwise("")
-    return F.regexp_replace(page, _NOT_SHOWN, " ")
+    text = let(F.regexp_replace(page, _MARKUP, _MARK), lambda t: F.when(t.rlike(_UPPER_MARK), _lower_marks(t)).otherwise(t))
+    for name in _KEPT:
+        text = _without_unclosed(text, name)
+    return text
+
+
+def shown_marked(text: Column) -> Column:
+    """Of a marked page: text nodes a reader sees, set apart by blanks, with character references as they are."""
+    return F.regexp_replace(text, _HIDDEN, " ")
+
+
+def shown_source(html: Column) -> Column:
+    return shown_marked(marked(html))
 
 
 def visible_text(html: Column) -> Column:
@@ -114,14 +147,18 @@ def visible_text(html: Column) -> Column:
     return squeeze(decode_entities(shown_source(html)))
 
 
+def title_marked(text: Column) -> Column:
+    """Of a marked page: text of the first title element with character references as they are, or the empty string."""
+    return F.regexp_replace(F.regexp_extract(text, "(?s)<!title>(.*?)<!/title>", 1), "<!/?+[a-z]*+>", " ")
+
+
 def title_source(html: Column) -> Column:
-    """Text of the first title element with character references as they are, or the empty string."""
-    return F.regexp_replace(F.regexp_extract(html, _TITLE, 1), rf"(?is){_TAG}", " ")
+    return title_marked(marked(html))
 
 
 def without_decoded_tags(text: Column) -> Column:
-    """Text without what looks like a tag only after decoding."""
-    return F.regexp_replace(text, "<.*?>", "")
+    """Text without what looks like a tag only after decoding, which does not go over the end of a line."""
+    return F.regexp_replace(text, r"<[^>\n]*+>|(<[^>\n]*+)", "$1")
 
 
 def title_text(html: Column) -> Column:
@@ -135,9 +172,13 @@ def attribute(tag: Column, name: str) -> Column:
     return F.concat(*[F.regexp_extract(tag, value, group) for group in (1, 2, 3)])
 
 
+def _pieces(html: Column, pattern: str) -> Column:
+    return F.filter(F.regexp_extract_all(html, F.lit(pattern), F.lit(2)), lambda t: t != "")
+
+
 def meta_tags(html: Column) -> Column:
     """Array of all meta tags of a page."""
-    return F.regexp_extract_all(html, F.lit(rf"(?is)<meta(?=[\s/>]){_TAG_REST}"), F.lit(0))
+    return _pieces(html, _METAS)
 
 
 def meta_source(tags: Column, name: str) -> Column:
@@ -157,5 +198,5 @@ def meta_text(tags: Column, name: str) -> Column:
 
 def anchor_hrefs(html: Column) -> Column:
     """Array of the href values of all anchors, in page order; anchors without one give no entry."""
-    found = F.filter(F.regexp_extract_all(html, F.lit(_ANCHOR_HREF), F.lit(1)), lambda h: h != "")
+    found = F.filter(F.transform(_pieces(html, _ANCHORS), lambda t: F.regexp_extract(t, _HREF, 1)), lambda h: h != "")
     return F.transform(found, lambda h: decode_entities(F.regexp_replace(h, r"""\A["']|["']\z""", "")))

@@ -42,15 +42,10 @@ def spread(df: DataFrame) -> DataFrame:
 def page_fields(pages: DataFrame, html: str = "html") -> DataFrame:
     """One row per page and field (title, body, meta keywords, meta description) with its text."""
     others = [c for c in pages.columns if c != html]
-    cut = spread(pages).select(
-        *others,
-        H.title_source(F.col(html)).alias("title"),
-        H.shown_source(F.col(html)).alias("body"),
-        H.meta_tags(F.col(html)).alias("metas"),
-    )
     # Values that are used twice stay columns of their own, so that they are computed once.
+    cut = spread(pages).select(*others, H.marked(F.col(html)).alias("marked"), H.meta_tags(F.col(html)).alias("metas"))
     sources = cut.select(
-        *others, "title", "body",
+        *others, H.title_marked(F.col("marked")).alias("title"), H.shown_marked(F.col("marked")).alias("body"),
         H.meta_source(F.col("metas"), "keywords").alias("keywords"),
         H.meta_source(F.col("metas"), "description").alias("description"),
     )

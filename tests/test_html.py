@@ -1,3 +1,6 @@
+import time
+
+import pytest
 from pyspark.sql import functions as F
 
 from pageglean.functions import html as H
@@ -70,3 +73,35 @@ def test_many_attributes_do_not_overflow(spark):
 def test_valid_text_drops_bad_bytes(spark):
     df = spark.createDataFrame([(bytearray(b"a\xffb\xc3\xa9"),)], "raw binary")
     assert df.select(H.valid_text(F.col("raw"))).first()[0] == "abé"
+
+
+HOSTILE = ("<title>", "<TITLE >x", "<head>", "<noscript>", "<a b ", '<a x=">"', "<a x='>'", "<meta ", '<meta x=">" ', "<!--", "<!-- x", "<script>", "<style",
+           "</title", "<html", "</html>", "<p a=", "<title>&lt;", "&lt;", "&", "&#", "<", "<!", "<title></head>", "<a href=", "<a href='", "</head><head>")
+
+
+@pytest.mark.parametrize("piece", HOSTILE)
+def test_hostile_pages_take_linear_time(spark, piece):
+    """Twice the page takes about twice the time; a quadratic scan of the longer one would take minutes."""
+    def seconds(n):
+        df = spark.createDataFrame([(piece * n,)], "html string").select(
+            F.length(H.title_text(F.col("html"))), F.length(H.visible_text(F.col("html"))), F.size(H.anchor_hrefs(F.col("html"))), F.size(H.meta_tags(F.col("html"))))
+        begin = time.perf_counter()
+        df.collect()
+        return time.perf_counter() - begin
+
+    seconds(100)
+    short = min(seconds(16_000) for _ in range(2))
+    assert seconds(32_000) < 2.5 * short + 1
+
+
+def test_unclosed_elements_and_tags(spark):
+    assert texts(
+        spark, H.visible_text,
+        "<title>a<p>b", "<title>a</title>b<title>c", "<head>x<p>y</head>z<head>w", "<NOSCRIPT>a</noscript>b<NoScript>c",
+        "<head><!-- </head> -->in<script>'</head>'</script></head>out", "<p>a<b x='1' y=\"><i>rest", "<p>a <> b <3 c", "<title>a</TITLE ><p>b</p>",
+        "<p>a</title>b", "<p>x<title>y</title>",
+    ) == ["a b", "b c", "z w", "b c", "out", "a rest", "a <> b <3 c", "b", "a b", "x"]
+    assert texts(
+        spark, H.title_text, "<title>a<p>b", "<!-- <title>no</title> --><title>yes</title>", "<title>a<title>b</title>c</title>", "<Title>A <!--x--> b</tItLe>",
+        "<title>&lt;b&gt;c &lt; d\n&gt;e</title>",
+    ) == ["", "yes", "a b", "A b", "c < d >e"]
