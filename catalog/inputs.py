@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from pageglean.operators.keywords import spread
+
 # A few keywords that overlap, nest, repeat a word or hold a stop word.
 CHOSEN_KEYWORDS = (
     "attion", "thanedble", "anea eriner", "anea eriner thanea", "eriner thanea", "tion", "example net", "der", "the",
@@ -47,19 +49,22 @@ def described_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def text_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The chosen keywords, and two of each document: of all its words, and of all its pairs of words, the one of least MD5."""
+    """The chosen keywords, and two of each document: of all its words, and of all its pairs of words, the one of least MD5.
+
+    A query uses them several times, so they are kept from the first time on; nothing runs before. Two short rows a document.
+    """
     chosen = F.posexplode(F.array(*[F.lit(k) for k in CHOSEN_KEYWORDS]))
     first = spark.range(1).select(chosen).select(F.col("pos").cast("bigint").alias("id"), F.col("col").alias("keyword"))
-    documents = table(spark, sf_dir, "documents").select("doc_id", F.filter(F.split("text", " "), lambda w: w != "").alias("words"))
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", F.filter(F.split("text", " "), lambda w: w != "").alias("words"))
 
     def least(found):
         return F.coalesce(F.substr(F.array_min(F.transform(found, lambda w: F.concat(F.md5(w), w))), F.lit(33)), F.lit(""))
 
     words = F.col("words")
     pairs = F.zip_with(words, F.slice(words, F.lit(2), F.size(words)), lambda a, b: F.concat(a, F.lit(" "), b))
-    pair = documents.select((F.col("doc_id") * 2 + 100).alias("id"), least(pairs).alias("keyword"))
-    single = documents.select((F.col("doc_id") * 2 + 101).alias("id"), least(words).alias("keyword"))
-    return first.unionByName(pair).unionByName(single).select("id", F.translate("keyword", ".,", "").alias("keyword"))
+    found = F.array(F.struct((F.col("doc_id") * 2 + 100).alias("id"), least(pairs).alias("keyword")),
+                    F.struct((F.col("doc_id") * 2 + 101).alias("id"), least(words).alias("keyword")))
+    return first.unionByName(documents.select(F.inline(found))).select("id", F.translate("keyword", ".,", "").alias("keyword")).persist()
 
 
 def fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -259,7 +259,7 @@ reach AS (
   UNION SELECT e.dst, r.depth + 1 FROM reach r JOIN edges e ON e.src = r.url WHERE r.depth < 30)""",
                               "SELECT url, min(depth)::INT AS depth FROM reach GROUP BY url"),
         "url_dedup": f"SELECT DISTINCT page_url FROM ({url_list})",
-        "url_parts": f"""SELECT page_url, (row_number() OVER (ORDER BY substr(md5(page_url), 1, 3), page_url) - 1) // 2500 AS part
+        "url_parts": f"""SELECT page_url, (row_number() OVER (ORDER BY page_url) - 1) // 2500 AS part
 FROM (SELECT DISTINCT page_url FROM ({url_list}))""",
         "url_part_sizes": f"""SELECT (i - 1) // 2500 AS part, count(*) AS urls FROM (
   SELECT row_number() OVER () AS i FROM (SELECT DISTINCT page_url FROM ({url_list}))) GROUP BY 1""",

@@ -103,10 +103,7 @@ def explode_keyword_map(spark, sf):
 
 
 def terms_not_in_vocabulary(spark, sf):
-    # Used twice, so the pages are parsed once and their tokens stored.
-    stored = materialize(_tokens(spark, sf))
-    matches = K.phrase_matches(stored, _vocabulary(spark, sf))
-    return K.terms_not_in_vocabulary(stored, matches).select("page_id", "term")
+    return K.terms_not_in_vocabulary(_tokens(spark, sf), _vocabulary(spark, sf)).select("page_id", "term")
 
 
 # ---- URLs and links -------------------------------------------------------------------------------------------------

@@ -1,24 +1,24 @@
 """Known keywords and phrases on pages: leftmost, longest, not overlapping.
 
-Pages are cut into tokens where they are read. Only positions whose word starts some keyword go on, and only real
-keyword occurrences are shuffled, by page and field. Each partition is then sorted and gone through once, so no page is
-ever held in memory as a whole, however many keywords it has.
+Pages are cut into tokens where they are read. A filter of fixed size, made of the keywords and of their beginnings, says at
+each position how far a keyword may go on, so only places that may hold one leave the scan, as rows without the text around
+them. They are joined with the vocabulary and shuffled by page and field. There, occurrences that overlap make runs, and the
+choice of a reader who goes from left to right is made run by run.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pageglean.functions import html as H
 from pageglean.functions import text as X
-from pageglean.operators.joins import BROADCAST_BYTES, fits_broadcast, join_sized
-from pageglean.session import materialize
+from pageglean.functions.bind import let
+from pageglean.operators.bloom import key_filter, may_hold
+from pageglean.operators.joins import join_sized
 
 FIELDS = ("title", "body", "keywords", "description")
 
@@ -34,9 +34,15 @@ def vocabulary(keywords: DataFrame, column: str = "keyword") -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores where a scan keeps most of them idle; a scan of many files stays as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() * 4 <= cores else df
+    """Rows over all cores where a scan of a few small files keeps most of them idle; a larger one stays as it is.
+
+    The size is what the planner knows of the files, so nothing runs to find it out.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    unit = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return df.repartition(cores) if size * 4 <= unit * cores else df
 
 
 def page_fields(pages: DataFrame, html: str = "html") -> DataFrame:
@@ -66,77 +72,105 @@ def token_rows(tokens: DataFrame) -> DataFrame:
     return tokens.select(*others, F.posexplode("tokens").alias("pos", "token"))
 
 
-def _windows(tokens: DataFrame, longest: int) -> DataFrame:
-    """One row per token position with the words that follow it, as columns ``w1`` to ``w<longest>``."""
-    shifted = [F.col("tokens").alias("w1")] + [
-        F.slice(F.col("tokens"), F.lit(n), F.size("tokens")).alias(f"w{n}") for n in range(2, longest + 1)
-    ]
-    others = [c for c in tokens.columns if c != "tokens"]
-    placed = tokens.select(*others, F.posexplode(F.arrays_zip(*shifted)).alias("pos", "w"))
-    return placed.select(*others, "pos", "w.*")
-
-
-def occurrences(tokens: DataFrame, vocab: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Every place where a keyword stands, overlapping ones included: ``pos``, ``n`` words, ``keyword``."""
-    # Read three times below, so stored once.
-    known = materialize(vocab.select("keyword", F.size(F.split("keyword", " ")).alias("n")))
-    longest, size = known.agg(F.max("n"), F.sum(F.octet_length("keyword") + 32)).first()
-    longest, small = longest or 1, (size or 0) <= max_bytes
-    starts = known.groupBy(F.substring_index("keyword", " ", 1).alias("w1")).agg(F.collect_set("n").alias("lengths"))
-    # First words are far fewer than keywords; while they can be broadcast, only their places are ever shuffled.
-    small_starts = small or fits_broadcast(starts, max_bytes)
+# Beginnings of keywords that the filter knows, in words. Between two of them a place goes on to the next one's end.
+_BEGINNINGS = (1, 2, 4, 8)
+# Tells a whole keyword from a beginning.
+_WHOLE = "\n"
+# Occurrences of a run that are gone through at once.
+_CHUNK = 512
+
+
+def _beginnings(vocab: DataFrame) -> DataFrame:
+    """What the filter is made of: hashes of each keyword as a whole, and of its first 1, 2, 4 and 8 words."""
+    words = F.split("keyword", " ")
+    parts = F.transform(F.filter(F.array(*map(F.lit, _BEGINNINGS)), lambda k: k <= F.size(words)),
+                        lambda k: F.xxhash64(F.array_join(F.slice(words, F.lit(1), k), " ")))
+    return vocab.select(F.explode(F.concat(parts, F.array(F.xxhash64("keyword", F.lit(_WHOLE))))).alias("h"))
+
+
+def _text(words: Column, at: Column, n: Column) -> Column:
+    return F.array_join(F.slice(words, at + 1, n), " ")
+
+
+def _places(tokens: DataFrame, vocab: DataFrame, terms: bool) -> DataFrame:
+    """Places that may hold a keyword: ``pos``, ``n`` words and their ``text``; with ``terms`` also every token, as of 0 words.
+
+    There is no lambda in it and no value is derived twice (what is generated is not derived again where it is used), so all
+    of it is compiled into one loop over the tokens, which stay where they are in memory.
+    """
     others = [c for c in tokens.columns if c != "tokens"]
-    following = F.array(*[f"w{n}" for n in range(1, longest + 1)])
-    grams = (
-        join_sized(_windows(tokens, longest), starts, "w1", small=small_starts)
-        .select(*others, "pos", following.alias("words"), F.explode("lengths").alias("n"))
-        # Past the end of the field there is no word, so a gram cut short ends in null.
-        .filter(F.get("words", F.col("n") - 1).isNotNull())
-        .select(*others, "pos", "n", F.array_join(F.slice("words", F.lit(1), F.col("n")), " ").alias("keyword"))
-    )
-    return join_sized(grams, known, ["keyword", "n"], "left_semi", small).select(*others, "pos", "n", "keyword")
+    known = key_filter(_beginnings(vocab), "h")
+    words, at, left = F.col("tokens"), F.col("pos"), F.size("tokens") - F.col("pos")
+    rows = tokens.select(*others, "tokens", F.posexplode("tokens").alias("pos", "token"))
+    begins = may_hold(known, F.xxhash64("token"))
+    if not terms:
+        rows = rows.filter(begins)
+    hashes = [F.when(left >= n, F.xxhash64(_text(words, at, F.lit(n)))).alias(f"h{n}") for n in _BEGINNINGS[1:]]
+    hashed = rows.select("*", F.inline(F.array(F.struct(*hashes))))
+    # How many words from here on may belong to one keyword.
+    reach = F.when(~begins, 0) if terms else F
+    for n in _BEGINNINGS[1:]:
+        reach = reach.when(~F.coalesce(may_hold(known, F.col(f"h{n}")), F.lit(False)), F.least(F.lit(n - 1), left))
+    first = F.lit(0 if terms else 1)
+    grams = hashed.select(*others, "tokens", "pos", "token", F.explode(F.sequence(first, reach.otherwise(left))).alias("n"))
+    text = F.when(F.col("n") == 0, F.col("token")).otherwise(_text(words, at, F.col("n")))
+    found = grams.select(*others, "pos", "n", F.explode(F.array(text)).alias("text"))
+    whole = may_hold(known, F.xxhash64("text", F.lit(_WHOLE)))
+    # Told here that texts are not null, the planner has nothing to add below the shuffle that only one reader needs.
+    return found.filter(F.col("text").isNotNull() & ((F.col("n") == 0) | whole if terms else whole))
+
+
+def occurrences(tokens: DataFrame, vocab: DataFrame, small: bool = False) -> DataFrame:
+    """Every place where a keyword stands, overlapping ones included: ``pos``, ``n`` words, ``keyword``.
+
+    The places are joined with the vocabulary, which is broadcast if it was measured to be ``small``.
+    """
+    return join_sized(_places(tokens, vocab, False).withColumnRenamed("text", "keyword"), vocab.select("keyword"), "keyword", "left_semi", small)
+
+
+def _fold(run: Column) -> Column:
+    """The occurrences of a run, in order, that a reader takes.
+
+    The choice at a position depends on all choices before it. A long run is gone through in chunks, as an array that grows
+    by one is copied each time.
+    """
+    nothing = F.slice(run, F.lit(1), F.lit(0))
+
+    def step(state: Column, place: Column) -> Column:
+        taken = F.struct((place["pos"] + place["n"]).alias("until"), F.concat(state["kept"], F.array(place)).alias("kept"))
+        return F.when(place["pos"] >= state["until"], taken).otherwise(state)
 
+    def chunk(state: Column, places: Column) -> Column:
+        inner = F.aggregate(places, F.struct(state["until"].alias("until"), nothing.alias("kept")), step)
+        return let(inner, lambda i: F.struct(i["until"].alias("until"), F.concat(state["kept"], F.array(i["kept"])).alias("kept")))
 
-def _leftmost_longest(place: Sequence[str]):
-    """A pass over occurrences that come by place, position and falling length, which keeps those a reader would take.
+    starts = F.sequence(F.lit(0), F.floor((F.size(run) - 1) / _CHUNK).cast("int"))
+    chunks = F.transform(starts, lambda c: F.slice(run, c * _CHUNK + 1, F.lit(_CHUNK)))
+    begin = F.struct(F.lit(0).alias("until"), F.slice(F.array(nothing), F.lit(1), F.lit(0)).alias("kept"))
+    return F.when(F.size(run) == 1, run).otherwise(F.flatten(F.aggregate(chunks, begin, chunk)["kept"]))
 
-    The choice at a position depends on all choices before it, so no built-in operator makes it. Only numbers are looked
-    at; the text columns are passed through as they are. What is remembered between batches is one row.
+
+def leftmost_longest(found: DataFrame, page: Sequence[str]) -> DataFrame:
+    """Of all occurrences on pages, those that a reader would take, going from left to right.
+
+    An occurrence that begins where all before it have ended opens a run; runs do not depend on each other.
     """
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, until = None, 0
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            columns = [batch.column(name) for name in place]
-            opens = np.zeros(batch.num_rows, dtype=bool)
-            for column in columns:
-                opens[1:] |= pc.fill_null(pc.not_equal(column[1:], column[:-1]), True).to_numpy(zero_copy_only=False)
-            opens[0] = last != [column[0] for column in columns]
-            last = [column[-1] for column in columns]
-            begin = batch.column("pos").to_numpy()
-            end = begin + batch.column("n").to_numpy()
-            kept = []
-            for new, p, e in zip(opens.tolist(), begin.tolist(), end.tolist()):
-                taken = new or p >= until
-                kept.append(taken)
-                if taken:
-                    until = e
-            yield batch.filter(pa.array(kept))
-
-    return keep
-
-
-def phrase_matches(tokens: DataFrame, vocab: DataFrame, page: Sequence[str] = ("page_id", "url"),
-                   max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    order = W.partitionBy(page[0], "field").orderBy("pos", F.desc("n"))
+    before = F.max(F.col("pos") + F.col("n")).over(order.rowsBetween(W.unboundedPreceding, -1))
+    opens = found.withColumn("opens", F.coalesce(F.col("pos") >= before, F.lit(True)).cast("int"))
+    runs = opens.withColumn("run", F.sum("opens").over(order.rowsBetween(W.unboundedPreceding, W.currentRow)))
+    place = F.struct("pos", (-F.col("n")).alias("longer"), "n", "keyword")
+    lists = runs.groupBy(*page, "field", "run").agg(F.sort_array(F.collect_list(place)).alias("places"))
+    kept = lists.select(*page, "field", F.explode(_fold(F.col("places"))).alias("place"))
+    return kept.select(*page, "field", "place.pos", "place.n", "place.keyword")
+
+
+def phrase_matches(tokens: DataFrame, vocab: DataFrame, page: Sequence[str] = ("page_id", "url"), small: bool = False) -> DataFrame:
     """Keyword occurrences as a reader going left to right would take them, always the longest one.
 
     ``tokens`` has the ``page`` columns (the first alone identifies a page), ``field`` and ``tokens``.
     """
-    place = [page[0], "field"]
-    found = occurrences(tokens, vocab, max_bytes).select(*page, "field", "pos", "n", "keyword")
-    in_order = found.repartition(*place).sortWithinPartitions(*place, "pos", F.desc("n"))
-    return in_order.mapInArrow(_leftmost_longest(place), in_order.schema)
+    return leftmost_longest(occurrences(tokens, vocab, small).select(*page, "field", "pos", "n", "keyword"), page)
 
 
 def keyword_counts(matches: DataFrame, page: Sequence[str] = ("page_id", "url"), at_least: int = 1) -> DataFrame:
@@ -146,10 +180,10 @@ def keyword_counts(matches: DataFrame, page: Sequence[str] = ("page_id", "url"),
 
 
 def classify_pages(pages: DataFrame, vocab: DataFrame, stop_words: Sequence[str] = X.STOP_WORDS,
-                   at_least: int = 1) -> DataFrame:
+                   at_least: int = 1, small: bool = False) -> DataFrame:
     """Pages (``page_id``, ``url``, ``html``; one row per page) to keyword counts."""
     tokens = field_tokens(page_fields(pages.select("page_id", "url", "html")), stop_words)
-    return keyword_counts(phrase_matches(tokens, vocab), at_least=at_least)
+    return keyword_counts(phrase_matches(tokens, vocab, small=small), at_least=at_least)
 
 
 def keyword_map(counts: DataFrame, page: Sequence[str] = ("url",)) -> DataFrame:
@@ -164,10 +198,23 @@ def explode_keyword_map(store: DataFrame) -> DataFrame:
     return store.select(*others, F.explode("keywords").alias("keyword", "points"))
 
 
-def terms_not_in_vocabulary(tokens: DataFrame, matches: DataFrame, page: Sequence[str] = ("page_id", "url")) -> DataFrame:
-    """Distinct page terms that stand outside every match, found by counting: all places minus matched places."""
-    everywhere = token_rows(tokens).select(*page, "token", F.lit(1).alias("places"))
-    matched = matches.select(*page, F.explode(F.split("keyword", " ")).alias("token"), F.lit(-1).alias("places"))
+def terms_not_in_vocabulary(tokens: DataFrame, vocab: DataFrame, page: Sequence[str] = ("page_id", "url"), small: bool = False) -> DataFrame:
+    """Distinct page terms that stand outside every match, found by counting: all places minus matched places.
+
+    Tokens leave the scan as a count per page and term, in one stream with the places that may hold a keyword, so pages are
+    read once and their tokens are never stored.
+    """
+    key = [*page, "field", "pos", "n", "text"]
+    stream = _places(tokens, vocab, True)
+    term = F.col("n") == 0
+    rows = stream.select(*page, F.when(term, "").otherwise(F.col("field")).alias("field"), F.when(term, 0).otherwise(F.col("pos")).alias("pos"), "n", "text")
+    combined = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("places"))
+    # Told apart by a generated column, which the planner cannot test below the shuffle: both sides read the same one.
+    told = combined.select(*key, "places", F.explode(F.array("n")).alias("words"))
+    everywhere = told.filter("words = 0").select(*page, F.col("text").alias("token"), "places")
+    found = join_sized(told.filter("words > 0 AND places > 0").withColumnRenamed("text", "keyword"), vocab.select("keyword"), "keyword", "left_semi", small)
+    matches = leftmost_longest(found.select(*page, "field", "pos", "n", "keyword"), page)
+    matched = matches.select(*page, F.explode(F.split("keyword", " ")).alias("token"), F.lit(-1).cast("long").alias("places"))
     return (
         everywhere.unionByName(matched)
         .groupBy(*page, "token").agg(F.sum("places").alias("places"))

@@ -2,27 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from pageglean.functions import html as H
 from pageglean.functions import urls as U
-from pageglean.operators.joins import BROADCAST_BYTES, join_sized, measure
 from pageglean.operators.keywords import spread
-from pageglean.session import materialize
+from pageglean.operators.numbering import numbered
+from pageglean.session import materialize, shared_folder
 
 # The answers that make a page worth following.
 FOLLOWED_STATUS = (200, 301, 302, 403)
 
-# Hex digits of the hash that spread rows over numbering buckets: 16 ** 3 buckets.
-_BUCKET_DIGITS = 3
-
-# Rounds of a closure after which its parts are put together.
-_ROUNDS_PER_TABLE = 20
-
 
 def page_links(pages: DataFrame) -> DataFrame:
     """Pages with the array of their links: ``src_url``, ``hrefs``."""
@@ -81,31 +75,42 @@ def fetchable(fetch_log: DataFrame, statuses: Sequence[int] = FOLLOWED_STATUS) -
     return fetch_log.filter(F.col("status").isin(*statuses) & F.contains(F.col("content_type"), F.lit("html")))
 
 
-def site_closure(links: DataFrame, seeds: DataFrame, max_depth: int | None = None,
-                 max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def _append(rows: DataFrame, table: str, buckets: int, column: str) -> int:
+    """Adds rows to a table in the shared folder that is stored in buckets; how many there were comes from the write itself."""
+    written = Observation()
+    path = f"{shared_folder(rows.sparkSession)}/{table}"
+    counted = rows.observe(written, F.count(F.lit(1)).alias("rows"))
+    counted.write.mode("append").bucketBy(buckets, column).option("path", path).saveAsTable(table)
+    return written.get["rows"]
+
+
+def site_closure(links: DataFrame, seeds: DataFrame, max_depth: int | None = None, buckets: int | None = None) -> DataFrame:
     """URLs reachable from the seeds over ``src_url`` → ``dst_url``, with the number of steps: ``url``, ``depth``.
 
-    A seed is in the result only where a link leads back to it. Each round follows the newest URLs only and is stored
-    before the next one starts; the links are stored once, so that pages are not parsed again. A link target is reduced
-    to one row on the map side, so a URL that every page links to costs no more than another.
+    A seed is in the result only where a link leads back to it. The links are stored once, bucketed by the page they stand
+    on, and the URLs reached so far in a table bucketed alike by URL, where a file holds URLs of one depth. A round joins the
+    newest URLs with the edges bucket by bucket, shuffles the targets (reduced to one row each on the map side), takes out
+    what is known bucket by bucket, and adds the rest. How many there are comes from that write. So the shuffle of the
+    targets and the write are the jobs of a round, and it moves neither edges nor known URLs.
+
+    The tables lie in the shared folder and stay for as long as the result is in use.
     """
-    edges = materialize(links.select("src_url", "dst_url").distinct())
-    frontier = materialize(seeds.select("url", F.lit(0).alias("depth")).distinct())
-    reached = frontier.filter(F.lit(False))
-    depth, (rows, size) = 0, measure(frontier)
+    spark = links.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"closure_{uuid.uuid4().hex}"
+    edges, urls = f"{name}_edges", f"{name}_urls"
+    _append(links.select("src_url", "dst_url").distinct().repartition(buckets, "src_url"), edges, buckets, "src_url")
+    rows = _append(seeds.select("url", F.lit(0).alias("depth")).distinct().repartition(buckets, "url"), urls, buckets, "url")
+    depth = 0
     while rows and (max_depth is None or depth < max_depth):
         depth += 1
-        sources = frontier.select(F.col("url").alias("src_url"))
-        followed = join_sized(edges, sources, "src_url", "left_semi", small=size <= max_bytes)
-        found = followed.select(F.col("dst_url").alias("url")).distinct()
-        new = found.join(reached.select("url"), "url", "left_anti")
-        frontier = materialize(new.withColumn("depth", F.lit(depth)))
-        rows, size = measure(frontier)
-        # A union of stored parts moves no row; now and then the parts become one table again.
-        reached = reached.unionByName(frontier)
-        if depth % _ROUNDS_PER_TABLE == 0:
-            reached = materialize(reached.repartition("url"))
-    return reached
+        newest = spark.table(urls).filter(F.col("depth") == depth - 1).select(F.col("url").alias("src_url"))
+        known = spark.table(urls).filter(F.col("depth") > 0).select("url")
+        # Both sides of either join are dealt by the URL already, so they are merged where they lie.
+        found = spark.table(edges).join(newest.hint("merge"), "src_url", "left_semi").select(F.col("dst_url").alias("url")).distinct()
+        fresh = found.join(known.hint("merge"), "url", "left_anti")
+        rows = _append(fresh.select("url", F.lit(depth).alias("depth")), urls, buckets, "url")
+    return spark.table(urls).filter(F.col("depth") > 0)
 
 
 def distinct_urls(urls: DataFrame, column: str = "page_url") -> DataFrame:
@@ -114,21 +119,14 @@ def distinct_urls(urls: DataFrame, column: str = "page_url") -> DataFrame:
 
 
 def url_parts(urls: DataFrame, rows: int = 2500, column: str = "page_url") -> DataFrame:
-    """Distinct URLs with the number of the part they belong to, ``rows`` URLs to a part.
+    """Distinct URLs in order with the number of the part they belong to, ``rows`` URLs to a part.
 
-    Rows are numbered inside hash buckets, and buckets are offset by the sizes of those before them, so that no task sees
-    more than a bucket and only the fixed number of bucket sizes is ever in one place.
+    A URL's number is its place in its range of URLs plus the sizes of the ranges before, so a task sees one range, and there
+    are as many ranges as the data need.
     """
-    hashed = distinct_urls(urls, column).withColumn("bucket", F.substring(F.md5(column), 1, _BUCKET_DIGITS))
-    # Used twice, so stored once.
-    placed = materialize(hashed)
-    sizes = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
-    before = F.coalesce(F.sum("size").over(W.orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    offsets = sizes.select("bucket", before.alias("before"))
-    numbered = placed.withColumn("at", F.row_number().over(W.partitionBy("bucket").orderBy(column)))
-    # At most 16 ** 3 offsets: the bound on this broadcast does not depend on the data.
-    return numbered.join(F.broadcast(offsets), "bucket").select(
-        column, F.floor((F.col("before") + F.col("at") - 1) / rows).alias("part"))
+    # Ranges are sampled from the table first, so it is stored.
+    stored = materialize(distinct_urls(urls, column))
+    return numbered(stored, column).select(column, F.floor(F.col("number") / rows).alias("part"))
 
 
 def part_sizes(parts: DataFrame) -> DataFrame:

@@ -6,14 +6,15 @@ change; while these are few they are broadcast, and the old rows are not shuffle
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pageglean.functions import segments as S
 from pageglean.functions import urls as U
-from pageglean.operators.joins import BROADCAST_BYTES, lookup
+from pageglean.operators.bloom import key_filter, may_hold
+from pageglean.operators.joins import lookup
 
 SITE_KEY = ("page_url",)
 CONTAINS_KEY = ("site_id", "keyword_id")
@@ -92,12 +93,26 @@ def gated_urls(channels: DataFrame, allowed: Sequence[str] = S.CLASSIFIED_CHANNE
     return channels.filter(S.channel_passes(F.col("response"), allowed)).select("url").distinct()
 
 
-def restrict_pages(pages: DataFrame, urls: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Pages of these URLs. Up to ``max_bytes`` the list is broadcast and no page moves; a longer one is joined by shuffling."""
-    return lookup(pages, urls.select("url").distinct(), "url", "left_semi", max_bytes)
+def likely_pages(pages: DataFrame, keys: DataFrame, *columns: str) -> DataFrame:
+    """Pages whose key columns may be among these keys: all that are, and few others. No page moves for it.
+
+    What is made of these pages must still be joined with the keys, which then moves what was made and not the pages.
+    """
+    return pages.filter(may_hold(key_filter(keys.select(F.xxhash64(*columns).alias("h")), "h"), F.xxhash64(*columns)))
+
+
+def restrict_pages(pages: DataFrame, urls: DataFrame, make: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """What ``make`` makes (rows with ``url``) of the pages of these URLs; the pages themselves by default.
+
+    The URL list may be of any length: a filter of fixed size is applied where the pages are read, and the list is joined
+    with what was made of them.
+    """
+    wanted = urls.select("url").distinct()
+    likely = likely_pages(pages, wanted, "url")
+    return lookup(likely if make is None else make(likely), wanted, "url", "left_semi")
 
 
-def listed_pages(pages: DataFrame, urls: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def listed_pages(pages: DataFrame, urls: DataFrame) -> DataFrame:
     """The page of each listed URL: ``listed`` as listed, ``url`` as stored, ``page_id``.
 
     Scheme, ``www.``, outer slashes and parameters do not tell pages apart. A listed query must be the page's own; a URL
@@ -108,7 +123,7 @@ def listed_pages(pages: DataFrame, urls: DataFrame, max_bytes: int = BROADCAST_B
     stored = pages.select("url", "page_id", U.page_key(F.col("url")).alias("page_key"))
     asked, own = U.query(F.col("listed")), U.query(F.col("url"))
     order = F.struct((F.col("url") == F.col("listed")).alias("same"), (own == "").alias("plain"), "page_id", "url")
-    met = lookup(stored, wanted, "page_key", max_bytes=max_bytes).filter((asked == "") | (asked == own))
+    met = lookup(stored, wanted, "page_key").filter((asked == "") | (asked == own))
     return met.groupBy("listed").agg(F.max(order).alias("page")).select("listed", "page.url", "page.page_id")
 
 

@@ -13,7 +13,7 @@ from pageglean.operators import keywords as K
 from pageglean.operators import links as L
 from pageglean.operators import mart as M
 from pageglean.operators import segments as G
-from pageglean.operators.joins import BROADCAST_BYTES, lookup
+from pageglean.operators.joins import fits_broadcast
 from pageglean.sources import files
 from pageglean.sources.store import Store
 from pageglean.session import materialize
@@ -91,8 +91,10 @@ def classify(store: Store, urls: DataFrame, pages: DataFrame, keywords: DataFram
         wanted = wanted.withColumn("page_key", U.page_key(F.col("url"))).join(gate, "page_key", "left_semi").select("url")
     # One page may be meant by several listed URLs; it is parsed once. Used three times, so stored once.
     chosen = materialize(M.listed_pages(pages, wanted))
-    shown = lookup(pages, chosen.select("url", "page_id").distinct(), ["url", "page_id"], "left_semi", BROADCAST_BYTES)
-    counted = K.classify_pages(shown, K.vocabulary(keywords), stop_words)
+    vocab = materialize(K.vocabulary(keywords))
+    # Pages that are not chosen but pass the filter are dropped by the join below, which moves counts and no page.
+    shown = M.likely_pages(pages, chosen, "url", "page_id")
+    counted = K.classify_pages(shown, vocab, stop_words, small=fits_broadcast(vocab))
     # The counts feed the store and the mart, so they are stored once instead of parsing the pages for each.
     counts = materialize(counted.join(chosen, ["url", "page_id"]).select(F.col("listed").alias("page_url"), "keyword", "points"))
 

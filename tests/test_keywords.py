@@ -40,8 +40,33 @@ def test_matches_equal_a_plain_reading_of_the_rule(spark):
     lists = [(i, f, rng.choices(words + ["x"], k=rng.randint(0, 60))) for i in range(40) for f in ("title", "body")]
     want = sorted((i, f, *m) for i, f, t in lists for m in greedy(t, vocab))
     assert matches(spark, lists, vocab) == want
-    # The same without any broadcast.
-    assert matches(spark, lists, vocab, max_bytes=-1) == want
+    # The same with the vocabulary broadcast.
+    assert matches(spark, lists, vocab, small=True) == want
+
+
+def test_long_keywords(spark):
+    """Keywords of up to 40 words, of which some are the beginnings of others."""
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(6)]
+    text = rng.choices(words, k=400)
+    vocab = {" ".join(text[i:i + n]) for i, n in [(3, 40), (3, 1), (3, 7), (50, 17), (50, 15), (90, 16), (120, 8), (200, 9), (300, 30), (301, 4)]} | {" ".join(text[3:20] + ["no"])}
+    lists = [(1, "body", text), (2, "body", text[40:] + text[:60]), (3, "title", text[:43]), (4, "title", text[:42])]
+    assert matches(spark, lists, vocab) == sorted((i, f, *m) for i, f, t in lists for m in greedy(t, vocab))
+
+
+def test_runs_longer_than_a_chunk(spark, monkeypatch):
+    monkeypatch.setattr(K, "_CHUNK", 3)
+    rng = random.Random(4)
+    vocab = {"a a", "a b a", "b a", "a a a b"}
+    lists = [(i, "body", rng.choices("ab", k=200)) for i in range(10)]
+    assert matches(spark, lists, vocab) == sorted((i, f, *m) for i, f, t in lists for m in greedy(t, vocab))
+
+
+def test_empty_vocabulary_and_no_tokens(spark):
+    assert matches(spark, [(1, "body", ["a"]), (2, "body", [])], ["zz"]) == []
+    empty = vocab_frame(spark, ["a"]).limit(0)
+    assert K.phrase_matches(token_frame(spark, [(1, "body", ["a"])]), empty).count() == 0
+    assert [r.term for r in K.terms_not_in_vocabulary(token_frame(spark, [(1, "body", ["a", "a"])]), empty).collect()] == ["a"]
 
 
 def test_one_long_run_of_overlaps(spark):
@@ -85,16 +110,31 @@ def test_classify_counts_every_field(spark):
 
 
 def test_terms_outside_matches(spark):
-    tokens = token_frame(spark, [(1, "body", "a b c b".split())])
-    vocab = vocab_frame(spark, ["a b"])
-    terms = K.terms_not_in_vocabulary(tokens, K.phrase_matches(tokens, vocab))
-    assert sorted(r.term for r in terms.collect()) == ["b", "c"]
+    tokens = token_frame(spark, [(1, "body", "a b c b".split()), (1, "title", ["b"]), (2, "title", "a b".split())])
+    terms = K.terms_not_in_vocabulary(tokens, vocab_frame(spark, ["a b"]))
+    assert sorted((r.page_id, r.term) for r in terms.collect()) == [(1, "b"), (1, "c")]
+
+
+def executed(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_terms_read_the_pages_once(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    terms = K.terms_not_in_vocabulary(K.field_tokens(K.page_fields(pages)), vocab_frame(spark, ["der", "de la"]))
+    reused = [line for line in executed(terms).splitlines() if "ReusedExchange" in line]
+    assert any("text#" in line for line in reused)
 
 
-def test_only_occurrences_are_shuffled(spark):
+def test_matching_stays_in_the_jvm_and_shuffles_occurrences_only(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     tokens = K.field_tokens(K.page_fields(pages))
+    before = spark.sparkContext._jsc.sc().dagScheduler().nextJobId()
     counts = K.keyword_counts(K.phrase_matches(tokens, vocab_frame(spark, ["der", "de la"])))
+    assert spark.sparkContext._jsc.sc().dagScheduler().nextJobId() == before
     plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert not any(name in plan for name in ("EvalPython", "InArrow", "InPandas"))
     assert plan.count("Exchange hashpartitioning(page_id") == 2
-    assert "Exchange hashpartitioning(w1" not in plan and "BatchEvalPython" not in plan
+    shuffled = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert not any("tokens" in line or "marked" in line for line in shuffled)
