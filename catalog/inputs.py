@@ -5,11 +5,14 @@ Each function reads whole tables and stands in for one input of the jobs.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pageglean.operators.keywords import spread
+from pageglean.session import shared_folder
 
 # A few keywords that overlap, nest, repeat a word or hold a stop word.
 CHOSEN_KEYWORDS = (
@@ -105,6 +108,18 @@ def url_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(F.when(F.col("l_orderkey") % 97 != 0, page).alias("page_url"))
 
 
+def url_files(spark: SparkSession, sf_dir: str) -> str:
+    """A folder of gz files with a URL and a number on each line, a file for each line number of the orders; some lines have fields too many."""
+    page = F.concat(F.lit("http://s"), F.col("l_orderkey") % 50, F.lit(".example.com/c/"), F.col("l_orderkey"))
+    end = F.when(F.col("l_partkey") % 89 == 0, F.lit(",x,y")).otherwise("")
+    # No URL where the part is a multiple of 97. The two fields are one column here, so that a line can be malformed.
+    line = F.concat(F.when(F.col("l_partkey") % 97 != 0, page).otherwise(""), F.lit(","), F.col("l_partkey"), end)
+    folder = f"{shared_folder(spark)}/url-files-{uuid.uuid4().hex}"
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_linenumber").alias("list"), line.alias("page_url,n"))
+    rows.write.partitionBy("list").option("header", True).option("sep", "\x01").option("quote", "").option("compression", "gzip").csv(folder)
+    return folder
+
+
 def hrefs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page and one link of each of many shapes per order."""
     key = F.col("o_orderkey").cast("string")
@@ -191,8 +206,14 @@ def site_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keyword_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keyword maps of most pages of the mart, some of them empty."""
-    facts = contains(spark, sf_dir).filter(F.col("site_id") % 5 != 0).join(site(spark, sf_dir).select("site_id", "page_url"), "site_id")
+    """Keyword maps of the mart's pages, some of them empty."""
+    facts = contains(spark, sf_dir).join(site(spark, sf_dir).select("site_id", "page_url"), "site_id")
     entries = F.sort_array(F.collect_list(F.when(F.col("site_id") % 7 != 0, F.struct(
         F.concat(F.lit("k"), F.col("keyword_id")).alias("keyword"), F.col("points").cast("bigint").alias("points")))))
     return facts.groupBy("page_url").agg(F.map_from_entries(entries).alias("keywords"))
+
+
+def listed_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mart's pages, and as many others whose URL ends in ``/new``, which no store knows."""
+    pages = site(spark, sf_dir).select("page_url")
+    return pages.unionByName(pages.select(F.concat("page_url", F.lit("/new")).alias("page_url")))

@@ -161,10 +161,11 @@ site_category AS MATERIALIZED (
 
 STORE = f"""{SITE}, {FACTS},
 store_pages AS (
-  SELECT DISTINCT site_id, page_url FROM facts JOIN site USING (site_id) WHERE site_id % 5 <> 0),
+  SELECT DISTINCT site_id, page_url FROM facts JOIN site USING (site_id)),
+listed_sites AS (SELECT page_url FROM site UNION ALL SELECT page_url || '/new' FROM site),
 store AS (
   SELECT page_url, 'k' || keyword_id AS keyword, points::BIGINT AS points FROM facts JOIN site USING (site_id)
-  WHERE site_id % 5 <> 0 AND site_id % 7 <> 0)"""
+  WHERE site_id % 7 <> 0)"""
 
 RESULTS = f"""{SITE}, {FACTS}, {SEGMENTS},
 hits AS (
@@ -263,6 +264,8 @@ reach AS (
 FROM (SELECT DISTINCT page_url FROM ({url_list}))""",
         "url_part_sizes": f"""SELECT (i - 1) // 2500 AS part, count(*) AS urls FROM (
   SELECT row_number() OVER () AS i FROM (SELECT DISTINCT page_url FROM ({url_list}))) GROUP BY 1""",
+        "url_file_report": """SELECT l_linenumber::INT AS list, count(*) FILTER (l_partkey % 89 <> 0) AS good, count(*) FILTER (l_partkey % 89 = 0) AS bad,
+  count(*) FILTER (l_partkey % 89 <> 0 AND l_partkey % 97 <> 0) AS urls FROM lineitem GROUP BY 1""",
         "domain_label": f"SELECT DISTINCT {HOST} AS host, replace({HOST}, '.', '_') AS label FROM pages",
         "keyword_segments": _with(SEGMENTS, "SELECT DISTINCT p_name AS keyword, name FROM part JOIN custom_segments USING (p_type)"),
         "keyword_first_segment": _with(SEGMENTS, "SELECT p_name AS keyword, min(name) AS name FROM part JOIN custom_segments USING (p_type) GROUP BY p_name"),
@@ -279,8 +282,8 @@ WHERE n >= CASE WHEN contains(category, 'DTC') THEN 3 ELSE 5 END GROUP BY url"""
         "page_keyword_map_lookup": _with(STORE, """, texts AS (SELECT page_url, string_agg(keyword || '=' || points, ',' ORDER BY keyword) AS keywords FROM store GROUP BY 1)
 SELECT s.page_url, CASE WHEN p.page_url IS NULL THEN 'missing' WHEN t.keywords IS NULL THEN 'empty' ELSE 'found' END AS state,
   coalesce(t.keywords, '') AS keywords
-FROM site s LEFT JOIN store_pages p USING (page_url) LEFT JOIN texts t USING (page_url)"""),
-        "unclassified_pages": _with(STORE, "SELECT page_url FROM site ANTI JOIN store_pages USING (page_url)"),
+FROM listed_sites s LEFT JOIN store_pages p USING (page_url) LEFT JOIN texts t USING (page_url)"""),
+        "unclassified_pages": _with(STORE, "SELECT page_url FROM listed_sites ANTI JOIN store_pages USING (page_url)"),
         "channel_gate": "SELECT page_id, url FROM pages WHERE page_id % 6 < 4 AND page_id % 11 <> 0",
         "insert_ignore_site": _with(SITE, f"""SELECT site_id, page_url,
   CASE WHEN site_id % 2 = 1 THEN last_scrapped_date::VARCHAR ELSE '{I.NEXT_DATE}' END AS last_scrapped_date,

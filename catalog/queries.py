@@ -13,7 +13,7 @@ from pageglean.operators import keywords as K
 from pageglean.operators import links as L
 from pageglean.operators import mart as M
 from pageglean.operators import segments as G
-from pageglean.session import materialize
+from pageglean.sources import files
 
 
 def _day(column: str):
@@ -183,6 +183,14 @@ def url_part_sizes(spark, sf):
     return L.part_sizes(url_parts(spark, sf))
 
 
+def url_file_report(spark, sf):
+    """Good and bad lines of each URL file."""
+    folder = I.url_files(spark, sf)
+    # A file of the list 3 lies below "list=3".
+    lines = files.scan_urls(spark, folder).withColumn("list", F.regexp_extract("file", "/list=([0-9]+)/", 1).cast("int"))
+    return files.scan_report(lines, "list")
+
+
 def domain_label(spark, sf):
     hosts = I.pages(spark, sf).select(U.authority(F.col("url")).alias("host")).distinct()
     return hosts.select("host", U.domain_label(F.col("host")).alias("label"))
@@ -230,12 +238,12 @@ def page_flags(spark, sf):
 
 
 def page_keyword_map_lookup(spark, sf):
-    found = M.page_lookup(I.site(spark, sf), I.keyword_store(spark, sf))
+    found = M.page_lookup(I.listed_sites(spark, sf), I.keyword_store(spark, sf))
     return found.select("page_url", "state", F.coalesce(_map_text("keywords"), F.lit("")).alias("keywords"))
 
 
 def unclassified_pages(spark, sf):
-    return M.unclassified(I.site(spark, sf), I.keyword_store(spark, sf))
+    return M.unclassified(I.listed_sites(spark, sf), I.keyword_store(spark, sf))
 
 
 def channel_gate(spark, sf):
@@ -395,7 +403,7 @@ ALL = {
         keyword_map, explode_keyword_map, terms_not_in_vocabulary,
         url_parts_of, normalize_url, default_scheme, valid_urls, resolve_links, join_urls, skip_path_filter, extract_links,
         link_kind, unify_host, link_totals, fetchable_pages, site_closure, url_dedup, url_parts,
-        url_part_sizes, domain_label,
+        url_part_sizes, url_file_report, domain_label,
         keyword_segments, keyword_first_segment, segment_clean_name, build_contains, build_site_category,
         page_flags, page_keyword_map_lookup, unclassified_pages, channel_gate, insert_ignore_site, insert_ignore_contains, upsert_site_category,
         keyword_store_upsert, keyword_store_purge,

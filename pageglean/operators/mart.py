@@ -147,14 +147,18 @@ def insert_ignore(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFra
 def upsert_date(old: DataFrame, new: DataFrame, key: Sequence[str], date: str = "current_dates") -> DataFrame:
     """Table after an insert that gives known keys the new date and leaves the rest of their row.
 
-    Of new rows with one key the smallest counts, with the latest date. They are combined before they meet the old rows.
+    Of new rows with one key the smallest counts, with the latest date. They are combined before they meet the old rows, which
+    they do once, in one join that keeps both sides.
     """
-    key, rest = list(key), [c for c in new.columns if c not in (*key, date)]
-    row = [F.min(F.struct(*rest)).alias("row")] if rest else []
-    fresh = new.groupBy(*key).agg(F.max(date).alias("fresh_date"), *row)
-    known = old.join(fresh.select(*key, "fresh_date"), key, "left").withColumn(date, F.coalesce("fresh_date", date))
-    added = fresh.join(old.select(*key), key, "left_anti").select(*key, *(["row.*"] if rest else []), F.col("fresh_date").alias(date))
-    return known.select(*old.columns).unionByName(added.select(*[c for c in old.columns if c in added.columns]), allowMissingColumns=True)
+    key, rest = list(key), [c for c in old.columns if c not in (*key, date)]
+    given = [c for c in rest if c in new.columns]
+    row = F.struct(*given) if given else F.struct(F.lit(0).alias("none"))
+    fresh = new.groupBy(*key).agg(F.max(date).alias("fresh_date"), F.min(row).alias("added"))
+    kept = old.select(*key, F.struct(F.col(date).alias("day"), *rest).alias("kept"))
+    both, known = kept.join(fresh, key, "full_outer"), F.col("kept").isNotNull()
+    values = {c: F.when(known, F.col("kept")[c]).otherwise(F.col("added")[c] if c in given else F.lit(None)) for c in rest}
+    values[date] = F.when(known, F.coalesce("fresh_date", F.col("kept.day"))).otherwise(F.col("fresh_date"))
+    return both.select(*[values[c].alias(c) if c in values else F.col(c) for c in old.columns])
 
 
 def store_upsert(old: DataFrame, new: DataFrame, key: Sequence[str] = ("page_url",)) -> DataFrame:

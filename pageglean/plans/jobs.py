@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from pageglean.functions import text as X
@@ -15,7 +15,7 @@ from pageglean.operators import mart as M
 from pageglean.operators import segments as G
 from pageglean.operators.joins import fits_broadcast
 from pageglean.sources import files
-from pageglean.sources.store import Store
+from pageglean.sources.store import Change, Snapshot, Store
 from pageglean.session import materialize
 
 
@@ -39,48 +39,57 @@ def crawl(pages: DataFrame, seed_url: str, out: str, run_date: str, **options) -
     return folder
 
 
+MART = ("contains", "site", "site_category")
+
+
 def purge(store: Store, urls: DataFrame | None, domain: str, run: str) -> dict[str, int]:
-    """Job 2: forgets the keywords of these URLs and everything the mart has on the domain; gives the rows removed."""
+    """Job 2: forgets the keywords of these URLs and everything the mart has on the domain; gives the rows removed.
+
+    The keyword store and the mart's tables change together. What is removed is what was read less what was written, both
+    counted by the rewrite itself.
+    """
+    before, changes = store.snapshot(), {}
     if urls is not None:
         keys = urls.select("page_url", store.bucket_of_url(F.col("page_url")).alias("bucket"))
-        buckets = store.touched(keys)
-        kept = M.store_purge(store.read("keyword_store", buckets), keys)
-        store.replace(run, {"keyword_store": kept}, buckets)
-    buckets = _domain_buckets(store, domain)
-    site, contains, category = (store.read(t, buckets) for t in ("site", "contains", "site_category"))
-    counts = {r["table_name"]: r["removed"] for r in M.purge_counts(site, contains, category, domain).collect()}
-    _replace_domain(store, domain, run)
-    return counts
-
-
-def _domain_buckets(store: Store, domain: str) -> list[int]:
-    """Partitions that hold rows of the domain. The facts of a page are in the partition of its site."""
-    named = store.read("site_category").filter(F.col("domain") == domain)
-    return sorted({*store.touched(M.sites_of(store.read("site"), domain)), *store.touched(named)})
-
-
-def _replace_domain(store: Store, domain: str, run: str, new: dict[str, DataFrame] | None = None) -> None:
-    """The three mart tables without the domain's rows and with the new ones, changed together."""
-    buckets = set(_domain_buckets(store, domain))
-    for rows in (new or {}).values():
-        buckets |= set(store.touched(rows))
-    buckets = sorted(buckets)
-    site, contains, category = (store.read(t, buckets) for t in ("site", "contains", "site_category"))
-    content = {
-        "contains": M.purge_contains(contains, site, domain),
-        "site": M.purge_site(site, domain),
-        "site_category": M.purge_site_category(category, domain),
+        touched = store.touched(keys)
+        if touched:
+            changes["keyword_store"] = Change(M.store_purge(store.read("keyword_store", touched, at=before), keys), touched)
+    buckets = _domain_buckets(store, domain, before)
+    read = {table: Observation() for table in MART}
+    if buckets:
+        changes |= _without_domain(store, domain, buckets, before, read)
+    written = store.change(run, changes, before) if changes else {}
+    return {table: read[table].get["rows"] - written[table] if table in written else 0 for table in MART}
+
+
+def _domain_buckets(store: Store, domain: str, at: Snapshot) -> list[int]:
+    """Buckets that hold rows of the domain. The facts of a page are in the bucket of its site."""
+    named = store.read("site_category", at=at).filter(F.col("domain") == domain)
+    return store.touched(M.sites_of(store.read("site", at=at), domain).select("bucket").unionByName(named.select("bucket")))
+
+
+def _without_domain(store: Store, domain: str, buckets: list[int], at: Snapshot, read: Mapping[str, Observation] | None = None,
+                    new: Mapping[str, DataFrame] | None = None) -> dict[str, Change]:
+    """The three mart tables without the domain's rows, and with the new ones; ``read`` counts what they hold now."""
+    tables = {table: store.read(table, buckets, at=at) for table in MART}
+    site = tables["site"]
+    if read is not None:
+        tables = {table: rows.observe(read[table], F.count(F.lit(1)).alias("rows")) for table, rows in tables.items()}
+    kept = {
+        "contains": M.purge_contains(tables["contains"], site, domain),
+        "site": M.purge_site(tables["site"], domain),
+        "site_category": M.purge_site_category(tables["site_category"], domain),
     }
-    if new:
-        content = {table: M.replace_slice(kept, new[table]) for table, kept in content.items()}
-    store.replace(run, content, buckets)
+    return {table: Change(M.replace_slice(rows, new[table]) if new else rows, buckets) for table, rows in kept.items()}
 
 
 def classify(store: Store, urls: DataFrame, pages: DataFrame, keywords: DataFrame, segment: DataFrame,
              custom_segments: DataFrame, run_date: str, run: str, channels: DataFrame | None = None,
-             stop_words: Sequence[str] = X.STOP_WORDS) -> None:
+             stop_words: Sequence[str] = X.STOP_WORDS) -> dict[str, int]:
     """Job 3: counts keywords on the listed pages, keeps them in the keyword store and enters them into the mart.
 
+    Gives the rows written to each table.
+
     With ``channels`` only pages that pass the channel gate are classified. A listed URL means the page of ``M.listed_pages``,
     whose counts are kept under the URL as listed.
     """
@@ -103,56 +112,69 @@ def classify(store: Store, urls: DataFrame, pages: DataFrame, keywords: DataFram
     fresh = maps.select(
         "page_url", F.coalesce("keywords", F.create_map().cast("map<string,bigint>")).alias("keywords"),
         store.bucket_of_url(F.col("page_url")).alias("bucket"))
-    buckets = store.touched(fresh)
-    store.replace(run, {"keyword_store": M.store_upsert(store.read("keyword_store", buckets), fresh)}, buckets)
-
+    # All tables are changed together, from one state to the next.
+    before = store.snapshot()
+    stored = store.touched(fresh)
     listed_sites = M.build_site(listed, run_date).withColumn("bucket", store.bucket_of_url(F.col("page_url")))
     buckets = store.touched(listed_sites)
-    store.append("site", M.new_rows(store.read("site", buckets), listed_sites, M.SITE_KEY))
+    known = store.read("site", buckets, at=before)
+    # Written, and looked up for facts and categories.
+    added = materialize(M.new_rows(known, listed_sites, M.SITE_KEY))
 
     # A page listed both with and without a scheme is two sites; the counts carry the full URL.
-    site = store.read("site", buckets).select("site_id", U.default_scheme(F.col("page_url")).alias("page_url"), "bucket")
+    site = known.unionByName(added).select("site_id", U.default_scheme(F.col("page_url")).alias("page_url"), "bucket")
     facts = M.build_contains(counts, keywords, site, carried=["bucket"]).withColumns({
         "fact_id": M.surrogate("site_id", "keyword_id"), "current_dates": F.lit(run_date).cast("date")})
-    store.append("contains", M.new_rows(store.read("contains", buckets), facts, M.CONTAINS_KEY))
-
     pairs = M.first_segment(M.keyword_segments(keywords, segment, custom_segments))
     categories = M.build_site_category(counts, pairs, site, run_date).withColumns({
         "s_c_id": M.surrogate("site_id", "custom_segment_name"), "bucket": store.bucket_of(F.col("domain"))})
-    old = store.read("site_category", buckets)
-    store.replace(run, {"site_category": M.upsert_date(old, categories.select(*old.columns), M.CATEGORY_KEY)}, buckets)
+    old = store.read("site_category", buckets, at=before)
+    changes = {
+        "site": Change(added),
+        "contains": Change(M.new_rows(store.read("contains", buckets, at=before), facts, M.CONTAINS_KEY)),
+        "site_category": Change(M.upsert_date(old, categories.select(*old.columns), M.CATEGORY_KEY), buckets),
+    }
+    if stored:
+        changes["keyword_store"] = Change(M.store_upsert(store.read("keyword_store", stored, at=before), fresh), stored)
+    return store.change(run, changes, before)
 
 
-def refresh_warehouse(store: Store, warehouse: Store, exports: str, domain: str, run_date: str, run: str) -> bool:
-    """Job 4: exports one domain and day of the mart and replaces the domain in the warehouse.
+def refresh_warehouse(store: Store, warehouse: Store, exports: str, domain: str, run_date: str, run: str) -> dict[str, int]:
+    """Job 4: exports one domain and day of the mart and replaces the domain in the warehouse; gives the rows exported.
 
-    Nothing is replaced when the day has no pages of the domain.
+    Nothing is replaced, and nothing given, when the day has no pages of the domain. Sites and categories of other months are
+    not read.
     """
-    spark = store.spark
-    buckets = store.touched(M.sites_of(store.read("site"), domain))
-    site, contains, category = store.read("site", buckets), store.read("contains", buckets), store.read("site_category")
+    spark, at = store.spark, store.snapshot()
+    day_sites = store.read("site", day=run_date, at=at)
+    buckets = store.touched(M.sites_of(day_sites, domain))
+    site = store.read("site", buckets, run_date, at)
+    # The facts of a page may be older than its last day.
+    contains, category = store.read("contains", buckets, at=at), store.read("site_category", day=run_date, at=at)
     tables = {
         "site": M.export_site(site, domain, run_date),
         "contains": M.export_contains(contains, site, domain, run_date),
         "site_category": M.export_site_category(category, domain, run_date),
     }
-    for name, rows in tables.items():
-        files.write_export(rows, f"{exports}/{name}")
+    exported = {name: files.write_export(rows, f"{exports}/{name}") for name, rows in tables.items()}
+    if not exported["site"]:
+        return {}
     new_site = files.read_export(spark, f"{exports}/site", "site_id bigint, page_url string, last_scrapped_date date")
-    if new_site.isEmpty():
-        return False
     day = F.lit(run_date).cast("date").alias("current_dates")
     new_site = new_site.select("*", day, warehouse.bucket_of_url(F.col("page_url")).alias("bucket"))
     new_contains = files.read_export(
         spark, f"{exports}/contains", "fact_id bigint, site_id bigint, keyword_id bigint, points int").select("*", day)
     new_category = files.read_export(
         spark, f"{exports}/site_category", "s_c_id bigint, site_id bigint, domain string, custom_segment_name string")
-    _replace_domain(warehouse, domain, run, {
+    new = {
         "contains": new_contains.join(new_site.select("site_id", "bucket"), "site_id"),
         "site": new_site,
         "site_category": new_category.select("*", day, warehouse.bucket_of(F.col("domain")).alias("bucket")),
-    })
-    return True
+    }
+    before = warehouse.snapshot()
+    touched = {*_domain_buckets(warehouse, domain, before), *warehouse.touched(new_site), *warehouse.touched(new["site_category"])}
+    warehouse.change(run, _without_domain(warehouse, domain, sorted(touched), before, new=new), before)
+    return exported
 
 
 def publish_flags(warehouse: Store, keywords: DataFrame, segment: DataFrame, custom_segments: DataFrame, out: str,
@@ -164,9 +186,10 @@ def publish_flags(warehouse: Store, keywords: DataFrame, segment: DataFrame, cus
     spark = warehouse.spark
     label = files.label_of(domain)
     wanted = G.only_ids(custom_segments, id_list)
-    buckets = warehouse.touched(M.sites_of(warehouse.read("site"), domain))
-    site = M.sites_of(warehouse.read("site", buckets), domain)
-    facts = M.contains_of(warehouse.read("contains", buckets), site)
+    at = warehouse.snapshot()
+    buckets = warehouse.touched(M.sites_of(warehouse.read("site", at=at), domain))
+    site = M.sites_of(warehouse.read("site", buckets, at=at), domain)
+    facts = M.contains_of(warehouse.read("contains", buckets, at=at), site)
     rows = G.segment_rows(facts.drop("bucket", "current_dates"), site.drop("bucket"), keywords, segment, wanted)
     files.drop_expired(spark, f"{out}/results", run_date)
     results = f"{out}/results/run_date={run_date}/{label}"

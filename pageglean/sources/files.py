@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from pageglean.operators import links as L
 from pageglean.operators.segments import publishable
@@ -14,15 +15,36 @@ RESULT_SCHEMA = "url string, category string, keyword string, flag string, listp
 QA_SCHEMA = f"{RESULT_SCHEMA}, numberofkeywords int"
 
 
-def _csv(spark: SparkSession):
-    # A row with too many fields is only noticed when all of its fields are read.
-    return (spark.read.option("header", True).option("quote", '"').option("escape", "\\")
-            .option("mode", "DROPMALFORMED").option("columnPruning", False))
+_BAD = "bad_line"
 
 
-def read_urls(spark: SparkSession, folder: str) -> DataFrame:
-    """The ``page_url`` column of all gz files in a dated folder; malformed rows are left out."""
-    return _csv(spark).option("pathGlobFilter", "*.gz").csv(folder).select("page_url")
+def scan_urls(spark: SparkSession, folder: str) -> DataFrame:
+    """All lines of the gz files in a dated folder: ``page_url``, the ``file``, and the line itself as ``bad_line`` where it is malformed.
+
+    A line with too many or too few fields is malformed, which is only noticed when all of its fields are read.
+    """
+    lines = (spark.read.option("header", True).option("quote", '"').option("escape", "\\").option("mode", "PERMISSIVE")
+             .option("columnNameOfCorruptRecord", _BAD).option("columnPruning", False).option("pathGlobFilter", "*.gz"))
+    # The header names the columns; the one for malformed lines has to be named too.
+    columns = lines.csv(folder).schema
+    # The column of malformed lines may not be read alone, as it would be by a count; no length is below 0.
+    bad = F.coalesce(F.col(_BAD), F.when(F.length("page_url") < 0, ""))
+    return lines.schema(columns.add(_BAD, "string")).csv(folder).select("page_url", F.col("_metadata.file_path").alias("file"), bad.alias(_BAD))
+
+
+def read_urls(spark: SparkSession, folder: str, bad_folder: str | None = None) -> DataFrame:
+    """The ``page_url`` column of all gz files in a dated folder. Malformed lines are left out, and kept in ``bad_folder``."""
+    lines = scan_urls(spark, folder)
+    if bad_folder is not None:
+        lines.filter(F.col(_BAD).isNotNull()).write.mode("overwrite").json(bad_folder)
+    return lines.filter(F.col(_BAD).isNull()).select("page_url")
+
+
+def scan_report(lines: DataFrame, *by: str) -> DataFrame:
+    """Number of good and bad lines of each file, and of the URLs in its good ones."""
+    good = F.col(_BAD).isNull()
+    return lines.groupBy(*(by or ("file",))).agg(
+        F.count_if(good).alias("good"), F.count_if(~good).alias("bad"), F.count_if(good & F.col("page_url").isNotNull()).alias("urls"))
 
 
 def write_url_parts(urls: DataFrame, folder: str, rows: int = PART_ROWS) -> None:
@@ -44,8 +66,11 @@ def read_keyword_list(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("keyword string").option("lineSep", ",").option("sep", "\x01").csv(path)
 
 
-def write_export(table: DataFrame, folder: str) -> None:
-    table.write.mode("overwrite").option("header", True).option("compression", "gzip").csv(folder)
+def write_export(table: DataFrame, folder: str) -> int:
+    """Writes the table as gz files; gives its number of rows, counted by the write."""
+    counted = Observation()
+    table.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").option("header", True).option("compression", "gzip").csv(folder)
+    return counted.get["rows"]
 
 
 def read_export(spark: SparkSession, folder: str, schema: str) -> DataFrame:

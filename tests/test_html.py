@@ -90,8 +90,8 @@ def test_hostile_pages_take_linear_time(spark, piece):
         return time.perf_counter() - begin
 
     seconds(100)
-    short = min(seconds(16_000) for _ in range(2))
-    assert seconds(32_000) < 2.5 * short + 1
+    short = min(seconds(8_000) for _ in range(2))
+    assert seconds(16_000) < 2.5 * short + 1
 
 
 def test_unclosed_elements_and_tags(spark):

@@ -1,10 +1,11 @@
 import gzip
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from pageglean.sources import files
-from pageglean.sources.store import Store
+from pageglean.sources.store import Change, ChangedMeanwhile, Store
 
 
 def part_files(folder):
@@ -32,9 +33,15 @@ def test_url_scan_is_tolerant(spark, tmp_path):
     with gzip.open(folder / "a.csv.gz", "wt") as f:
         f.write('page_url,n\nhttp://a,1\nhttp://bad,1,2,3\n"http://q,""x""",2\n,3\n')
     (folder / "other.csv").write_text("page_url,n\nhttp://no,1\n")
-    got = [r.page_url for r in files.read_urls(spark, str(folder)).collect()]
+    with gzip.open(folder / "b.csv.gz", "wt") as f:
+        f.write("page_url,n\nhttp://b,1\nhttp://bad2,1,,\n")
+    got = [r.page_url for r in files.read_urls(spark, str(folder), str(tmp_path / "bad")).collect()]
     assert "http://bad" not in got and "http://no" not in got
-    assert "http://a" in got and len(got) == 3
+    assert "http://a" in got and len(got) == 4
+    report = {os.path.basename(r.file): (r.good, r.bad, r.urls) for r in files.scan_report(files.scan_urls(spark, str(folder))).collect()}
+    assert report == {"a.csv.gz": (3, 1, 2), "b.csv.gz": (1, 1, 1)}
+    kept = spark.read.json(str(tmp_path / "bad")).collect()
+    assert sorted((os.path.basename(r.file), r.bad_line) for r in kept) == [("a.csv.gz", "http://bad,1,2,3"), ("b.csv.gz", "http://bad2,1,,")]
 
 
 def test_keyword_list_roundtrip(spark, tmp_path):
@@ -71,21 +78,79 @@ def test_expired_results_are_dropped(spark, tmp_path):
     assert sorted(os.listdir(tmp_path)) == ["run_date=2021-01-10"]
 
 
+def sites(spark, store, n=40, day="2021-03-05"):
+    urls = spark.range(n).select(F.concat(F.lit("http://h"), F.col("id") % 10, F.lit(".com/"), "id").alias("page_url"))
+    when = F.lit(day).cast("date")
+    return urls.select(F.xxhash64("page_url").alias("site_id"), "page_url", when.alias("last_scrapped_date"), when.alias("current_dates"),
+                       store.bucket_of_url(F.col("page_url")).alias("bucket"))
+
+
 def test_store_replaces_only_named_partitions(spark, tmp_path):
     store = Store(spark, str(tmp_path / "m"), buckets=4)
     assert store.read("site").count() == 0
-    urls = spark.range(40).select(F.concat(F.lit("http://h"), F.col("id") % 10, F.lit(".com/"), "id").alias("page_url"))
-    site = urls.select(F.xxhash64("page_url").alias("site_id"), "page_url", F.current_date().alias("last_scrapped_date"),
-                       F.current_date().alias("current_dates"), store.bucket_of_url(F.col("page_url")).alias("bucket"))
-    store.append("site", site)
+    site = sites(spark, store)
+    assert store.append("run0", "site", site) == 40
     assert store.read("site").count() == 40
     first = store.touched(site)[0]
-    before = {b: sorted(os.listdir(f"{store.path('site')}/bucket={b}")) for b in store.touched(site) if b != first}
+    before = {b: f for b, f in store.snapshot().folders["site"].items() if b != str(first)}
     half = store.read("site", [first]).filter(F.endswith("page_url", F.lit("1")))
     kept = half.count()
-    store.replace("run1", {"site": half}, [first])
+    assert store.replace("run1", {"site": half}, [first]) == {"site": kept}
     assert store.read("site", [first]).count() == kept
-    assert {b: sorted(os.listdir(f"{store.path('site')}/bucket={b}")) for b in before} == before
+    assert {b: f for b, f in store.snapshot().folders["site"].items() if b != str(first)} == before
     store.replace("run2", {"site": store.read("site", [first]).filter("false")}, [first])
     assert store.read("site", [first]).count() == 0
-    assert not os.path.exists(f"{store.root}/_staging/run2")
+    assert store.read("site").columns == ["site_id", "page_url", "last_scrapped_date", "current_dates", "bucket"]
+
+
+def test_a_change_that_stops_between_tables_is_not_seen(spark, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path / "m"), buckets=2)
+    site = sites(spark, store)
+    facts = site.select("site_id", F.lit(1).alias("fact_id"), F.lit(1).alias("keyword_id"), F.lit(1).alias("points"), "current_dates", "bucket")
+    tags = site.select("site_id", F.lit(1).alias("s_c_id"), F.lit("d").alias("domain"), F.lit("c").alias("custom_segment_name"), "current_dates", "bucket")
+    tables = {"site": site, "contains": facts, "site_category": tags}
+    store.replace("r1", tables, [0, 1])
+    old = {t: sorted(map(tuple, store.read(t).collect())) for t in tables}
+    reader = {t: store.read(t) for t in tables}
+
+    class Stopped(Exception):
+        pass
+
+    fitted = Store._fitted
+
+    def stop(self, table, rows):
+        if table == "site_category":
+            raise Stopped
+        return fitted(self, table, rows)
+
+    monkeypatch.setattr(Store, "_fitted", stop)
+    with pytest.raises(Stopped):
+        store.replace("r2", {t: rows.filter("false") for t, rows in tables.items()}, [0, 1])
+    monkeypatch.undo()
+    assert {t: sorted(map(tuple, store.read(t).collect())) for t in tables} == old
+    # The same run again goes through, and a reader that was there before still has what it had.
+    assert store.replace("r2", {t: rows.filter("false") for t, rows in tables.items()}, [0, 1]) == dict.fromkeys(tables, 0)
+    assert {t: store.read(t).count() for t in tables} == dict.fromkeys(tables, 0)
+    assert {t: sorted(map(tuple, rows.collect())) for t, rows in reader.items()} == old
+    # What is named by no state any more goes.
+    assert len(store.clean(keep=1)) >= 3 and store.read("site").count() == 0
+
+
+def test_of_two_changes_at_once_the_later_is_refused(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "m"), buckets=2)
+    site = sites(spark, store)
+    store.append("r1", "site", site.limit(3))
+    before = store.snapshot()
+    store.append("r2", "site", site.limit(4))
+    with pytest.raises(ChangedMeanwhile):
+        store.change("r3", {"site": Change(site)}, before)
+    assert store.read("site").count() == 7 and store.read("site", at=before).count() == 3
+
+
+def test_a_day_reads_its_month_only(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "m"), buckets=2)
+    store.append("r1", "site", sites(spark, store, 10, "2021-03-05").unionByName(sites(spark, store, 20, "2021-04-05")))
+    month = store.read("site", day="2021-03-31")
+    assert month.count() == 10 and store.read("site").count() == 30
+    plan = month._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in plan and "= 202103)" in plan
