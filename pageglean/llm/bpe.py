@@ -1,9 +1,12 @@
 """BPE encoding and decoding, with long unsplit text encoded in halves that are joined again like a tree.
 
 White space never stands inside a token here, so texts are cut at it into words and every different word of a batch is
-encoded once. Text without a place to cut is halved until the halves are short. The halves are encoded apart, on any
-executor, and neighbours are joined: a window around the join is encoded again and grown until its tokens agree with
-the left half on one side and with the right half on the other.
+encoded once; a long text goes through in pieces that end at white space. A long run without a place to cut is brought to
+its normal form and halved until the halves are short. The halves are encoded apart, on any executor, and neighbours are
+joined: a window around the join is encoded again and grown until its tokens agree with the left half on one side and with
+the right half on the other.
+
+A run that holds a special token, or whose normal form is not final, is encoded as one piece.
 """
 
 from __future__ import annotations
@@ -18,8 +21,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A text of more code points is halved, and its halves are rows of their own.
+# A run of more code points without white space is halved, and its halves are rows of their own.
 HALVE_ABOVE = 1 << 15
+# A text is gone through in pieces of about so many code points.
+PIECE = 1 << 20
 # Tokens on each side of a join in the first window.
 FIRST_WINDOW = 8
 # Words remembered by a task.
@@ -149,6 +154,26 @@ def splits_safely(tok, text: str) -> bool:
     return len(normal) == len(text) and (text.isascii() or tok.normalizer is None or tok.normalizer.normalize_str(normal) == normal)
 
 
+def normal_form(tok, run: str) -> str:
+    """The normal form of a run, whose tokens are those of the run; the run itself where it has none that is final."""
+    if tok.normalizer is None or splits_safely(tok, run):
+        return run
+    normal = tok.normalizer.normalize_str(run)
+    return normal if splits_safely(tok, normal) and not any(t.content in run for t in tok.get_added_tokens_decoder().values()) else run
+
+
+def pieces(text: str, size: int = PIECE) -> Iterator[str]:
+    """A long text in pieces that end at white space."""
+    at = 0
+    while len(text) - at > size:
+        found = _SPACES.search(text, at + size)
+        if found is None:
+            break
+        yield text[at:found.end()]
+        at = found.end()
+    yield text[at:]
+
+
 class Words:
     """Encodes texts word by word and remembers the words: the ids of each, and its tokens, both joined by a blank."""
 
@@ -162,7 +187,6 @@ class Words:
         self.name = [tok.id_to_token(i) or "" for i in range(size)]
         marks = tok.encode(_MARK, add_special_tokens=False).ids
         self.mark = marks[0] if len(marks) == 1 else None
-        self.plain_decoder = tok.decoder is None
 
     def _put(self, word: str, ids: list[int]) -> None:
         self.ids[word] = " ".join([self.number[i] for i in ids])
@@ -194,15 +218,50 @@ class Words:
             return [w for w in _SPACES.split(text) if w]
         return text.split()
 
-    def digest(self, words: list[str]) -> tuple[int, str, str]:
-        """Number of tokens, hash of the ids and hash of the decoded text."""
+    def strings(self, words: list[str]) -> tuple[str, str]:
+        """The ids and the tokens of words that are known, each joined by a blank."""
         if self.bare:
             words = [w for w in words if w not in self.bare]
-        ids = " ".join(map(self.ids.__getitem__, words))
-        tokens = " ".join(map(self.tokens.__getitem__, words))
-        if not self.plain_decoder:
-            tokens = self.tok.decode(list(map(int, ids.split())), skip_special_tokens=False)
-        return (ids.count(" ") + 1 if ids else 0), _sha(ids), _sha(tokens)
+        return " ".join(map(self.ids.__getitem__, words)), " ".join(map(self.tokens.__getitem__, words))
+
+    def digest(self, words: list[str]) -> tuple[int, str, str]:
+        """Number of tokens, hash of the ids and hash of the decoded text."""
+        state = Digest(self.tok)
+        state.add(*self.strings(words))
+        return state.result()
+
+    def digest_long(self, text: str, size: int = PIECE) -> tuple[int, str, str]:
+        """The same of a text that is gone through piece by piece."""
+        state = Digest(self.tok)
+        for piece in pieces(text, size):
+            words = self.words(piece)
+            self.learn(set(words))
+            state.add(*self.strings(words))
+        return state.result()
+
+
+class Digest:
+    """Number of tokens, hash of the ids and hash of the decoded text, of strings that come one after another."""
+
+    def __init__(self, tok):
+        self.tok, self.n, self.ids, self.decoded = tok, 0, hashlib.sha256(), hashlib.sha256()
+        # Without a decoder, decoding joins the tokens by blanks; one that does more needs all ids at once.
+        self.held: list[int] | None = None if tok.decoder is None else []
+
+    def add(self, ids: str, tokens: str) -> None:
+        if not ids:
+            return
+        between = " " if self.n else ""
+        self.n += ids.count(" ") + 1
+        self.ids.update((between + ids).encode())
+        if self.held is None:
+            self.decoded.update((between + tokens).encode("utf-8", "replace"))
+        else:
+            self.held += map(int, ids.split())
+
+    def result(self) -> tuple[int, str, str]:
+        decoded = self.decoded.hexdigest() if self.held is None else _sha(self.tok.decode(self.held, skip_special_tokens=False))
+        return self.n, self.ids.hexdigest(), decoded
 
 
 def _sha(text: str) -> str:
@@ -210,28 +269,33 @@ def _sha(text: str) -> str:
 
 
 _DIGEST = "n_tokens long, ids_sha256 string, decoded_sha256 string"
+_STRINGS = "text_key string, piece int, ids string, tokens string"
 
 
 def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", halve_above: int = HALVE_ABOVE) -> DataFrame:
     """``doc_id``, ``n_tokens``, ``ids_sha256`` and ``decoded_sha256`` of every whole text (null: empty).
 
-    Texts of up to ``halve_above`` code points are encoded where they are read. Of longer ones each different text is
-    encoded once, as rows for its halves, so that one document of any length keeps many tasks busy; what comes back
-    to a document is its digest. Repeated rows, empty tables and null ids are kept as they are; other columns are not
-    looked at.
+    Texts are encoded where they are read, long ones piece by piece. Of texts that hold a run of more than ``halve_above``
+    code points without white space, each different one is encoded once, as rows for its pieces and for the halves of its
+    runs, so that a run of any length keeps many tasks busy; what comes back to a document is its digest. Repeated rows,
+    empty tables and null ids are kept as they are; other columns are not looked at.
     """
     plain = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = plain.schema["doc_id"].dataType.simpleString()
-    long = F.length("text") > halve_above
-    short_rows = plain.filter(~long)
+    # Runs are tried at their beginning only, so the test is linear.
+    unsplit = (F.length("text") > halve_above) & F.col("text").rlike(rf"(?:\A|[ \t\n\x0B\f\r])[^ \t\n\x0B\f\r]{{{halve_above + 1}}}")
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words(path)
         for batch in batches:
             texts, rows, at = batch.column("text").to_pylist(), [], 0
             while at < len(texts):
+                if len(texts[at]) > PIECE:
+                    rows.append(words.digest_long(texts[at]))
+                    at += 1
+                    continue
                 found, size = [], 0
-                while at < len(texts) and size < 1 << 21:
+                while at < len(texts) and size < 1 << 21 and len(texts[at]) <= PIECE:
                     found.append(words.words(texts[at]))
                     size += len(texts[at])
                     at += 1
@@ -240,40 +304,91 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
             columns = [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.string(), pa.string()))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    short = short_rows.mapInArrow(digests, f"doc_id {kind}, {_DIGEST}")
-    keyed = plain.filter(long).select("doc_id", F.sha2("text", 256).alias("text_key"), "text")
-    found = long_digests(keyed.select("text_key", "text"), path, halve_above)
+    split = plain.filter(~unsplit).mapInArrow(digests, f"doc_id {kind}, {_DIGEST}")
+    keyed = plain.filter(unsplit).select("doc_id", F.sha2("text", 256).alias("text_key"), "text")
+    found = unsplit_digests(keyed.select("text_key", "text"), path, halve_above)
     whole = keyed.select("doc_id", "text_key").join(found, "text_key").drop("text_key")
-    return short.unionByName(whole)
+    return split.unionByName(whole)
 
 
-def long_digests(texts: DataFrame, path: str, halve_above: int = HALVE_ABOVE) -> DataFrame:
-    """Digests of texts ``text_key``, ``text``; equal keys mean equal texts and give one row."""
+def unsplit_digests(texts: DataFrame, path: str, halve_above: int = HALVE_ABOVE) -> DataFrame:
+    """Digests of texts ``text_key``, ``text`` with long runs; equal keys mean equal texts and give one row."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = tokenizer(path)
+        words = Words(path)
+
+        def rows(text: str) -> Iterator[tuple[int, int, str]]:
+            """Number of the piece, number of the half (-1 for a piece of whole words), and text."""
+            n, short, size = 0, [], 0
+            for word in words.words(text):
+                if len(word) > halve_above:
+                    if short:
+                        yield n, -1, " ".join(short)
+                        n, short, size = n + 1, [], 0
+                    run = normal_form(words.tok, word)
+                    for k, half in enumerate(halves(run, halve_above) if splits_safely(words.tok, run) else [run]):
+                        yield n, k, half
+                    n += 1
+                    continue
+                short.append(word)
+                size += len(word) + 1
+                if size > PIECE:
+                    yield n, -1, " ".join(short)
+                    n, short, size = n + 1, [], 0
+            if short or not n:
+                yield n, -1, " ".join(short)
+
         for batch in batches:
             for key, text in zip(batch.column("text_key").to_pylist(), batch.column("text").to_pylist()):
-                pieces = halves(text, halve_above) if splits_safely(tok, text) else [text]
-                columns = [pa.array([key] * len(pieces)), pa.array(range(len(pieces)), pa.int32()), pa.array(pieces, pa.string())]
-                yield pa.RecordBatch.from_arrays(columns, ["text_key", "piece", "text"])
+                made = list(rows(text))
+                columns = [pa.array([key] * len(made)), *(pa.array([r[k] for r in made], t) for k, t in enumerate((pa.int32(), pa.int32(), pa.string())))]
+                yield pa.RecordBatch.from_arrays(columns, ["text_key", "piece", "half", "text"])
 
-    def encode_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def encode_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Words(path)
+        for batch in batches:
+            found = []
+            for text in batch.column("text").to_pylist():
+                split = text.split(" ") if text else []
+                words.learn(set(split))
+                found.append(words.strings(split))
+            yield pa.RecordBatch.from_arrays([batch.column("text_key"), batch.column("piece"), *(pa.array([f[k] for f in found], pa.string()) for k in (0, 1))],
+                                             ["text_key", "piece", "ids", "tokens"])
+
+    def encode_halves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = tokenizer(path)
         for batch in batches:
             found = [encode(tok, t) for t in batch.column("text").to_pylist()]
             numbers = [pa.array([getattr(e, n) for e in found], pa.list_(pa.int32())) for n in ("ids", "begins", "ends")]
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("text_key", "piece", "text")] + numbers,
-                                             ["text_key", "piece", "text", "ids", "begins", "ends"])
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("text_key", "piece", "half", "text")] + numbers,
+                                             ["text_key", "piece", "half", "text", "ids", "begins", "ends"])
 
     def concatenate(key: tuple, table: pa.Table) -> pa.Table:
         tok = tokenizer(path)
-        rows = sorted(table.to_pylist(), key=lambda r: r["piece"])
-        whole = joined(tok, [Encoded(r["text"], r["ids"], r["begins"], r["ends"]) for r in rows])
-        decoded = tok.decode(whole.ids, skip_special_tokens=False)
-        return pa.table({"text_key": [key[0].as_py()], "n_tokens": [len(whole.ids)], "ids_sha256": [_sha(" ".join(map(str, whole.ids)))],
-                         "decoded_sha256": [_sha(decoded)]})
+        rows = sorted(table.to_pylist(), key=lambda r: r["half"])
+        ids = joined(tok, [Encoded(r["text"], r["ids"], r["begins"], r["ends"]) for r in rows]).ids
+        return pa.table({"text_key": [key[0].as_py()], "piece": pa.array([key[1].as_py()], pa.int32()), "ids": [" ".join(map(str, ids))],
+                         "tokens": [" ".join(tok.id_to_token(i) or "" for i in ids)]})
+
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tok, key, state = tokenizer(path), None, None
+
+        def row(key: str, state: Digest) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([v]) for v in (key, *state.result())], ["text_key", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+        for batch in batches:
+            for name, ids, tokens in zip(*(batch.column(c).to_pylist() for c in ("text_key", "ids", "tokens"))):
+                if name != key:
+                    if key is not None:
+                        yield row(key, state)
+                    key, state = name, Digest(tok)
+                state.add(ids, tokens)
+        if key is not None:
+            yield row(key, state)
 
     once = texts.groupBy("text_key").agg(F.any_value("text").alias("text"))
-    pieces = once.mapInArrow(cut, "text_key string, piece int, text string").repartition("text_key", "piece")
-    coded = pieces.mapInArrow(encode_pieces, "text_key string, piece int, text string, ids array<int>, begins array<int>, ends array<int>")
-    return coded.groupBy("text_key").applyInArrow(concatenate, f"text_key string, {_DIGEST}")
+    cuts = once.mapInArrow(cut, "text_key string, piece int, half int, text string").repartition("text_key", "piece", "half")
+    coded = cuts.filter("half >= 0").mapInArrow(encode_halves, "text_key string, piece int, half int, text string, ids array<int>, begins array<int>, ends array<int>")
+    runs = coded.groupBy("text_key", "piece").applyInArrow(concatenate, _STRINGS)
+    strings = cuts.filter("half < 0").mapInArrow(encode_words, _STRINGS).unionByName(runs)
+    # The pieces of a text go through one task in order, one at a time.
+    return strings.repartition("text_key").sortWithinPartitions("text_key", "piece").mapInArrow(digests, f"text_key string, {_DIGEST}")

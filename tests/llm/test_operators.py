@@ -330,7 +330,9 @@ def plain_digest(tok, text):
 
 @pytest.mark.parametrize("above", (1 << 15, 50))
 def test_bpe_equals_the_library(docs, spark, above):
-    more = [(200, "<|endoftext|> it's <|startoftext|>x" * 9), (201, "don't'll 're" * 20), (202, "ab\x1cc\x85d\xa0e　f" * 12), (203, "éΣ" * 80), (204, "\x01 \x01x" * 30)]
+    more = [(200, "<|endoftext|> it's <|startoftext|>x" * 9), (201, "don't'll 're" * 20), (202, "ab\x1cc\x85d\xa0e　f" * 12), (203, "éΣ" * 80), (204, "\x01 \x01x" * 30),
+            (205, "running" * 40 + "  \r\n\r\n" + "two  blanks\t and\n\n lines " * 9 + "walk" * 70), (206, "e\u0301a\u0300" * 90 + "\r\nnext " + "cafe\u0301" * 60 + "\u00a0" + "o" * 99),
+            (207, "a<|endoftext|>b" * 20 + " \u212b" * 3 + "\u212bx" * 40), (208, " " * 300), (209, "over" * 60 + " " * 300 + "under" * 60)]
     df = docs.select("doc_id", "text", "key").unionByName(spark.createDataFrame([(*r, "k") for r in more], "doc_id long, text string, key string"))
     tok = bpe.tokenizer(catalog.TOKENIZER)
     want = sorted((str(r["doc_id"]), *plain_digest(tok, r["text"])) for r in df.collect())
@@ -339,6 +341,20 @@ def test_bpe_equals_the_library(docs, spark, above):
     assert bpe.encode_documents(df.limit(0), catalog.TOKENIZER).count() == 0
 
 
+@pytest.mark.parametrize("size", (1, 17, 1000))
+def test_long_texts_are_encoded_piece_by_piece(size):
+    words = bpe.Words(catalog.TOKENIZER)
+    for text in ("two  blanks\t and\r\n\r\n lines " * 40, "", " ", "x" * 90, "a\u0301 <|endoftext|> it's\x1cb\u2003c " * 20, " lead" + " " * 50 + "trail "):
+        assert words.digest_long(text, size) == plain_digest(words.tok, text)
+
+
+def test_ordinary_long_texts_are_not_shuffled(spark):
+    df = spark.createDataFrame([(1, "word " * 40_000), (2, "y" * 40_000)], "doc_id long, text string")
+    got = {r["doc_id"]: r["n_tokens"] for r in bpe.encode_documents(df, catalog.TOKENIZER).collect()}
+    tok = bpe.tokenizer(catalog.TOKENIZER)
+    assert got == {r["doc_id"]: len(tok.encode(r["text"], add_special_tokens=False).ids) for r in df.collect()}
+
+
 def test_joined_halves_equal_the_whole():
     tok, rng = bpe.tokenizer(catalog.TOKENIZER), random.Random(5)
     kinds = ("abcdefghijklmnopqrstuvwxyz", ["ing", "the", "tion", "er", "a", "x"], "ab's't ll1é́ÀΣ一😀-.'\n re", "aaa")
