@@ -60,14 +60,15 @@ def shuffle_shards(rows: DataFrame, n_shards: int = 8, seed: int = 1, rows_per_p
     """The rows with ``shard`` (0 to n_shards - 1) and ``slot`` (0, 1, ... without gaps in each shard).
 
     Shard sizes differ by one at most, and each shard is in random order. Where a row goes hangs on the hash of all its
-    columns and the seed, so a rerun gives the same; rows equal in all columns are interchangeable. Nulls hash as
-    values, an empty table gives no rows. Columns named ``shard`` or ``slot`` are replaced.
+    columns, its place in the table and the seed, so equal rows are spread like all others, however many there are. The
+    table is read several times and has to be stored; a rerun over the same stored rows gives the same. Nulls hash as values,
+    an empty table gives no rows. Columns named ``shard`` or ``slot`` are replaced.
     """
     rows = rows.drop("shard", "slot")
     columns = rows.columns
     # Hashes of maps and the like are not defined, so only columns that hash are used.
     kinds = [f.name for f in rows.schema.fields if not f.dataType.simpleString().startswith(("map", "variant"))]
-    keyed = rows.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"), F.xxhash64(*[F.col(f"`{c}`") for c in kinds]).alias("_key"))
+    keyed = rows.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"), F.xxhash64(F.monotonically_increasing_id(), *[F.col(f"`{c}`") for c in kinds]).alias("_key"))
 
     def turned(n: int):
         return F.xxhash64("_key", F.lit(seed * 8 + n))

@@ -186,6 +186,13 @@ def test_shards_have_exact_sizes_and_slots(docs):
     assert shards.shard_documents(docs.limit(0)).count() == 0
 
 
+def test_equal_rows_are_spread_over_all_shards_and_slots(spark):
+    docs = spark.range(8800).select(F.when(F.col("id") < 800, -1).otherwise(F.col("id")).alias("doc_id"), F.when(F.col("id") < 800, "same").otherwise(F.col("id").cast("string")).alias("text"))
+    rows = [r for r in shards.shard_documents(docs.repartition(5)).collect() if r["doc_id"] == -1]
+    assert len(rows) == 800 and all(60 < n < 145 for n in Counter(r["shard"] for r in rows).values())
+    assert all(40 < n < 125 for n in Counter(r["slot"] * 10 // 1100 for r in rows).values())
+
+
 def test_shards_over_many_parts_keep_all_rows(spark):
     rows = shards.shuffle_shards(spark.range(1000).withColumn("shard", F.lit("x")), 3, seed=4, rows_per_part=40).collect()
     assert sorted(r["id"] for r in rows) == list(range(1000))
