@@ -67,9 +67,16 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
             yield pa.RecordBatch.from_arrays([batch.column("grade"), pa.array(sets, pa.list_(pa.int32()))], ["grade", "buckets"])
 
     table = texts.mapInArrow(hashed, "grade int, buckets array<int>").toArrow()
-    # Sorted, so that the fit hangs on no order of rows.
-    found = sorted(zip(table.column("grade").to_pylist(), table.column("buckets").to_pylist()))
-    return [np.array(b, dtype=np.int64) for _, b in found], np.array([g for g, _ in found], dtype=np.int64)
+    lists, grades = table.column("buckets").combine_chunks(), table.column("grade").to_numpy().astype(np.int64)
+    if not len(grades):
+        return [], grades
+    flat, sizes = lists.flatten().to_numpy(), lists.value_lengths().to_numpy().astype(np.int64)
+    begins = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    # Sorted by grade and a hash of the set, so that the fit hangs on no order of rows; the sets stay parts of one array.
+    with np.errstate(over="ignore"):
+        marks = [np.add.reduceat(W.mixed(flat, seed), begins) for seed in (31, 37)]
+    order = np.lexsort((*marks, grades))
+    return [flat[begins[i]:begins[i] + sizes[i]] for i in order.tolist()], grades[order]
 
 
 def _flat(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
