@@ -24,12 +24,18 @@ def build_session(app_name: str = "pageglean", **extra: str) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder for stored intermediate tables: the cluster's, or the one set on the session, or else one in the warehouse.
 
-    All three are shared by the driver and the executors; a machine-local temporary folder is never used.
+    The warehouse serves only where driver and executors share it: on one machine, or if it is not in a local file system.
+    Elsewhere ``spark.checkpoint.dir`` has to be set, and it is an error if it is not.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        warehouse = spark.conf.get("spark.sql.warehouse.dir")
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"{warehouse.rstrip('/')}/_checkpoints")
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+            if not context.master.startswith("local") and warehouse.startswith(("/", "file:")):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            folder = f"{warehouse}/_checkpoints"
+        context.setCheckpointDir(folder)
     return context.getCheckpointDir()
 
 
