@@ -22,7 +22,7 @@ _FIRST_DAY = "1800-01-01"
 _DATE_FORMATS = ("yyyy-MM-dd", "yyyy/MM/dd", "dd.MM.yyyy", "MM/dd/yyyy", "dd/MM/yyyy")
 _DIGITS, _LOWER, _UPPER, _LEADING = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "23456789"
 
-_EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}+\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])"
+_EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]{1,63}+\.){1,126}[A-Za-z]{2,24}(?![A-Za-z0-9-])"
 _SECRET = r"(?<![A-Za-z0-9])(?i:password|passwd|pwd|secret|token|api[_-]?key)[ ]?[=:][ ]?[\"']?[A-Za-z0-9_+/-]{12,}+"
 _SECRET_NAME = r"^[^=:]*[=:][ ]?[\"']?"
 _IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
@@ -35,8 +35,10 @@ PATTERN = "|".join((_EMAIL, _SECRET, _IBAN, _DATE, _IP, _SSN, _PHONE, _CARD))
 # Digits with blanks and hyphens of any length, in which card numbers are looked for.
 _RUN = r"(?<![0-9A-Za-z])[0-9][0-9 -]{11,}[0-9](?![0-9A-Za-z])"
 _RUNS = PATTERN.removesuffix(_CARD) + _RUN
-# Stands at the ends of a value while it is looked for: characters that no text may interchange.
-_END = "\uffff\ufffe\uffff"
+# Stands at the ends of a value while it is looked for. Its middle character is doubled in the text meanwhile, so that no text
+# holds the mark.
+_MIDDLE = "\ufffe"
+_END = f"\uffff{_MIDDLE}\uffff"
 # What is replaced: of digits only card numbers with these marks, so that others hide no value behind them.
 _MARKED = PATTERN.removesuffix(_CARD) + rf"(?<={_END})(?:[0-9][ -]?){{12,18}}[0-9](?={_END})"
 _IBAN_LENGTHS = (
@@ -278,7 +280,8 @@ def pseudonymize(docs: DataFrame, text_col: str = "text", key: str = KEY, count_
     text = F.col(f"`{text_col}`")
     others = [F.col(f"`{c}`") for c in docs.columns if c != count_col]
     # A blank or hyphen may be followed by what is no part of the value.
-    marked = docs.select(F.struct(*others).alias("_row"), _ends(text, _IBAN, PATTERN, _iban_ends).alias("_text"))
+    marked = docs.select(F.struct(*others).alias("_row"), F.replace(text, F.lit(_MIDDLE), F.lit(_MIDDLE * 2)).alias("_text"))
+    marked = marked.select("_row", _ends(F.col("_text"), _IBAN, PATTERN, _iban_ends).alias("_text"))
     marked = marked.select("_row", _ends(F.col("_text"), _RUN, _RUNS, _card_ends).alias("_text"))
     # A text without a digit and without an at sign or a sign of assignment holds none of the formats.
     found = F.when(F.rlike("_text", F.lit("[0-9@=:]")), F.regexp_extract_all("_text", F.lit(_MARKED), F.lit(0)))
@@ -286,7 +289,7 @@ def pseudonymize(docs: DataFrame, text_col: str = "text", key: str = KEY, count_
     fresh = stepped.select("_row", "_text", "_found", F.when(F.size("_found") > 0, F.transform("_found", lambda v: pseudonym(v, key))).alias("_fresh"))
     text = F.col(f"_row.`{text_col}`")
     pieces = F.zip_with(F.split("_text", _MARKED, -1), "_fresh", lambda p, v: F.concat(p, F.coalesce(v, F.lit(""))))
-    whole = F.when(F.col("_fresh").isNull(), text).otherwise(F.replace(F.array_join(pieces, ""), F.lit(_END), F.lit("")))
+    whole = F.when(F.col("_fresh").isNull(), text).otherwise(F.replace(F.replace(F.array_join(pieces, ""), F.lit(_END), F.lit("")), F.lit(_MIDDLE * 2), F.lit(_MIDDLE)))
     changed = F.coalesce(F.size(F.filter(F.zip_with("_found", "_fresh", lambda a, b: a != b), lambda x: x)), F.lit(0))
     columns = [whole.alias(c) if c == text_col else F.col(f"_row.`{c}`").alias(c) for c in docs.columns if c != count_col]
     return fresh.select(*columns, *([F.when(F.col("_fresh").isNull(), 0).otherwise(changed).cast("int").alias(count_col)] if count_col else []))

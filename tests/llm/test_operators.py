@@ -383,6 +383,19 @@ def plain_feistel(values, radixes, key, kind):
     return values
 
 
+def test_marks_of_the_search_in_a_text_and_long_addresses(spark):
+    odd = "pass\uffff\ufffe\uffffage \ufffe\ufffe 4111111111111111 \ufffe"
+    addresses = ["x@a.b.c.d.e.f.g.h.i.com", "n" * 80 + "@mail.example.org", "x@" + "s." * 60 + "net"]
+    texts = [odd, odd.replace("4111111111111111", "none"), *(f"write to {a}. Or not" for a in addresses), "a" * 30_000 + "@", "x@" + "b." * 5000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [r["text"] for r in pii.pseudonymize(df).orderBy("doc_id").collect()]
+    assert got[0] != texts[0] and got[0].startswith("pass\uffff\ufffe\uffffage \ufffe\ufffe ") and got[0].endswith(" \ufffe") and len(got[0]) == len(texts[0])
+    assert got[1] == texts[1]
+    for a, text in zip(addresses, got[2:5]):
+        assert a not in text and text.startswith("write to ") and text.endswith(". Or not")
+    assert got[5:] == texts[5:]
+
+
 def luhn(digits):
     return sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(digits))) % 10 == 0
 
