@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pageglean.llm.words import slices
+
 # A run of more code points without white space is halved, and its halves are rows of their own.
 HALVE_ABOVE = 1 << 15
 # A text is gone through in pieces of about so many code points.
@@ -287,7 +289,7 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words(path)
-        for batch in batches:
+        for batch in slices(batches):
             texts, rows, at = batch.column("text").to_pylist(), [], 0
             while at < len(texts):
                 if len(texts[at]) > PIECE:
@@ -295,7 +297,7 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
                     at += 1
                     continue
                 found, size = [], 0
-                while at < len(texts) and size < 1 << 21 and len(texts[at]) <= PIECE:
+                while at < len(texts) and size < PIECE and len(texts[at]) <= PIECE:
                     found.append(words.words(texts[at]))
                     size += len(texts[at])
                     at += 1
