@@ -2,8 +2,8 @@
 
 A text is the set of its runs of five words; one of fewer words is one run. Sets are sketched by 128 minimum hashes.
 Each run of the search draws some of the 128 places and puts a set into a bucket for each place's value: sets of
-similarity s share the drawn value with probability s. A bucket that is too large is split again by further drawn
-places of its own (a path), a small one is gone through pair by pair on the sketches, and runs are repeated until a pair
+similarity s share the drawn value with probability s. A bucket that is too large is compared with some of
+its members, its pivots; what does not hang together then is split again by further drawn places (a path), a small one is gone through pair by pair on the sketches, and runs are repeated until a pair
 at the threshold is missed less often than the target allows. What is found links candidates into groups. Each
 candidate's whole set then goes to its group once, where similarities are computed exactly, block against block.
 """
@@ -29,10 +29,12 @@ MISSED = 1e-5
 # A larger bucket is split again, this often at most; then its pairs are taken in blocks.
 BUCKET = 1024
 DEPTH = 4
-# In a large bucket, members this like its pivot are linked to it and done; members less like it than the second number
-# have no link to those. Both leave room for the sketches' deviations and for the triangle inequality.
+# A large bucket has about so many pivots, which all members are compared with.
+PIVOTS = 16
+# Members this like a pivot are linked to it and done; members less like all pivots than the second number have no link to
+# those. Both leave room for the sketches' deviations and for the triangle inequality.
 SAME, FAR = 0.8, 0.24
-# What lies between is compared with the whole bucket while it is no more than this.
+# What lies between, or outside the component of most members, is compared with the whole bucket while it is no more than this.
 BETWEEN = 4096
 # Expected places drawn for a shared one while splitting again.
 AGAIN = 3.0
@@ -213,35 +215,89 @@ def candidate_links(sketched: DataFrame, threshold: float = THRESHOLD, bucket: i
     return found
 
 
-def _around_pivots(large: DataFrame, least: int, bucket: int) -> tuple[DataFrame, list[DataFrame]]:
-    """Takes what is like a large bucket's pivot out of it: the members that are left, and the links found.
+def _pivot_links(least: int):
+    """Likeness of each member to the pivot it is most like, the pivot it hangs on, and which pivots hang together through members.
 
-    Members like the pivot are linked to it and need no comparison with each other. Those between like and far are
-    compared with the whole bucket, so only the far ones are left. A bucket with too many between is left whole.
+    A pivot stands for all that are seen to hang together with it in one go; these are told once.
     """
-    pivots = large.filter(F.col("node") == F.col("pivot")).select("path", F.col("sketch").alias("mark"))
-
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in W.slices(batches, 2048):
-            marks = np.frombuffer(b"".join(batch.column("mark").to_pylist()), dtype=np.uint16).reshape(batch.num_rows, PLACES)
-            same = (_sketches(batch) == marks).sum(axis=1)
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("path", "node", "pivot", "sketch")], pa.array(same, pa.int64())],
-                                             ["path", "node", "pivot", "sketch", "same"])
+        pairs = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
+        for whole in _groups(batches, ["seat"]):
+            seat = whole.column("seat").to_numpy()
+            bounds = np.concatenate([[0], np.flatnonzero(seat[1:] != seat[:-1]) + 1, [len(seat)]])
+            for low, high in zip(bounds[:-1], bounds[1:]):
+                batch = whole.slice(low, high - low)
+                marks, node = _sketches(batch), batch.column("node").to_numpy()
+                ids = node[batch.column("chosen").to_numpy(zero_copy_only=False)].tolist()
+                own = np.flatnonzero(batch.column("own").to_numpy(zero_copy_only=False))
+                alike = np.stack([(marks[own] == m).sum(axis=1) for m in marks[:len(ids)]], axis=1)
+                member, pivot = np.nonzero(alike >= least)
+                label = _labels(len(ids) + len(own), len(ids) + member, pivot)
+                hung = [ids[at] if at < len(ids) else None for at in label[len(ids):].tolist()]
+                merged = [[{"a": ids[i], "b": ids[at]} for i, at in enumerate(label[:len(ids)].tolist()) if i != at]] + [[]] * (len(own) - 1)
+                yield pa.RecordBatch.from_arrays(
+                    [*[batch.column(c).take(pa.array(own)) for c in ("path", "node", "sketch")], pa.array(alike.max(axis=1).astype(np.int64)), pa.array(hung, pa.int64()),
+                     pa.array(merged[:len(own)], pairs)], ["path", "node", "sketch", "same", "hung", "merged"])
+
+    return measure
+
+
+def _main_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pivots of each bucket's largest part: its members, those very like one of its pivots, and all members and far ones."""
+    for batch in batches:
+        found = []
+        for row in batch.to_pylist():
+            ids = sorted({p["hung"] for p in row["parts"] if p["hung"] is not None} | {x for link in row["merged"] for x in (link["a"], link["b"])})
+            place = {x: i for i, x in enumerate(ids)}
+            label = _labels(len(ids), np.array([place[x["a"]] for x in row["merged"]], dtype=np.int64), np.array([place[x["b"]] for x in row["merged"]], dtype=np.int64))
+            held, like = np.zeros(len(ids), dtype=np.int64), np.zeros(len(ids), dtype=np.int64)
+            for p in row["parts"]:
+                if p["hung"] is not None:
+                    held[label[place[p["hung"]]]] += p["n"]
+                    like[label[place[p["hung"]]]] += p["like"]
+            most = int(held.argmax())
+            every, far = sum(p["n"] for p in row["parts"]), sum(p["far"] for p in row["parts"])
+            found.append((row["path"], [x for x, at in zip(ids, label) if at == most], int(held[most]), every, every - far - int(like[most])))
+        kinds = (pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.int64())
+        columns = list(zip(*found)) or [()] * len(kinds)
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["path", "main", "held", "all", "between"])
+
 
-    near = large.join(pivots, "path").select("path", "node", "pivot", "sketch", "mark")
-    told = materialize(near.mapInArrow(measure, "path long, node long, pivot long, sketch binary, same long"))
+def _around_pivots(large: DataFrame, least: int, bucket: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Takes out of large buckets what hangs on their pivots: the members that are left, and the links found.
+
+    Members that hang together through pivots need no comparison with each other. A bucket of which few members are
+    outside its largest such part is done when these are compared with the whole bucket. Else members very like a pivot of
+    that part are taken out, those between like and far are compared with the whole bucket, and the far ones are left. A
+    bucket with too many between is left whole.
+    """
+    # Pivots go to each seat of their bucket and come first there; they are members in one seat only.
+    chosen = (F.col("node") == F.col("pivot")) | (F.pmod(F.xxhash64("node", F.lit(7)), F.col("n")) < PIVOTS)
+    seats = F.ceil(F.col("n") / bucket).cast("int")
+    place = F.pmod(F.xxhash64("node", F.lit(3)), seats).cast("int")
+    dealt = large.select("path", "node", "sketch", chosen.alias("chosen"), place.alias("place"), F.explode(
+        F.when(chosen, F.sequence(F.lit(0), seats - 1)).otherwise(F.array(place))).alias("seat"))
+    seated = dealt.select(F.xxhash64("path", "seat").alias("seat"), "path", "node", "sketch", "chosen", (F.col("place") == F.col("seat")).alias("own"))
+    told = materialize(seated.repartition("seat").sortWithinPartitions("seat", F.desc("chosen"), "node").mapInArrow(
+        _pivot_links(least), "path long, node long, sketch binary, same long, hung long, merged array<struct<a:long,b:long>>"))
+    stars = told.filter(F.col("hung") != F.col("node")).select(F.col("node").alias("a"), F.col("hung").alias("b")).unionByName(told.select(F.inline("merged")))
     like, far = F.col("same") >= math.ceil(SAME * PLACES), F.col("same") < math.floor(FAR * PLACES)
-    middle = ~like & ~far
-    counts = told.groupBy("path").agg(F.count_if(middle).alias("between"), F.count(F.lit(1)).alias("all"))
-    placed = told.join(counts, "path").withColumn("peeled", F.col("between") <= BETWEEN)
-    stars = told.filter((F.col("same") >= least) & (F.col("node") != F.col("pivot"))).select(F.col("node").alias("a"), F.col("pivot").alias("b"))
+    parts = told.groupBy("path", "hung").agg(F.count(F.lit(1)).alias("n"), F.count_if(like).alias("like"), F.count_if(far).alias("far"),
+                                             F.flatten(F.collect_set("merged")).alias("merged"))
+    whole = parts.groupBy("path").agg(F.collect_list(F.struct("hung", "n", "like", "far")).alias("parts"), F.flatten(F.collect_list("merged")).alias("merged"))
+    most = whole.mapInArrow(_main_parts, "path long, main array<long>, held long, all long, between long")
+    outside = ~F.coalesce(F.array_contains("main", F.col("hung")), F.lit(False))
+    placed = materialize(told.drop("merged").join(most, "path").withColumn("outside", outside).withColumn("middle", (F.col("outside") | ~like) & ~far).withColumn(
+        "done", F.col("all") - F.col("held") <= BETWEEN).withColumn("peeled", ~F.col("done") & (F.col("between") <= BETWEEN)).drop("main", "hung"))
+    asking = F.when(F.col("done"), F.col("outside")).otherwise(F.col("middle"))
+    some = F.when(F.col("done"), F.col("all") > F.col("held")).otherwise(F.col("peeled") & (F.col("between") > 0))
     blocks = F.ceil(F.col("all") / bucket).cast("int")
     own = F.pmod(F.xxhash64("node", F.lit(3)), blocks).cast("int")
-    seats = placed.filter(F.col("peeled") & (F.col("between") > 0)).withColumn("middle", middle).withColumn(
-        "block", F.explode(F.when(middle, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(own))))
-    asked = seats.select(F.xxhash64("path", "block").alias("path"), "node", "middle", "sketch")
+    seats = placed.filter(some).withColumn("asking", asking).withColumn(
+        "block", F.explode(F.when(F.col("asking"), F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(own))))
+    asked = seats.select(F.xxhash64("path", "block").alias("path"), "node", F.col("asking").alias("middle"), "sketch")
     compared = asked.repartition("path").sortWithinPartitions("path", F.desc("middle")).mapInArrow(_middle_links(least), "a long, b long")
-    return placed.filter(~F.col("peeled") | far).select("path", "node", "sketch"), [stars, compared]
+    return placed.filter(~F.col("done") & (~F.col("peeled") | far)).select("path", "node", "sketch"), [stars, compared]
 
 
 def _middle_links(least: int):
