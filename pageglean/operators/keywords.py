@@ -92,40 +92,62 @@ def _text(words: Column, at: Column, n: Column) -> Column:
     return F.array_join(F.slice(words, at + 1, n), " ")
 
 
-def _places(tokens: DataFrame, vocab: DataFrame, terms: bool) -> DataFrame:
-    """Places that may hold a keyword: ``pos``, ``n`` words and their ``text``; with ``terms`` also every token, as of 0 words.
+def _hash(*columns: str | Column) -> Column:
+    """Hash of columns that tells a null from its neighbours."""
+    named = [F.col(c) if isinstance(c, str) else c for c in columns]
+    return F.xxhash64(F.lit(0), *named, *map(F.isnull, named))
 
-    There is no lambda in it and no value is derived twice (what is generated is not derived again where it is used), so all
-    of it is compiled into one loop over the tokens, which stay where they are in memory.
+
+def _addressed(tokens: DataFrame, page: Sequence[str]) -> DataFrame:
+    """Tokens with the first page column and short hashes: ``whose`` of the page's other columns and the field, ``mine`` without the field.
+
+    ``who`` holds these columns themselves. It goes on in one row of a field only, so URLs are not shuffled with every place.
     """
-    others = [c for c in tokens.columns if c != "tokens"]
+    return tokens.select(page[0], _hash(*page[1:], "field").alias("whose"), _hash(*page[1:]).alias("mine"), F.struct(*page, "field").alias("who"), "tokens")
+
+
+def _places(addressed: DataFrame, vocab: DataFrame, terms: bool) -> DataFrame:
+    """Places that may hold a keyword: ``pos``, ``n`` words and their ``text``; with ``terms`` also every token, as of 0 words of ``mine``.
+
+    Each field with tokens also has a row of -1 words, the only one that holds ``who``; its text is as good as unique. There
+    is no lambda in it and no value is derived twice (what is generated is not derived again where it is used), so all of it
+    is compiled into one loop over the tokens, which stay where they are in memory.
+    """
+    others = [c for c in addressed.columns if c != "tokens"]
     known = key_filter(_beginnings(vocab), "h")
-    words, at, left = F.col("tokens"), F.col("pos"), F.size("tokens") - F.col("pos")
-    rows = tokens.select(*others, "tokens", F.posexplode("tokens").alias("pos", "token"))
-    begins = may_hold(known, F.xxhash64("token"))
+    # The first of the listed stands for the field; tokens follow it.
+    listed = F.when(F.size("tokens") > 0, F.concat(F.array(F.lit("")), F.col("tokens")))
+    rows = addressed.select(*others, "tokens", F.posexplode(listed).alias("place", "token"))
+    words, at, left = F.col("tokens"), F.col("place") - 1, F.size("tokens") - F.col("place") + 1
+    head, begins = F.col("place") == 0, may_hold(known, F.xxhash64("token"))
     if not terms:
-        rows = rows.filter(begins)
-    hashes = [F.when(left >= n, F.xxhash64(_text(words, at, F.lit(n)))).alias(f"h{n}") for n in _BEGINNINGS[1:]]
+        rows = rows.filter(head | begins)
+    hashes = [F.when(~head & (left >= n), F.xxhash64(_text(words, at, F.lit(n)))).alias(f"h{n}") for n in _BEGINNINGS[1:]]
     hashed = rows.select("*", F.inline(F.array(F.struct(*hashes))))
     # How many words from here on may belong to one keyword.
-    reach = F.when(~begins, 0) if terms else F
+    reach = F.when(head, -1)
+    if terms:
+        reach = reach.when(~begins, 0)
     for n in _BEGINNINGS[1:]:
         reach = reach.when(~F.coalesce(may_hold(known, F.col(f"h{n}")), F.lit(False)), F.least(F.lit(n - 1), left))
-    first = F.lit(0 if terms else 1)
-    grams = hashed.select(*others, "tokens", "pos", "token", F.explode(F.sequence(first, reach.otherwise(left))).alias("n"))
-    text = F.when(F.col("n") == 0, F.col("token")).otherwise(_text(words, at, F.col("n")))
+    first = F.when(head, -1).otherwise(0 if terms else 1)
+    grams = hashed.select(*others, "tokens", at.alias("pos"), "token", F.explode(F.sequence(first, reach.otherwise(left))).alias("n"))
+    text = F.when(F.col("n") < 0, F.col("whose").cast("string")).when(F.col("n") == 0, F.col("token")).otherwise(_text(words, F.col("pos"), F.col("n")))
     found = grams.select(*others, "pos", "n", F.explode(F.array(text)).alias("text"))
-    whole = may_hold(known, F.xxhash64("text", F.lit(_WHOLE)))
+    whole = (F.col("n") <= 0) | may_hold(known, F.xxhash64("text", F.lit(_WHOLE)))
+    whose = F.when(F.col("n") == 0, F.col("mine")).otherwise(F.col("whose")) if terms else F.col("whose")
     # Told here that texts are not null, the planner has nothing to add below the shuffle that only one reader needs.
-    return found.filter(F.col("text").isNotNull() & ((F.col("n") == 0) | whole if terms else whole))
+    return found.filter(F.col("text").isNotNull() & whole).select(
+        others[0], whose.alias("whose"), F.when(F.col("n") < 0, F.col("who")).alias("who"), "pos", "n", "text")
 
 
-def occurrences(tokens: DataFrame, vocab: DataFrame, small: bool = False) -> DataFrame:
-    """Every place where a keyword stands, overlapping ones included: ``pos``, ``n`` words, ``keyword``.
+def occurrences(places: DataFrame, vocab: DataFrame, small: bool = False) -> DataFrame:
+    """The places where a keyword stands, overlapping ones included: ``pos``, ``n`` words, ``keyword``; and the rows of -1 words.
 
     The places are joined with the vocabulary, which is broadcast if it was measured to be ``small``.
     """
-    return join_sized(_places(tokens, vocab, False).withColumnRenamed("text", "keyword"), vocab.select("keyword"), "keyword", "left_semi", small)
+    known = vocab.select("keyword").distinct().withColumn("known", F.lit(True))
+    return join_sized(places.withColumnRenamed("text", "keyword"), known, "keyword", "left", small).filter("known OR n < 0").drop("known")
 
 
 def _fold(run: Column) -> Column:
@@ -153,14 +175,17 @@ def _fold(run: Column) -> Column:
 def leftmost_longest(found: DataFrame, page: Sequence[str]) -> DataFrame:
     """Of all occurrences on pages, those that a reader would take, going from left to right.
 
-    An occurrence that begins where all before it have ended opens a run; runs do not depend on each other.
+    An occurrence that begins where all before it have ended opens a run; runs do not depend on each other. The row
+    of -1 words is the first of its field and tells the others who they are of.
     """
-    order = W.partitionBy(page[0], "field").orderBy("pos", F.desc("n"))
+    order = W.partitionBy(page[0], "whose").orderBy("pos", F.desc("n"))
+    so_far = order.rowsBetween(W.unboundedPreceding, W.currentRow)
     before = F.max(F.col("pos") + F.col("n")).over(order.rowsBetween(W.unboundedPreceding, -1))
     opens = found.withColumn("opens", F.coalesce(F.col("pos") >= before, F.lit(True)).cast("int"))
-    runs = opens.withColumn("run", F.sum("opens").over(order.rowsBetween(W.unboundedPreceding, W.currentRow)))
+    runs = opens.withColumn("run", F.sum("opens").over(so_far)).withColumn("who", F.first("who").over(so_far)).filter("n > 0")
+    named = runs.select(page[0], "whose", *[F.col("who")[c].alias(c) for c in (*page[1:], "field")], "run", "pos", "n", "keyword")
     place = F.struct("pos", (-F.col("n")).alias("longer"), "n", "keyword")
-    lists = runs.groupBy(*page, "field", "run").agg(F.sort_array(F.collect_list(place)).alias("places"))
+    lists = named.groupBy("whose", *page, "field", "run").agg(F.sort_array(F.collect_list(place)).alias("places"))
     kept = lists.select(*page, "field", F.explode(_fold(F.col("places"))).alias("place"))
     return kept.select(*page, "field", "place.pos", "place.n", "place.keyword")
 
@@ -170,7 +195,7 @@ def phrase_matches(tokens: DataFrame, vocab: DataFrame, page: Sequence[str] = ("
 
     ``tokens`` has the ``page`` columns (the first alone identifies a page), ``field`` and ``tokens``.
     """
-    return leftmost_longest(occurrences(tokens, vocab, small).select(*page, "field", "pos", "n", "keyword"), page)
+    return leftmost_longest(occurrences(_places(_addressed(tokens, page), vocab, False), vocab, small), page)
 
 
 def keyword_counts(matches: DataFrame, page: Sequence[str] = ("page_id", "url"), at_least: int = 1) -> DataFrame:
@@ -204,20 +229,26 @@ def terms_not_in_vocabulary(tokens: DataFrame, vocab: DataFrame, page: Sequence[
     Tokens leave the scan as a count per page and term, in one stream with the places that may hold a keyword, so pages are
     read once and their tokens are never stored.
     """
-    key = [*page, "field", "pos", "n", "text"]
-    stream = _places(tokens, vocab, True)
-    term = F.col("n") == 0
-    rows = stream.select(*page, F.when(term, "").otherwise(F.col("field")).alias("field"), F.when(term, 0).otherwise(F.col("pos")).alias("pos"), "n", "text")
+    key = [page[0], "whose", "who", "pos", "n", "text"]
+    stream = _places(_addressed(tokens, page), vocab, True)
+    rows = stream.withColumn("pos", F.when(F.col("n") == 0, 0).otherwise(F.col("pos")))
     combined = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("places"))
     # Told apart by a generated column, which the planner cannot test below the shuffle: both sides read the same one.
     told = combined.select(*key, "places", F.explode(F.array("n")).alias("words"))
-    everywhere = told.filter("words = 0").select(*page, F.col("text").alias("token"), "places")
-    found = join_sized(told.filter("words > 0 AND places > 0").withColumnRenamed("text", "keyword"), vocab.select("keyword"), "keyword", "left_semi", small)
-    matches = leftmost_longest(found.select(*page, "field", "pos", "n", "keyword"), page)
-    matched = matches.select(*page, F.explode(F.split("keyword", " ")).alias("token"), F.lit(-1).cast("long").alias("places"))
-    return (
-        everywhere.unionByName(matched)
-        .groupBy(*page, "token").agg(F.sum("places").alias("places"))
+    found = told.filter("words <> 0 AND places > 0").select(*key)
+    matches = leftmost_longest(occurrences(found, vocab, small), page)
+    # Terms know their page by its hash; the rows of -1 words tell its columns, and count no place.
+    of = F.when(F.col("n") < 0, F.struct(*[F.col("who")[c].alias(c) for c in page]))
+    everywhere = told.filter("words <= 0").select(
+        page[0], F.when(F.col("n") < 0, _hash(*[F.col("who")[c] for c in page[1:]])).otherwise(F.col("whose")).alias("mine"), of.alias("of"),
+        F.when(F.col("n") == 0, F.col("text")).alias("token"), F.when(F.col("n") == 0, F.col("places")).otherwise(0).alias("places"))
+    none = F.lit(None).cast(everywhere.schema["of"].dataType)
+    matched = matches.select(page[0], _hash(*page[1:]).alias("mine"), none.alias("of"), F.explode(F.split("keyword", " ")).alias("token"),
+                             F.lit(-1).cast("long").alias("places"))
+    left = (
+        everywhere.unionByName(matched).repartition(page[0])
+        .withColumn("of", F.max("of").over(W.partitionBy(page[0], "mine")))
+        .groupBy(page[0], "of", "token").agg(F.sum("places").alias("places"))
         .filter(F.col("places") > 0)
-        .select(*page, F.col("token").alias("term"))
     )
+    return left.select(page[0], *[F.col("of")[c].alias(c) for c in page[1:]], F.col("token").alias("term"))

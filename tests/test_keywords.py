@@ -138,3 +138,18 @@ def test_matching_stays_in_the_jvm_and_shuffles_occurrences_only(spark):
     assert plan.count("Exchange hashpartitioning(page_id") == 2
     shuffled = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
     assert not any("tokens" in line or "marked" in line for line in shuffled)
+
+
+def test_places_are_shuffled_without_the_columns_of_their_page(spark):
+    """Rows of the shuffles before the counts hold a page's URL once per field, not once per place."""
+    url = "http://example.net/" + "x" * 200
+    df = spark.createDataFrame([(1, url, "body", ["a", "b"] * 50), (1, url, "title", ["b"]), (2, None, "body", ["a"]), (None, url, "body", ["a", "c"])],
+                               "page_id int, url string, field string, tokens array<string>")
+    vocab = vocab_frame(spark, ["a", "b a"])
+    rows = K.occurrences(K._places(K._addressed(df, ("page_id", "url")), vocab, False), vocab)
+    assert "url" not in rows.columns
+    assert sorted((r.n, r.who.field) for r in rows.filter("who IS NOT NULL").collect()) == [(-1, "body")] * 3 + [(-1, "title")]
+    found = K.phrase_matches(df, vocab).groupBy("page_id", "url", "field", "keyword").count().collect()
+    assert {tuple(r) for r in found} == {(1, url, "body", "a", 1), (1, url, "body", "b a", 49), (2, None, "body", "a", 1), (None, url, "body", "a", 1)}
+    terms = K.terms_not_in_vocabulary(df, vocab).collect()
+    assert {tuple(r) for r in terms} == {(1, url, "b"), (None, url, "c")}
