@@ -4,9 +4,9 @@ A run of words is removed where all of it also stands in a document with a small
 every window of 13 words has an anchor, the five words in it of least hash, and equal windows have equal anchors, so
 only anchors that two different texts share go on. The suffixes that reach a window from such an anchor are dealt to
 tasks by the anchor's words, their prefix, which splits them into groups that fit in memory; a prefix that too many
-texts share is made as long as the whole window. The suffixes of a group are ranked by prefix doubling, which gives the
-nodes of the group's suffix tree by depth. A node 13 words deep with several leaves is a repeat; runs of such nodes are
-the maximal repeats, and the least document below a node keeps its words.
+texts share is made longer: equal stretches around it are looked at once, window by window. The suffixes of a group are
+ranked by prefix doubling, which gives the nodes of the group's suffix tree by depth. A node 13 words deep with several
+leaves is a repeat; runs of such nodes are the maximal repeats, and the least document below a node keeps its words.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pageglean.session import materialize
 
 WINDOW = 13
 PREFIX = 5
-# A prefix in more texts than this is extended to whole windows.
+# A prefix in more texts than this is extended to the whole stretch that its windows cover, and to these windows.
 GROUP = 2048
 
 
@@ -103,10 +103,10 @@ def _base(plain: DataFrame, window: int) -> DataFrame:
     return plain.mapInArrow(measure, "doc_id long, text_key long, n_words long, sha string, anchors array<long>")
 
 
-def _segments(flagged: DataFrame, window: int, whole: bool) -> DataFrame:
+def _segments(flagged: DataFrame, window: int, key: bool) -> DataFrame:
     """What the flagged anchors of each text reach: ``prefix``, the document, the first windows, and the words.
 
-    One row per anchor and different words. With ``whole``, one row per window, and its prefix is the window.
+    One row per anchor and different words. With ``key``, a hash of anchor and words, ``segment``, stands in place of the prefix.
     """
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in W.slices(batches, 128):
@@ -116,33 +116,45 @@ def _segments(flagged: DataFrame, window: int, whole: bool) -> DataFrame:
             for i, blob, hashes in _texts(batch):
                 places, grams = anchors(hashes, window)
                 flags = np.isin(grams.view(np.int64)[places], wanted[i].values.to_numpy(zero_copy_only=False))
-                if whole:
-                    starts, ends = np.flatnonzero(flags), np.flatnonzero(flags) + 1
-                else:
-                    # Windows of one anchor stand together.
-                    change = np.flatnonzero(np.diff(places)) + 1
-                    starts, ends = np.concatenate([[0], change]), np.concatenate([change, [len(places)]])
-                    kept = flags[starts] if len(places) else np.zeros(0, dtype=bool)
-                    starts, ends = starts[kept] if len(places) else starts[:0], ends[kept] if len(places) else ends[:0]
+                # Windows of one anchor stand together.
+                change = np.flatnonzero(np.diff(places)) + 1
+                starts, ends = np.concatenate([[0], change]), np.concatenate([change, [len(places)]])
+                kept = flags[starts] if len(places) else np.zeros(0, dtype=bool)
+                starts, ends = starts[kept] if len(places) else starts[:0], ends[kept] if len(places) else ends[:0]
                 if not len(starts):
                     continue
                 parts, keys = blob.split(), grams.view(np.int64)[places[starts]]
                 # A text that repeats itself reaches the same words from many places; they are one suffix with many starts.
                 places_of: dict[tuple, list[int]] = {}
-                for a, b, key in zip(starts.tolist(), ends.tolist(), keys.tolist()):
-                    places_of.setdefault((key, b" ".join(parts[a:b + window - 1])), []).append(a)
-                rows += [(hashlib.sha256(words).digest() if whole else key, who[0][i], who[1][i], found, words) for (key, words), found in places_of.items()]
+                for a, b, at in zip(starts.tolist(), ends.tolist(), keys.tolist()):
+                    places_of.setdefault((at, b" ".join(parts[a:b + window - 1])), []).append(a)
+                rows += [(hashlib.sha256(b"%d " % at + words).digest() if key else at, who[0][i], who[1][i], found, words) for (at, words), found in places_of.items()]
             for at in range(0, len(rows), 5000):
                 columns = list(zip(*rows[at:at + 5000]))
-                if whole:
-                    kinds, names = (pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.int32())), ["window", *_WHO, "starts"]
-                else:
-                    kinds, names = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.binary()), ["prefix", *_WHO, "starts", "words"]
+                kinds = (pa.binary() if key else pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.binary())
+                names = ["segment" if key else "prefix", *_WHO, "starts", "words"]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
-    if whole:
-        return flagged.mapInArrow(cut, "window binary, doc_id long, text_key long, starts array<int>")
-    return flagged.mapInArrow(cut, "prefix long, doc_id long, text_key long, starts array<int>, words binary")
+    prefix = "segment binary" if key else "prefix long"
+    return flagged.mapInArrow(cut, f"{prefix}, doc_id long, text_key long, starts array<int>, words binary")
+
+
+def _windows(segments: DataFrame, window: int) -> DataFrame:
+    """The windows of different segments, by hash, each with its place in the segment."""
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in W.slices(batches, 2048):
+            rows, hashes, at = [], [], []
+            for i, words in enumerate(batch.column("words").to_pylist()):
+                parts = words.split()
+                for a in range(len(parts) - window + 1):
+                    rows.append(i)
+                    hashes.append(hashlib.sha256(b" ".join(parts[a:a + window])).digest())
+                    at.append(a)
+            taken = pa.array(rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.binary()), batch.column("segment").take(taken), batch.column("first").take(taken),
+                                              pa.array(at, pa.int32())], ["window", "segment", "first", "at"])
+
+    return segments.mapInArrow(cut, "window binary, segment binary, first long, at int")
 
 
 def _tree_repeats(window: int):
@@ -201,10 +213,19 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     suffixes = _segments(texts_with("short"), window, False).repartition("prefix").sortWithinPartitions("prefix")
     found = suffixes.mapInArrow(_tree_repeats(window), "doc_id long, text_key long, starts array<int>, begin int, end int")
     if not shared.filter("long").isEmpty():
-        windows = _segments(texts_with("long"), window, True)
-        least = windows.groupBy("window").agg(F.min("doc_id").alias("least"))
-        deep = windows.join(least, "window").filter(F.col("least") < F.col("doc_id"))
-        found = found.unionByName(deep.select(*_WHO, "starts", F.lit(0).alias("begin"), F.lit(1).alias("end")))
+        # A prefix in many texts is mostly followed by the same words: equal ones are one segment, which is cut into windows once.
+        reached = _segments(texts_with("long"), window, True)
+        segments = reached.groupBy("segment").agg(F.min("doc_id").alias("first"), F.any_value("words").alias("words"))
+        windows = _windows(segments, window)
+        least = windows.groupBy("window").agg(F.min("first").alias("least"))
+        known = windows.join(least, "window").groupBy("segment").agg(F.collect_list(F.struct("at", "least")).alias("known"))
+        deep = reached.select("segment", *_WHO, "starts").join(known, "segment").withColumn(
+            "at", F.array_sort(F.transform(F.filter("known", lambda k: k["least"] < F.col("doc_id")), lambda k: k["at"]))).filter(F.size("at") > 0)
+        # Windows that follow each other make a run.
+        begins = F.filter("at", lambda a: ~F.array_contains("at", a - 1))
+        ends = F.filter("at", lambda a: ~F.array_contains("at", a + 1))
+        runs = deep.select(*_WHO, "starts", F.explode(F.arrays_zip(begins.alias("begin"), ends.alias("last"))).alias("run"))
+        found = found.unionByName(runs.select(*_WHO, "starts", F.col("run.begin").alias("begin"), (F.col("run.last") + 1).alias("end")))
     lists = found.groupBy(*_WHO).agg(F.collect_list(F.struct("starts", "begin", "end")).alias("runs"))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
