@@ -72,7 +72,8 @@ def token_rows(tokens: DataFrame) -> DataFrame:
     return tokens.select(*others, F.posexplode("tokens").alias("pos", "token"))
 
 
-# Beginnings of keywords that the filter knows, in words. Between two of them a place goes on to the next one's end.
+# Beginnings of keywords that the filter knows, in words. Between two of them a place goes on to the next one's end, but never
+# further than the longest keyword: past the last one, a false beginning would else take all words up to the end of the field.
 _BEGINNINGS = (1, 2, 4, 8)
 # Tells a whole keyword from a beginning.
 _WHOLE = "\n"
@@ -99,15 +100,16 @@ def _hash(*columns: str | Column) -> Column:
 
 
 def _addressed(tokens: DataFrame, page: Sequence[str]) -> DataFrame:
-    """Tokens with the first page column and short hashes: ``whose`` of the page's other columns and the field, ``mine`` without the field.
+    """Tokens with the first page column and ``whose``, a short hash of the page's other columns and the field.
 
     ``who`` holds these columns themselves. It goes on in one row of a field only, so URLs are not shuffled with every place.
+    The hash stands first: shuffled rows are compressed best where what tells them apart lies side by side.
     """
-    return tokens.select(page[0], _hash(*page[1:], "field").alias("whose"), _hash(*page[1:]).alias("mine"), F.struct(*page, "field").alias("who"), "tokens")
+    return tokens.select(_hash(*page[1:], "field").alias("whose"), page[0], F.struct(*page, "field").alias("who"), "tokens")
 
 
 def _places(addressed: DataFrame, vocab: DataFrame, terms: bool) -> DataFrame:
-    """Places that may hold a keyword: ``pos``, ``n`` words and their ``text``; with ``terms`` also every token, as of 0 words of ``mine``.
+    """Places that may hold a keyword: ``pos``, ``n`` words and their ``text``; with ``terms`` also all other tokens, as of 0 words.
 
     Each field with tokens also has a row of -1 words, the only one that holds ``who``; its text is as good as unique. There
     is no lambda in it and no value is derived twice (what is generated is not derived again where it is used), so all of it
@@ -115,10 +117,11 @@ def _places(addressed: DataFrame, vocab: DataFrame, terms: bool) -> DataFrame:
     """
     others = [c for c in addressed.columns if c != "tokens"]
     known = key_filter(_beginnings(vocab), "h")
+    longest = vocab.agg(F.max(F.size(F.split("keyword", " ")))).scalar()
     # The first of the listed stands for the field; tokens follow it.
     listed = F.when(F.size("tokens") > 0, F.concat(F.array(F.lit("")), F.col("tokens")))
     rows = addressed.select(*others, "tokens", F.posexplode(listed).alias("place", "token"))
-    words, at, left = F.col("tokens"), F.col("place") - 1, F.size("tokens") - F.col("place") + 1
+    words, at, left = F.col("tokens"), F.col("place") - 1, F.least(F.size("tokens") - F.col("place") + 1, longest)
     head, begins = F.col("place") == 0, may_hold(known, F.xxhash64("token"))
     if not terms:
         rows = rows.filter(head | begins)
@@ -131,14 +134,16 @@ def _places(addressed: DataFrame, vocab: DataFrame, terms: bool) -> DataFrame:
     for n in _BEGINNINGS[1:]:
         reach = reach.when(~F.coalesce(may_hold(known, F.col(f"h{n}")), F.lit(False)), F.least(F.lit(n - 1), left))
     first = F.when(head, -1).otherwise(0 if terms else 1)
-    grams = hashed.select(*others, "tokens", at.alias("pos"), "token", F.explode(F.sequence(first, reach.otherwise(left))).alias("n"))
+    reached = hashed.select(*others, "tokens", at.alias("pos"), "token", first.alias("first"), reach.otherwise(left).alias("reach"))
+    grams = reached.select(*others, "tokens", "pos", "token", "reach", F.explode(F.sequence("first", "reach")).alias("n"))
     text = F.when(F.col("n") < 0, F.col("whose").cast("string")).when(F.col("n") == 0, F.col("token")).otherwise(_text(words, F.col("pos"), F.col("n")))
-    found = grams.select(*others, "pos", "n", F.explode(F.array(text)).alias("text"))
-    whole = (F.col("n") <= 0) | may_hold(known, F.xxhash64("text", F.lit(_WHOLE)))
-    whose = F.when(F.col("n") == 0, F.col("mine")).otherwise(F.col("whose")) if terms else F.col("whose")
+    found = grams.select(*others, "pos", "n", "reach", F.explode(F.array(text)).alias("text"))
+    # A token that may be a keyword goes on as a place of one word, and not as of none too.
+    whole = may_hold(known, F.xxhash64("text", F.lit(_WHOLE)))
+    kept = F.when(F.col("n") < 0, True).when(F.col("n") == 0, (F.col("reach") < 1) | ~whole).otherwise(whole)
     # Told here that texts are not null, the planner has nothing to add below the shuffle that only one reader needs.
-    return found.filter(F.col("text").isNotNull() & whole).select(
-        others[0], whose.alias("whose"), F.when(F.col("n") < 0, F.col("who")).alias("who"), "pos", "n", "text")
+    return found.filter(F.col("text").isNotNull() & kept).select(
+        *others[:2], "pos", "n", F.when(F.col("n") < 0, F.col("who")).alias("who"), "text")
 
 
 def occurrences(places: DataFrame, vocab: DataFrame, small: bool = False) -> DataFrame:
@@ -147,7 +152,8 @@ def occurrences(places: DataFrame, vocab: DataFrame, small: bool = False) -> Dat
     The places are joined with the vocabulary, which is broadcast if it was measured to be ``small``.
     """
     known = vocab.select("keyword").distinct().withColumn("known", F.lit(True))
-    return join_sized(places.withColumnRenamed("text", "keyword"), known, "keyword", "left", small).filter("known OR n < 0").drop("known")
+    given = places.withColumnRenamed("text", "keyword")
+    return join_sized(given, known, "keyword", "left", small).filter("known OR n < 0").select(*given.columns)
 
 
 def _fold(run: Column) -> Column:
@@ -199,8 +205,11 @@ def phrase_matches(tokens: DataFrame, vocab: DataFrame, page: Sequence[str] = ("
 
 
 def keyword_counts(matches: DataFrame, page: Sequence[str] = ("page_id", "url"), at_least: int = 1) -> DataFrame:
-    """Occurrences of each keyword on each page, over all fields."""
-    counts = matches.groupBy(*page, "keyword").agg(F.count(F.lit(1)).alias("points"))
+    """Occurrences of each keyword on each page, over all fields.
+
+    Matches are shuffled by their page: they come page by page, so what names the page is compressed away in all but the first.
+    """
+    counts = matches.select(*page, "keyword").repartition(*page).groupBy(*page, "keyword").agg(F.count(F.lit(1)).alias("points"))
     return counts.filter(F.col("points") >= at_least) if at_least > 1 else counts
 
 
@@ -226,29 +235,18 @@ def explode_keyword_map(store: DataFrame) -> DataFrame:
 def terms_not_in_vocabulary(tokens: DataFrame, vocab: DataFrame, page: Sequence[str] = ("page_id", "url"), small: bool = False) -> DataFrame:
     """Distinct page terms that stand outside every match, found by counting: all places minus matched places.
 
-    Tokens leave the scan as a count per page and term, in one stream with the places that may hold a keyword, so pages are
-    read once and their tokens are never stored.
+    Tokens leave the scan in one stream with the places that may hold a keyword, so pages are read once and their tokens are
+    never stored. The stream is dealt by page, and so are the matches: no other shuffle holds the terms.
     """
-    key = [page[0], "whose", "who", "pos", "n", "text"]
-    stream = _places(_addressed(tokens, page), vocab, True)
-    rows = stream.withColumn("pos", F.when(F.col("n") == 0, 0).otherwise(F.col("pos")))
-    combined = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("places"))
-    # Told apart by a generated column, which the planner cannot test below the shuffle: both sides read the same one.
-    told = combined.select(*key, "places", F.explode(F.array("n")).alias("words"))
-    found = told.filter("words <> 0 AND places > 0").select(*key)
-    matches = leftmost_longest(occurrences(found, vocab, small), page)
-    # Terms know their page by its hash; the rows of -1 words tell its columns, and count no place.
-    of = F.when(F.col("n") < 0, F.struct(*[F.col("who")[c].alias(c) for c in page]))
-    everywhere = told.filter("words <= 0").select(
-        page[0], F.when(F.col("n") < 0, _hash(*[F.col("who")[c] for c in page[1:]])).otherwise(F.col("whose")).alias("mine"), of.alias("of"),
-        F.when(F.col("n") == 0, F.col("text")).alias("token"), F.when(F.col("n") == 0, F.col("places")).otherwise(0).alias("places"))
-    none = F.lit(None).cast(everywhere.schema["of"].dataType)
-    matched = matches.select(page[0], _hash(*page[1:]).alias("mine"), none.alias("of"), F.explode(F.split("keyword", " ")).alias("token"),
-                             F.lit(-1).cast("long").alias("places"))
-    left = (
-        everywhere.unionByName(matched).repartition(page[0])
-        .withColumn("of", F.max("of").over(W.partitionBy(page[0], "mine")))
-        .groupBy(page[0], "of", "token").agg(F.sum("places").alias("places"))
-        .filter(F.col("places") > 0)
-    )
-    return left.select(page[0], *[F.col("of")[c].alias(c) for c in page[1:]], F.col("token").alias("term"))
+    stream = _places(_addressed(tokens, page), vocab, True).repartition(page[0])
+    # Told apart by generated columns, which the planner cannot test nor leave out below the shuffle: both sides read the same one.
+    told = stream.select("whose", page[0], F.inline(F.array(F.struct("pos", "n"))), "who", "text")
+    found = told.filter("n <> 0")
+    matches = leftmost_longest(occurrences(found, vocab, small).repartition(page[0]), page)
+    # The rows of -1 words tell the others who they are of, and count no place.
+    of = F.max("who").over(W.partitionBy(page[0], "whose"))
+    everywhere = told.filter("n <= 1").withColumn("of", of).filter("n >= 0").select(
+        page[0], *[F.col("of")[c].alias(c) for c in page[1:]], F.col("text").alias("term"), F.lit(1).cast("long").alias("places"))
+    matched = matches.select(*page, F.explode(F.split("keyword", " ")).alias("term"), F.lit(-1).cast("long").alias("places"))
+    left = everywhere.unionByName(matched).groupBy(*page, "term").agg(F.sum("places").alias("places"))
+    return left.filter(F.col("places") > 0).select(*page, "term")

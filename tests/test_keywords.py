@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from pageglean.functions import text as X
 from pageglean.operators import keywords as K
+from pageglean.operators.bloom import key_filter, may_hold
 
 
 def greedy(words, vocab):
@@ -153,3 +154,39 @@ def test_places_are_shuffled_without_the_columns_of_their_page(spark):
     assert {tuple(r) for r in found} == {(1, url, "body", "a", 1), (1, url, "body", "b a", 49), (2, None, "body", "a", 1), (None, url, "body", "a", 1)}
     terms = K.terms_not_in_vocabulary(df, vocab).collect()
     assert {tuple(r) for r in terms} == {(1, url, "b"), (None, url, "c")}
+
+
+def test_places_reach_no_further_than_the_longest_keyword(spark, monkeypatch):
+    """A filter that lets everything pass makes no more places than words times the words of the longest keyword."""
+    monkeypatch.setattr(K, "key_filter", lambda hashes, column: F.array_repeat(F.lit(-1).cast("long"), 1 << 15))
+    lists = [(1, "body", ["a", "b"] * 150), (2, "title", ["b"])]
+    vocab = vocab_frame(spark, ["a b", "b"])
+    places = K._places(K._addressed(token_frame(spark, lists), ("page_id", "url")), vocab, False)
+    assert places.filter("n > 0").count() == 300 + 299 + 1
+    assert matches(spark, lists, ["a b", "b"]) == [(1, "body", p, 2, "a b") for p in range(0, 300, 2)] + [(2, "title", 0, 1, "b")]
+
+
+def test_the_filter_grows_with_its_keys(spark):
+    hashes = spark.range(800_000).select(F.xxhash64("id").alias("h"), (F.col("id") < 400_000).alias("key"))
+    passes = hashes.withColumn("passes", may_hold(key_filter(hashes.filter("key"), "h"), F.col("h"))).groupBy("key", "passes").count()
+    found = {(r.key, r.passes): r["count"] for r in passes.collect()}
+    assert found[True, True] == 400_000 and (True, False) not in found
+    assert found.get((False, True), 0) < 8_000
+
+
+def test_a_token_leaves_the_scan_once_for_the_terms(spark):
+    lists = [(1, "body", "a b c b".split()), (2, "title", "a x a".split())]
+    rows = K._places(K._addressed(token_frame(spark, lists), ("page_id", "url")), vocab_frame(spark, ["a", "b c"]), True)
+    assert sorted((r.page_id, r.text) for r in rows.filter("n IN (0, 1)").collect()) == [(1, "a"), (1, "b"), (1, "b"), (1, "c"), (2, "a"), (2, "a"), (2, "x")]
+
+
+def test_terms_are_dealt_by_page_once(spark):
+    tokens = token_frame(spark, [(1, "body", "a b c b".split()), (1, "title", ["b"]), (2, "title", "a b".split())])
+    plan = K.terms_not_in_vocabulary(tokens, vocab_frame(spark, ["a b"]))._jdf.queryExecution().executedPlan().toString()
+    assert not any("Exchange hashpartitioning" in line and "term#" in line for line in plan.splitlines())
+
+
+def test_counts_are_dealt_by_page(spark):
+    plan = K.keyword_counts(K.phrase_matches(token_frame(spark, [(1, "body", ["a"])]), vocab_frame(spark, ["a"])))._jdf.queryExecution().executedPlan().toString()
+    keys = [line.split("hashpartitioning(")[1].split("), ")[0] for line in plan.splitlines() if "Exchange hashpartitioning(page_id" in line]
+    assert len(keys) == 2 and not any("keyword#" in k for k in keys)
